@@ -30,7 +30,8 @@ def bin_index(x: Column, lo: float, hi: float, bins: int) -> Column:
     if width == 0:
         return F.when(x.isNotNull(), F.lit(0).cast("bigint"))
     at = F.floor((x.cast("double") - F.lit(lo)) / F.lit(width)).cast("bigint")
-    return F.least(at, F.lit(bins - 1).cast("bigint")).cast("bigint")
+    last = F.lit(bins - 1).cast("bigint")
+    return F.when(at > last, last).otherwise(at)
 
 
 def bin_counts(df: DataFrame, cols: Sequence[str], bins: int, ranges, by: Sequence[str] = ()) -> DataFrame:
@@ -89,13 +90,13 @@ def kde(df: DataFrame, cols: Sequence[str], grid: int = 32, bandwidth: float | N
 
 def group_distribution(df: DataFrame, by: Sequence[str], response: str) -> DataFrame:
     """Per level of each discrete column: count, extremes and exact quartiles of the response."""
-    base = df.filter(q(response).isNotNull())
-    long = to_long(base, by, ids=[response], as_type="string").withColumnRenamed("value", "level")
+    base = df.filter(q(response).isNotNull()).withColumn("_y", q(response).cast("double"))
+    long = to_long(base, by, ids=["_y"], as_type="string").withColumnRenamed("value", "level")
     basic = long.groupBy("column", "level").agg(
-        F.count(F.lit(1)).alias("n"), F.min(q(response)).alias("low"), F.max(q(response)).alias("high")
+        F.count(F.lit(1)).alias("n"), F.min("_y").alias("low"), F.max("_y").alias("high")
     )
     quarts = settle(
-        quantiles(long, ["column", "level"], response, [0.25, 0.5, 0.75])
+        quantiles(long, ["column", "level"], "_y", [0.25, 0.5, 0.75])
         .groupBy("column", "level").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
         .toDF("column", "level", "q1", "median", "q3")
     )
@@ -158,6 +159,6 @@ def scatter_points(
         rows = rows.filter(F.pmod(F.xxhash64(q(key)), F.lit(1_000_000)) < int(sample_share * 1_000_000))
     if log_x:
         rows = mask_non_positive(rows, cols)
-    return to_long(rows, cols, ids=[key, response]).select(
-        key, q("column").alias("variable"), q("value").alias("x"), q(response).alias("y")
+    return to_long(rows.withColumn("_y", q(response)), cols, ids=[key, "_y"]).select(
+        q(key), q("column").alias("variable"), q("value").alias("x"), q("_y").alias("y")
     )

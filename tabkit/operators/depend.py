@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.functions.expr import no_nan, normal_tail, q
-from tabkit.operators.ordering import ordered_prefix, prefix_within, to_long
+from tabkit.operators.ordering import ordered_prefix, to_long
 from tabkit.session import settle, sized_join
 
 DIGIT = 16
@@ -46,7 +46,7 @@ def level_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .groupBy("column", "i", "d", "s").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_one", F.lit(1).cast("bigint"))
     )
-    return settle(prefix_within(levels, ["column"], ["i", "d", "s"], "_one", "code").drop("_one"))
+    return settle(ordered_prefix(levels, ["column"], ["i", "d", "s"], "_one", "code").drop("_one"))
 
 
 def apply_level_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -194,7 +194,7 @@ def spearman(df: DataFrame, cols: Sequence[str], response: str) -> DataFrame:
 
     def ranks(side: str) -> DataFrame:
         margin = cells.groupBy("column", side).agg(F.sum("n").alias("n"))
-        held = prefix_within(margin, ["column"], [side], "n")
+        held = ordered_prefix(margin, ["column"], [side], "n")
         return settle(held.select("column", side, (q("before") + (q("n") + 1) / 2).alias(f"r{side}")))
 
     both = sized_join(sized_join(cells, ranks("x"), ["column", "x"], "inner"), ranks("y"), ["column", "y"], "inner")
@@ -222,7 +222,7 @@ def kendall(df: DataFrame, cols: Sequence[str], response: str) -> DataFrame:
     margin_x = cells.groupBy("column", "x").agg(F.sum("n").alias("n"))
     margin_y = cells.groupBy("column", "y").agg(F.sum("n").alias("n"))
     levels = margin_x.withColumn("_one", F.lit(1).cast("bigint"))
-    codes = settle(prefix_within(levels, ["column"], ["x"], "_one", "code").select("column", "x", "n", "code"))
+    codes = settle(ordered_prefix(levels, ["column"], ["x"], "_one", "code").select("column", "x", "n", "code"))
     most = codes.agg(F.max("code")).first()[0] or 0
     placed = settle(sized_join(cells, codes.drop("n"), ["column", "x"], "inner").select("column", "code", "y", "n"))
 
@@ -238,15 +238,9 @@ def kendall(df: DataFrame, cols: Sequence[str], response: str) -> DataFrame:
                 F.coalesce(F.sum(F.when(q("digit") == d, q("n"))), F.lit(0)).cast("bigint") for d in range(DIGIT)
             ]).alias("w"))
         )
-        held = settle(ordered_prefix(counted, ["column", "high", "y"], "w", "b"))
-        base = settle(held.groupBy("column", "high").agg(
-            F.min_by("b", "y").alias("base")
-        ))
-        joined = sized_join(held, base, ["column", "high"], "inner").select(
-            "column", "w", F.zip_with("b", "base", lambda a, b: a - b).alias("c")
-        )
+        held = ordered_prefix(counted, ["column", "high"], ["y"], "w", "c")
         # per digit value: earlier rows below it minus earlier rows above it
-        step = joined.select("column", q("w").alias("_w"), q("c").alias("_c")).select(
+        step = held.select("column", q("w").alias("_w"), q("c").alias("_c")).select(
             "column", "_w", "_c", F.aggregate("_c", F.lit(0).cast("bigint"), lambda a, v: a + v).alias("_all")
         )
         score = F.aggregate(
@@ -300,7 +294,7 @@ def rank_by(df: DataFrame, col: str, ties: Sequence[str], ascending: bool = True
     """Add ``<col>_rank``: unique ranks 1..n, ties broken by the given identifying columns."""
     sign = q(col).cast("double") if ascending else -q(col).cast("double")
     keyed = df.withColumn("_o", sign).withColumn("_last", q(col).isNull()).withColumn("_one", F.lit(1).cast("bigint"))
-    held = ordered_prefix(keyed, ["_last", "_o", *ties], "_one", "_b")
+    held = ordered_prefix(keyed, [], ["_last", "_o", *ties], "_one", "_b")
     return held.withColumn(f"{col}_rank", q("_b") + 1).drop("_o", "_last", "_one", "_b")
 
 

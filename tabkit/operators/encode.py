@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tabkit.functions.expr import q
 from tabkit.operators.depend import apply_level_codes, level_codes
-from tabkit.operators.ordering import prefix_within
+from tabkit.operators.ordering import ordered_prefix
 from tabkit.operators.profile import levels_by_first_seen, value_counts
 from tabkit.operators.roles import Roles
 from tabkit.session import settle
@@ -60,7 +60,7 @@ def encode_ordinals(df: DataFrame, mapper: Mapping[str, Mapping], check: bool =
 def ordinal_map_from_data(df: DataFrame, col: str, order: Sequence[str]) -> DataFrame:
     """Codes ``(value, code)`` by reversed order of first appearance."""
     seen = levels_by_first_seen(df, col, order).withColumn("_one", F.lit(1).cast("bigint"))
-    placed = settle(prefix_within(seen, [], list(order), "_one", "_b"))
+    placed = ordered_prefix(seen, [], list(order), "_one", "_b")
     total = placed.count()
     return placed.select("value", (F.lit(total - 1).cast("bigint") - q("_b")).alias("code"))
 

@@ -127,7 +127,7 @@ def match_donors(
     both = donors.select(q(key), q("pred"), q("value"), F.lit(1).cast("bigint").alias("_w")).unionByName(
         missing.select(q(key), q("pred"), F.lit(None).cast("double").alias("value"), F.lit(0).cast("bigint").alias("_w"))
     )
-    placed = settle(ordered_prefix(both, ["pred", "_w", key], "_w", "pos"))
+    placed = ordered_prefix(both, [], ["pred", "_w", key], "_w", "pos")
     there = placed.filter("_w = 1").select(q("pos"), q(key).alias("_d"), q("pred").alias("_dp"), q("value"))
     asked = placed.filter("_w = 0").select(
         q(key), q("pred"),

@@ -1,8 +1,8 @@
 """Global order without a one-task window: ordered prefixes, exact quantiles, ranks.
 
-``ordered_prefix`` range-partitions the distinct keys, sorts each partition, settles the result so
-that partition membership cannot change, and adds the weight held by earlier partitions to a
-running sum inside each partition. One shuffle, no task holding more than its range.
+``ordered_prefix`` range-partitions the distinct keys, sorts each partition, adds up inside it and
+settles the result so that partition membership cannot change; then it adds the weight held by
+earlier partitions. One shuffle, no task holding more than its range.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,96 +20,108 @@ from tabkit.functions.expr import q
 from tabkit.session import settle, sized_join
 
 
-def ordered_prefix(df: DataFrame, keys: Sequence[str], weight: str, out: str = "before") -> DataFrame:
-    """Add the sum of ``weight`` over all rows with strictly smaller ``keys``.
+def ordered_prefix(
+    df: DataFrame, by: Sequence[str], keys: Sequence[str], weight: str, out: str = "before"
+) -> DataFrame:
+    """Add the sum of ``weight`` over the rows of the same ``by`` group with strictly smaller ``keys``.
 
-    Keys must be unique (aggregate first: that also removes hot keys). ``weight`` is a bigint or an
-    array of bigints of one length.
+    Group and keys together must be unique (aggregate first: that also removes hot keys). ``weight``
+    is a bigint or an array of bigints of one length. A group may span any number of partitions:
+    each partition adds up on its own, and what the earlier partitions hold of its leading group is
+    added afterwards from one summary row per partition.
     """
-    part = "_part"
-    cols = [q(k) for k in keys]
-    ranged = settle(
-        df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn(part, F.spark_partition_id())
-    )
+    by = list(by)
+    cols = [q(k) for k in [*by, *keys]]
     is_array = isinstance(df.schema[weight].dataType, T.ArrayType)
-    if is_array:
-        sums = (
-            ranged.select(part, F.posexplode(q(weight)).alias("_i", "_w"))
-            .groupBy(part, "_i").agg(F.sum("_w").alias("_w"))
-            .groupBy(part).agg(F.array_sort(F.collect_list(F.struct("_i", "_w"))).alias("_v"))
-            .select(part, F.transform("_v", lambda s: s["_w"]).alias("_w"))
-        )
-    else:
-        sums = ranged.groupBy(part).agg(F.sum(q(weight)).alias("_w"))
-    start: dict[int, np.ndarray] = {}
-    carried = np.zeros((), dtype=np.int64)
-    # one row per shuffle partition
-    for row in sorted(sums.collect(), key=lambda r: r[part]):
-        start[row[part]] = carried
-        carried = carried + np.asarray(row["_w"], dtype=np.int64)
+    sorted_parts = (
+        df.repartitionByRange(*cols).sortWithinPartitions(*cols).withColumn("_part", F.spark_partition_id())
+    )
+    out_type = T.ArrayType(T.LongType()) if is_array else T.LongType()
+    schema = T.StructType([
+        *sorted_parts.schema.fields, T.StructField(out, out_type), T.StructField("_lead", T.BooleanType()),
+        T.StructField("_pos", T.LongType()),
+    ])
+    local = settle(sorted_parts.mapInArrow(_running_sums(by, weight, out, is_array), schema))
+    # one row per partition
+    parts = local.groupBy("_part").agg(
+        F.min_by(F.struct(F.lit(0), *[q(b) for b in by]), "_pos").alias("first"),
+        F.max_by(F.struct(F.lit(0), *[q(b) for b in by]), "_pos").alias("last"),
+        F.max_by(q(out), "_pos").alias("last_before"), F.max_by(q(weight), "_pos").alias("last_weight"),
+        F.min("_lead").alias("one_group"),
+    ).orderBy("_part").collect()
+    carried: dict[int, list[int] | int] = {}
+    group, total = None, None
+    for r in parts:
+        tail = np.asarray(r["last_before"]) + np.asarray(r["last_weight"])
+        start = total if group is not None and group == r["first"] else np.zeros_like(tail)
+        carried[r["_part"]] = start.tolist()
+        total = tail + start if r["one_group"] else tail
+        group = r["last"]
+    if any(np.any(c) for c in carried.values()):
+        held = F.array(*[_long_literal(carried.get(i, carried[min(carried)])) for i in range(max(carried) + 1)])
+        start = F.element_at(held, q("_part") + 1)
+        moved = F.zip_with(q(out), start, lambda a, b: a + b) if is_array else q(out) + start
+        local = local.withColumn(out, F.when(q("_lead"), moved).otherwise(q(out)))
+    return local.drop("_part", "_lead", "_pos")
+
+
+def _long_literal(value):
+    if isinstance(value, list):
+        return F.array(*[F.lit(int(v)).cast("bigint") for v in value])
+    return F.lit(int(value)).cast("bigint")
+
+
+def _running_sums(by: list[str], weight: str, out: str, is_array: bool):
+    """Running sums inside one sorted partition, restarted where the group changes."""
 
     def run(batches):
-        carry = None
+        total, base, last, at = None, None, None, 0
+        lead = True
         for batch in batches:
-            if batch.num_rows == 0:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            at = batch.schema.get_field_index(part)
-            if carry is None:
-                carry = start[batch.column(at)[0].as_py()]
             held = batch.column(batch.schema.get_field_index(weight))
-            if is_array:
-                w = np.asarray(held.flatten()).reshape(batch.num_rows, -1)
-            else:
-                w = np.asarray(held)
-            total = np.cumsum(w, axis=0) + carry
-            before = total - w
-            carry = total[-1]
-            added = pa.array(before.tolist() if is_array else before, pa.list_(pa.int64()) if is_array else pa.int64())
-            arrays = [c for i, c in enumerate(batch.columns) if i != at] + [added]
-            names = [n for i, n in enumerate(batch.schema.names) if i != at] + [out]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
-
-    fields = [f for f in ranged.schema.fields if f.name != part]
-    out_type = T.ArrayType(T.LongType()) if is_array else T.LongType()
-    return ranged.mapInArrow(run, T.StructType(fields + [T.StructField(out, out_type)]))
-
-
-def prefix_within(
-    df: DataFrame, by: Sequence[str], keys: Sequence[str], weight: str, out: str = "before"
-) -> DataFrame:
-    """``ordered_prefix`` restarted in every group of ``by``; the result is settled."""
-    held = settle(ordered_prefix(df, [*by, *keys], weight, "_g"))
-    if not by:
-        return held.withColumnRenamed("_g", out)
-    base = settle(held.groupBy(*[q(b) for b in by]).agg(F.min("_g").alias("_base")))
-    return (
-        sized_join(held, base, list(by), "inner")
-        .withColumn(out, q("_g") - q("_base")).drop("_g", "_base")
-    )
+            w = np.asarray(held.flatten()).reshape(n, -1) if is_array else np.asarray(held).reshape(n, 1)
+            if total is None:
+                total = base = np.zeros((1, w.shape[1]), dtype=np.int64)
+            before = np.cumsum(w, axis=0) - w + total
+            changed = np.zeros(n, dtype=bool)
+            now = []
+            for b in by:
+                c = batch.column(batch.schema.get_field_index(b))
+                if n > 1:
+                    a, z = c.slice(0, n - 1), c.slice(1)
+                    same = pc.equal(a, z).fill_null(False)
+                    both = pc.and_(a.is_null(), z.is_null())
+                    changed[1:] |= ~np.asarray(pc.or_(same, both))
+                now.append((c[0].as_py(), c[n - 1].as_py()))
+            if last is not None and [x for x, _ in now] != last:
+                changed[0] = True
+            last = [x for _, x in now]
+            # index of the row that opened each row's group; 0 stands for the group carried in
+            opened = np.maximum.accumulate(np.where(changed, np.arange(1, n + 1), 0))
+            bases = np.concatenate([base, before])[opened]
+            leads = (opened == 0) & lead
+            result = before - bases
+            total, base = before[-1:] + w[-1:], bases[-1:]
+            lead = bool(leads[-1])
+            added = pa.array(list(result), pa.list_(pa.int64())) if is_array else pa.array(result[:, 0])
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, added, pa.array(leads), pa.array(np.arange(at, at + n))],
+                names=[*batch.schema.names, out, "_lead", "_pos"],
+            )
+            at += n
+
+    return run
 
 
 def rank_rows(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
     """Unique 1-based rank of every row by ``order``, which must identify rows; nulls rank first."""
-    held = ordered_prefix(df.withColumn("_one", F.lit(1).cast("bigint")), order, "_one", "_b")
+    held = ordered_prefix(df.withColumn("_one", F.lit(1).cast("bigint")), [], order, "_one", "_b")
     return held.withColumn(out, q("_b") + 1).drop("_one", "_b")
 
 
-def average_ranks(long: DataFrame, by: Sequence[str], value: str) -> DataFrame:
-    """Average rank, dense position and frequency of each distinct value inside ``by``."""
-    counted = long.groupBy(*[q(c) for c in [*by, value]]).agg(F.count(F.lit(1)).alias("n"))
-    counted = counted.withColumn("_w", F.array(q("n"), F.lit(1).cast("bigint")))
-    held = settle(ordered_prefix(counted, [*by, value], "_w", "_g"))
-    base = settle(
-        held.groupBy(*[q(b) for b in by])
-        .agg(F.min(q("_g")[0]).alias("_b0"), F.min(q("_g")[1]).alias("_b1"))
-    )
-    return sized_join(held, base, list(by), "inner").select(
-        *[q(b) for b in by], q(value), "n",
-        (q("_g")[0] - q("_b0") + (q("n") + 1) / 2).alias("avg_rank"),
-        (q("_g")[1] - q("_b1")).alias("position"),
-    )
-
-
 def to_long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), as_type: str = "double") -> DataFrame:
     """Wide to long ``(ids, column, value)`` without nulls."""
     typed = df.select(*[q(i) for i in ids], *[q(c).cast(as_type).alias(c) for c in cols])
@@ -134,11 +147,13 @@ def quantiles(
         F.percentile_approx("_v", bounds, accuracy).alias("_s"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.count("_v").alias("_n"),
     )
+    # the rank error of a small group is not small against its bracket: it is ordered whole
+    few = q("_n") < 4 * accuracy
     wanted = F.array(*[
         F.struct(
             F.lit(float(p)).alias("prob"),
-            F.when(F.lit(p - eps <= 0), q("_min")).otherwise(q("_s")[bounds.index(max(0.0, p - eps))]).alias("_lo"),
-            F.when(F.lit(p + eps >= 1), q("_max")).otherwise(q("_s")[bounds.index(min(1.0, p + eps))]).alias("_hi"),
+            F.when(few | F.lit(p - eps <= 0), q("_min")).otherwise(q("_s")[bounds.index(max(0.0, p - eps))]).alias("_lo"),
+            F.when(few | F.lit(p + eps >= 1), q("_max")).otherwise(q("_s")[bounds.index(min(1.0, p + eps))]).alias("_hi"),
             ((q("_n") - 1) * F.lit(float(p))).alias("_at"),
         )
         for p in probs
@@ -161,7 +176,7 @@ def _pick(long: DataFrame, bracket: DataFrame, by: list[str]):
         .select(*[q(g) for g in group], F.when(q("_v") >= q("_lo"), q("_v")).alias("_v"))
         .groupBy(*[q(g) for g in group], "_v").agg(F.count(F.lit(1)).alias("n"))
     )
-    held = prefix_within(counted, group, ["_v"], "n")
+    held = ordered_prefix(counted, group, ["_v"], "n")
     covers0 = (F.floor("_at") >= q("before")) & (F.floor("_at") < q("before") + q("n"))
     covers1 = (F.ceil("_at") >= q("before")) & (F.ceil("_at") < q("before") + q("n"))
     found = settle(

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 
@@ -25,19 +26,40 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _row_bytes(schema: T.StructType) -> Column:
+    """Approximate size of a row: its text and array lengths plus a fixed part."""
+    size = F.lit(8 * len(schema) + 16).cast("bigint")
+    for f in schema:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.length(c), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
+            size = size + F.coalesce(F.size(c), F.lit(0)) * 16
+    return size
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage, so that later jobs neither recompute nor diverge."""
+    """Compute ``df`` once into reliable storage, so that later jobs neither recompute nor diverge.
+
+    The row and byte counts are observed on the way.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    seen = Observation()
+    done = df.observe(seen, F.sum(_row_bytes(df.schema)).alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    done = done.checkpoint(eager=True)
+    object.__setattr__(done, "_tabkit_seen", seen.get)
+    return done
+
+
+def settled_rows(df: DataFrame) -> int:
+    """Row count of a settled table."""
+    return df.__dict__["_tabkit_seen"]["rows"]
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether the text size of a settled table stays below the broadcast limit."""
-    parts = [F.coalesce(F.length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 8 for c in df.columns]
-    total = parts[0]
-    for p in parts[1:]:
-        total = total + p
-    size = df.agg(F.sum(total.cast("bigint"))).first()[0]
+    """Whether a table is below the broadcast limit: as observed while settling, else measured now."""
+    seen = df.__dict__.get("_tabkit_seen")
+    size = seen["bytes"] if seen else df.agg(F.sum(_row_bytes(df.schema))).first()[0]
     return (size or 0) <= max_bytes
 
 
