@@ -9,7 +9,7 @@ from tabkit.operators.encode import encode_ordinals
 from tabkit.operators.features import log_transform
 from tabkit.operators.impute import apply_fill
 from tabkit.operators.ordering import column_quantiles
-from tabkit.queries import dependence, encoding, profiles, rows, sources  # noqa: F401
+from tabkit.queries import dependence, derived, encoding, models, profiles, rows, sources  # noqa: F401
 from tabkit.queries.obs import PRIORITY, obs, with_obs
 from tabkit.queries.registry import QUERIES, SQL, query, rounded
 

@@ -15,6 +15,7 @@ KEY = ("split", "id")
 CAT = ("segment", "status", "nation")
 ORD = ("month_sold", "year_sold", "n_lines", "n_ret")
 QUANT = ("acctbal", "qty", "gross", "tax0", "price")
+QUANTS_FOR_WEIGHTS = ("acctbal", "qty", "gross", "tax0", "n_lines")
 TEXT_ORD = ("priority", "sparse_note")
 COLUMNS = ("id", "split", "segment", "status", "nation", "priority", "sparse_note", *ORD, *QUANT)
 FROM_LINES = {"n_lines", "n_ret", "qty", "gross", "tax0"}
