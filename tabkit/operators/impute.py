@@ -9,6 +9,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabkit.functions.expr import HASH_MODULUS, poisson_one, q
 from tabkit.operators.encode import apply_min_max, fit_min_max, level_lists, one_hot
@@ -17,12 +18,13 @@ from tabkit.operators.ordering import column_modes, column_quantiles, ordered_pr
 from tabkit.operators.profile import null_counts
 from tabkit.operators.regress import LinearFit, fit_ridge
 from tabkit.operators.roles import Roles
-from tabkit.session import settle
+from tabkit.session import settle, sized_join
 
 
 def apply_fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
-    """Replace nulls by one value per column, keeping the column types."""
-    values = {c: v for c, v in values.items() if v is not None}
+    """Replace nulls by one value per column, keeping the column types (halves to even for integers)."""
+    whole = {f.name for f in df.schema if isinstance(f.dataType, T.IntegralType)}
+    values = {c: round(v) if c in whole else v for c, v in values.items() if v is not None}
     return df.select(*[
         F.coalesce(q(c), F.lit(values[c]).cast(df.schema[c].dataType)).alias(c) if c in values else q(c)
         for c in df.columns
@@ -32,10 +34,7 @@ def apply_fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 def fit_few(
     df: DataFrame, roles: Roles, max_cat: int = 4, max_ord: int = 2, max_quant: int = 1
 ) -> dict[str, object]:
-    """Fill values of the columns with few nulls: mode for categorical, median for the others.
-
-    An ordinal column is widened by its fill only where the median is whole.
-    """
+    """Fill values of the columns with few nulls: mode for categorical, median for the others."""
     nulls = {r["column"]: r["nulls"] for r in null_counts(df).collect()}
     cats = [c for c in roles.cat if 0 < nulls.get(c, 0) <= max_cat]
     nums = [c for c in roles.ord if 0 < nulls.get(c, 0) <= max_ord]
@@ -105,8 +104,6 @@ def group_mode_fill(df: DataFrame, col: str, by: str) -> DataFrame:
         df.filter(q(col).isNotNull()).groupBy(q(by), q(col)).agg(F.count(F.lit(1)).alias("n"))
         .groupBy(q(by)).agg(F.min_by(q(col), F.struct(-q("n"), q(col))).alias("_m"))
     )
-    from tabkit.session import sized_join
-
     joined = sized_join(df, modes, by, "left")
     return joined.select(*[F.coalesce(q(c), q("_m")).alias(c) if c == col else q(c) for c in df.columns])
 
