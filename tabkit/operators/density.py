@@ -92,16 +92,11 @@ def group_distribution(df: DataFrame, by: Sequence[str], response: str) -> DataF
     """Per level of each discrete column: count, extremes and exact quartiles of the response."""
     base = df.filter(q(response).isNotNull()).withColumn("_y", q(response).cast("double"))
     long = to_long(base, by, ids=["_y"], as_type="string").withColumnRenamed("value", "level")
-    basic = long.groupBy("column", "level").agg(
-        F.count(F.lit(1)).alias("n"), F.min("_y").alias("low"), F.max("_y").alias("high")
-    )
-    quarts = settle(
-        quantiles(long, ["column", "level"], "_y", [0.25, 0.5, 0.75])
-        .groupBy("column", "level").pivot("prob", [0.25, 0.5, 0.75]).agg(F.first("quantile"))
-        .toDF("column", "level", "q1", "median", "q3")
-    )
-    return sized_join(basic, quarts, ["column", "level"], "inner").select(
-        "column", "level", "n", "low", "q1", "median", "q3", "high"
+    quarts = quantiles(long, ["column", "level"], "_y", [0.25, 0.5, 0.75])
+    named = lambda p, name: F.max(F.when(q("prob") == p, q("quantile"))).alias(name)
+    return quarts.groupBy("column", "level").agg(
+        F.max("n").alias("n"), F.max("low").alias("low"), named(0.25, "q1"), named(0.5, "median"), named(0.75, "q3"),
+        F.max("high").alias("high"),
     )
 
 

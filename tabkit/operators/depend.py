@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tabkit.functions.expr import no_nan, normal_tail, q
 from tabkit.operators.ordering import ordered_prefix, to_long
-from tabkit.session import settle, sized_join
+from tabkit.session import settle, sized_join, sized_like
 
 DIGIT = 16
 CHUNK = 100
@@ -46,7 +46,8 @@ def level_codes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         .groupBy("column", "i", "d", "s").agg(F.count(F.lit(1)).alias("n"))
         .withColumn("_one", F.lit(1).cast("bigint"))
     )
-    return settle(ordered_prefix(levels, ["column"], ["i", "d", "s"], "_one", "code").drop("_one"))
+    held = ordered_prefix(levels, ["column"], ["i", "d", "s"], "_one", "code")
+    return sized_like(held.drop("_one"), held)
 
 
 def apply_level_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -54,7 +55,7 @@ def apply_level_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str]) -> D
     for c in cols:
         t = df.schema[c].dataType
         slot = "s" if isinstance(t, T.StringType) else "d" if isinstance(t, T.FractionalType) else "i"
-        one = codes.filter(q("column") == c).select(q(slot).alias("_k"), q("code").alias("_code"))
+        one = sized_like(codes.filter(q("column") == c).select(q(slot).alias("_k"), q("code").alias("_code")), codes)
         joined = sized_join(df.withColumn("_k", q(c).cast(one.schema["_k"].dataType)), one, "_k", "left")
         df = joined.select(*[q("_code").alias(c) if n == c else q(n) for n in df.columns])
     return df
@@ -191,21 +192,26 @@ def _cells(df: DataFrame, cols: Sequence[str], response: str) -> DataFrame:
 def spearman(df: DataFrame, cols: Sequence[str], response: str) -> DataFrame:
     """Rank correlation of each column with the response: ``(variable, stat, z, p_val)``."""
     cells = _cells(df, cols, response)
+    sides = F.array(*[F.struct(F.lit(c).alias("side"), q(c).alias("value")) for c in ("x", "y")])
+    margins = (
+        cells.select("column", "n", F.explode(sides).alias("_s")).select("column", "_s.*", "n")
+        .groupBy("column", "side", "value").agg(F.sum("n").alias("n"))
+    )
+    held = ordered_prefix(margins, ["column", "side"], ["value"], "n")
 
     def ranks(side: str) -> DataFrame:
-        margin = cells.groupBy("column", side).agg(F.sum("n").alias("n"))
-        held = ordered_prefix(margin, ["column"], [side], "n")
-        return settle(held.select("column", side, (q("before") + (q("n") + 1) / 2).alias(f"r{side}")))
+        one = held.filter(q("side") == side).select(
+            "column", q("value").alias(side), (q("before") + (q("n") + 1) / 2).alias(f"r{side}"))
+        return sized_like(one, held)
 
     both = sized_join(sized_join(cells, ranks("x"), ["column", "x"], "inner"), ranks("y"), ["column", "y"], "inner")
-    # ranks are centred by the mean rank (N + 1) / 2 before the sums
-    totals = settle(cells.groupBy("column").agg(F.sum("n").alias("_N")))
-    dx, dy = q("rx") - (q("_N") + 1) / 2, q("ry") - (q("_N") + 1) / 2
-    s = sized_join(both, totals, "column", "inner").groupBy("column").agg(
-        F.sum(q("n") * dx * dy).alias("sxy"), F.sum(q("n") * dx * dx).alias("sxx"),
-        F.sum(q("n") * dy * dy).alias("syy"), F.max("_N").alias("N"),
+    s = both.groupBy("column").agg(
+        F.sum(q("n") * q("rx") * q("ry")).alias("xy"), F.sum(q("n") * q("rx") * q("rx")).alias("xx"),
+        F.sum(q("n") * q("ry") * q("ry")).alias("yy"), F.sum("n").alias("N"),
     )
-    r = F.try_divide(q("sxy"), F.sqrt(q("sxx") * q("syy")))
+    # the mean rank is (N + 1) / 2 on both sides, ties or not
+    shift = q("N") * ((q("N") + 1) / 2) * ((q("N") + 1) / 2)
+    r = F.try_divide(q("xy") - shift, F.sqrt((q("xx") - shift) * (q("yy") - shift)))
     z = r * F.sqrt(q("N") - 1)
     return s.select(q("column").alias("variable"), r.alias("stat"), z.alias("z"), normal_tail(z).alias("p_val"))
 
@@ -222,9 +228,12 @@ def kendall(df: DataFrame, cols: Sequence[str], response: str) -> DataFrame:
     margin_x = cells.groupBy("column", "x").agg(F.sum("n").alias("n"))
     margin_y = cells.groupBy("column", "y").agg(F.sum("n").alias("n"))
     levels = margin_x.withColumn("_one", F.lit(1).cast("bigint"))
-    codes = settle(ordered_prefix(levels, ["column"], ["x"], "_one", "code").select("column", "x", "n", "code"))
+    codes = ordered_prefix(levels, ["column"], ["x"], "_one", "code")
     most = codes.agg(F.max("code")).first()[0] or 0
-    placed = settle(sized_join(cells, codes.drop("n"), ["column", "x"], "inner").select("column", "code", "y", "n"))
+    coded = sized_like(codes.select("column", "x", "code"), codes)
+    placed = sized_join(cells, coded, ["column", "x"], "inner").select("column", "code", "y", "n")
+    if most >= DIGIT:
+        placed = settle(placed)
 
     net = None
     level = 0

@@ -13,7 +13,7 @@ from tabkit.functions.expr import q
 from tabkit.operators.moments import gram_by_fold, squared_error
 from tabkit.operators.regress import Linear
 from tabkit.operators.search import score_trials
-from tabkit.session import settle, sized_join
+from tabkit.session import settle, sized_join, store
 
 
 def vote(preds: DataFrame, weights: DataFrame | None = None, key: str = "id") -> DataFrame:
@@ -49,7 +49,7 @@ def out_of_fold(
         cols[n] = e
     made = df.withColumns(cols) if cols else df
     if other:
-        made = settle(made)
+        made = store(made)
         parts = []
         for f in grams:
             rest, part = made.filter(q(fold) != f), made.filter(q(fold) == f)
@@ -91,7 +91,7 @@ class Stack:
 
         inner = df.withColumn("_fold", fold_of(q(self.key), self.folds, seed=40503))
         carried = list(features) if self.use_features else []
-        oof = settle(out_of_fold(inner, self.members, features, label, "_fold", keep=[self.key, *carried]))
+        oof = store(out_of_fold(inner, self.members, features, label, "_fold", keep=[self.key, *carried]))
         meta = self.meta.fit(oof, [*self.members, *carried], label)
         return FittedStack({n: m.fit(df, features, label) for n, m in self.members.items()}, meta)
 

@@ -18,7 +18,7 @@ from tabkit.operators.ordering import column_modes, column_quantiles, ordered_pr
 from tabkit.operators.profile import null_counts
 from tabkit.operators.regress import LinearFit, fit_ridge
 from tabkit.operators.roles import Roles
-from tabkit.session import settle, sized_join
+from tabkit.session import settle, sized_join, store
 
 
 def apply_fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -94,7 +94,7 @@ def impute_categoricals(df: DataFrame, roles: Roles, response: str, classifier=N
     """Fill every categorical column with nulls, one after another."""
     nulls = {r["column"] for r in null_counts(df).collect()}
     for col in [c for c in roles.within(df).cat if c in nulls and c != response]:
-        df = settle(impute_categorical(df, col, roles, response, classifier))
+        df = store(impute_categorical(df, col, roles, response, classifier))
     return df
 
 
@@ -166,7 +166,7 @@ def impute_chained(
     for t in order:
         gap = q(t).isNull() if gap is None else gap | q(t).isNull()
     base = df.select(q(key), *[q(c).cast("double").alias(c) for c in inputs])
-    whole = settle(base.filter(~gap))
+    whole = store(base.filter(~gap))
     holes = settle(apply_fill(
         base.filter(gap).withColumns({f"_was_{t}": q(t).isNull() for t in order}), starts))
     absent = whole.withColumns({f"_was_{t}": F.lit(False) for t in order})

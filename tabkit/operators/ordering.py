@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.functions.expr import q
-from tabkit.session import settle, sized_join
+from tabkit.session import settle, sized_join, sized_like
 
 
 def ordered_prefix(
@@ -57,12 +57,13 @@ def ordered_prefix(
         carried[r["_part"]] = start.tolist()
         total = tail + start if r["one_group"] else tail
         group = r["last"]
+    result = local
     if any(np.any(c) for c in carried.values()):
         held = F.array(*[_long_literal(carried.get(i, carried[min(carried)])) for i in range(max(carried) + 1)])
         start = F.element_at(held, q("_part") + 1)
         moved = F.zip_with(q(out), start, lambda a, b: a + b) if is_array else q(out) + start
-        local = local.withColumn(out, F.when(q("_lead"), moved).otherwise(q(out)))
-    return local.drop("_part", "_lead", "_pos")
+        result = local.withColumn(out, F.when(q("_lead"), moved).otherwise(q(out)))
+    return sized_like(result.drop("_part", "_lead", "_pos"), local)
 
 
 def _long_literal(value):
@@ -133,7 +134,9 @@ def to_long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), as_type
 def quantiles(
     long: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], accuracy: int = 1000
 ) -> DataFrame:
-    """Exact interpolated quantiles per group of at least one column: rows ``(by, prob, quantile)``.
+    """Exact interpolated quantiles per group of at least one column.
+
+    Rows ``(by, prob, quantile, n, low, high)`` with the group's size and extremes.
 
     A sketch brackets every target rank; only the values inside the brackets, a share of about
     ``4 / accuracy`` of the rows, are shuffled and ordered. Should a bracket miss, the whole range
@@ -160,7 +163,7 @@ def quantiles(
     ])
     bracket = settle(
         sketch.select(*[q(b) for b in by], "_n", "_min", "_max", F.explode(wanted).alias("_w"))
-        .select(*[q(b) for b in by], "_min", "_max", "_w.*")
+        .select(*[q(b) for b in by], "_n", "_min", "_max", "_w.*")
     )
     got, missed = _pick(long, bracket, by)
     if missed:
@@ -180,16 +183,18 @@ def _pick(long: DataFrame, bracket: DataFrame, by: list[str]):
     covers0 = (F.floor("_at") >= q("before")) & (F.floor("_at") < q("before") + q("n"))
     covers1 = (F.ceil("_at") >= q("before")) & (F.ceil("_at") < q("before") + q("n"))
     found = settle(
-        sized_join(held, bracket.select(*[q(g) for g in group], "_at"), group, "inner")
+        sized_join(held, sized_like(bracket.select(*[q(g) for g in group], "_at", "_n", "_min", "_max"), bracket), group, "inner")
         .groupBy(*[q(g) for g in group])
         .agg(
             F.max(F.when(covers0, q("_v"))).alias("_a"), F.max(F.when(covers1, q("_v"))).alias("_b"),
-            F.max("_at").alias("_at"),
+            *[F.max(c).alias(c) for c in ("_at", "_n", "_min", "_max")],
         )
     )
     missed = found.filter("_a is null or _b is null").limit(1).count() > 0
     value = q("_a") + (q("_b") - q("_a")) * (q("_at") - F.floor("_at"))
-    return found.select(*[q(g) for g in group], value.alias("quantile")), missed
+    return found.select(
+        *[q(g) for g in group], value.alias("quantile"), q("_n").alias("n"), q("_min").alias("low"), q("_max").alias("high")
+    ), missed
 
 
 def column_quantiles(df: DataFrame, cols: Sequence[str], prob: float = 0.5) -> dict[str, float]:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import q
@@ -58,17 +58,14 @@ def null_counts_by_split(df: DataFrame, exclude: Sequence[str] = ()) -> DataFram
 
 def null_share_by_split(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """Per split, each column's share of all nulls of the split."""
-    counts = settle(null_counts_by_split(df, exclude))
-    totals = settle(counts.groupBy("split").agg(F.sum("nulls").alias("_all")))
-    return sized_join(counts, totals, "split", "inner").select(
-        "split", "column", "nulls", (q("nulls") / q("_all")).alias("share")
-    )
+    # one row per column and split
+    whole = Window.partitionBy("split")
+    return null_counts_by_split(df, exclude).withColumn("share", q("nulls") / F.sum("nulls").over(whole))
 
 
 def null_share_in_both(df: DataFrame, a: str = "train", b: str = "test", exclude: Sequence[str] = ()) -> DataFrame:
     """Null shares of the columns with nulls in both splits."""
-    shares = settle(null_share_by_split(df, exclude))
-    wide = shares.groupBy("column").pivot("split", [a, b]).agg(F.first("share"))
+    wide = null_share_by_split(df, exclude).groupBy("column").pivot("split", [a, b]).agg(F.first("share"))
     return wide.filter(q(a).isNotNull() & q(b).isNotNull()).select(
         "column", q(a).alias(f"{a}_share"), q(b).alias(f"{b}_share")
     )

@@ -188,10 +188,13 @@ def boosted_trees(
     max_depth: int = 3, n_estimators: int = 20, learning_rate: float = 0.1, gamma: float = 0.0,
     min_child_weight: int = 1, subsample: float = 1.0, colsample: float = 1.0, seed: int = 27,
 ) -> SparkML:
-    """Squared-error gradient boosting; parameters by their boosting-library names."""
+    """Squared-error gradient boosting; parameters by their boosting-library names.
+
+    Spark fits each tree to twice the residual, so its step is half the learning rate.
+    """
     share = "all" if colsample >= 1.0 else str(float(colsample))
     return SparkML(GBTRegressor(
-        maxDepth=int(max_depth), maxIter=int(n_estimators), stepSize=learning_rate, minInfoGain=gamma,
+        maxDepth=int(max_depth), maxIter=int(n_estimators), stepSize=learning_rate / 2, minInfoGain=gamma,
         minInstancesPerNode=int(min_child_weight), subsamplingRate=subsample, featureSubsetStrategy=share, seed=seed,
     ))
 

@@ -17,7 +17,7 @@ from tabkit.operators.impute import impute_categoricals, impute_chained, impute_
 from tabkit.operators.roles import Roles, columns_matching, enforce_types
 from tabkit.operators.rows import apply_corrections, drop_first_match, drop_matching, drop_sparse_columns
 from tabkit.plans.variants import build_variants
-from tabkit.session import settle
+from tabkit.session import store
 
 # --- fixed values: roles of the columns ----------------------------------------------------------
 
@@ -129,11 +129,11 @@ def prepare(full: DataFrame, outliers: str = "all", iterations: int = 6, donors:
     if CORRECTION[2] in df.columns:
         fixes = df.sparkSession.createDataFrame([CORRECTION], "split string, id bigint, `column` string, value string")
         df = apply_corrections(df, fixes, KEY, [CORRECTION[2]])
-    df = settle(df)
+    df = store(df)
     roles = ROLES.within(df)
-    df = settle(impute_few(df, roles, **FEW))
+    df = store(impute_few(df, roles, **FEW))
     df = impute_categoricals(df, roles, RESPONSE, classifier)
-    df = settle(impute_numbers(df, roles, iterations, donors))
+    df = store(impute_numbers(df, roles, iterations, donors))
     return enforce_types(df, roles)
 
 

@@ -12,6 +12,7 @@ from tabkit.operators.ordering import column_quantiles
 from tabkit.queries import dependence, derived, encoding, models, profiles, rows, sources  # noqa: F401
 from tabkit.queries.obs import PRIORITY, obs, with_obs
 from tabkit.queries.registry import QUERIES, SQL, query, rounded
+from tabkit.session import store
 
 __all__ = ["QUERIES", "SQL", "flagship"]
 
@@ -26,7 +27,7 @@ SELECT 'priority' AS "column", CAST(code AS VARCHAR) AS level, count(*) AS n, ro
  round(max(log_price),6) AS high, round(avg(acctbal),4) AS mean_acctbal, round(avg(log_gross),6) AS mean_log_gross FROM e GROUP BY code"""))
 def flagship(spark, sf):
     """Codes, median fill, logs, then the log price per priority code over the training rows."""
-    df = obs(spark, sf, ("id", "split", "priority", "acctbal", "gross", "price"))
+    df = store(obs(spark, sf, ("id", "split", "priority", "acctbal", "gross", "price")))
     df = encode_ordinals(df, PRIORITY)
     df = apply_fill(df, column_quantiles(df, ["acctbal"]))
     df = log_transform(df, ["gross"], zero="min")

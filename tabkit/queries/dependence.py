@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import functions as F
-
 from tabkit.functions.expr import q
 from tabkit.operators.density import bin_index, column_ranges
 from tabkit.operators.depend import (

@@ -19,7 +19,7 @@ from tabkit.operators.rows import drop_columns
 from tabkit.plans.variants import build_variants
 from tabkit.queries.obs import QUANTS_FOR_WEIGHTS, obs, with_obs
 from tabkit.queries.registry import query, rnd, rounded, table
-from tabkit.session import settle
+from tabkit.session import settle, store
 
 # The level merges used by the queries; the last rule of each matches nothing.
 MERGES = {
@@ -245,7 +245,7 @@ def h3(spark, sf):
     from tabkit.operators.regress import boosted_trees
     from tabkit.queries.obs import FEATURES, model_obs
 
-    fitted = boosted_trees(max_depth=3, n_estimators=5).fit(settle(model_obs(spark, sf)), FEATURES, "y")
+    fitted = boosted_trees(max_depth=3, n_estimators=5).fit(store(model_obs(spark, sf)), FEATURES, "y")
     return top_importances(fitted.importances(spark), 3)
 
 

@@ -18,7 +18,7 @@ from tabkit.operators.impute import match_donors
 from tabkit.operators.roles import Roles
 from tabkit.queries.obs import KEY, PRIORITY, obs, with_obs
 from tabkit.queries.registry import query, rnd, rounded, table
-from tabkit.session import settle
+from tabkit.session import store
 
 
 
@@ -57,7 +57,7 @@ def _mode(c: str) -> str:
 @query("e4_impute_few", with_obs(f"""SELECT id, split, coalesce(segment, {_mode('segment')}) AS segment, priority,
  coalesce(qty, (SELECT median(qty) FROM obs)) AS qty, acctbal, n_lines FROM obs"""))
 def e4(spark, sf):
-    df = obs(spark, sf, ("id", "split", "segment", "priority", "qty", "acctbal", "n_lines"))
+    df = store(obs(spark, sf, ("id", "split", "segment", "priority", "qty", "acctbal", "n_lines")))
     limit = df.count() // 50
     roles = Roles(cat=("segment", "priority"), ord=("n_lines",), quant=("qty", "acctbal"), key=KEY)
     return impute_few(df, roles, max_cat=limit, max_ord=limit, max_quant=limit)
@@ -65,14 +65,14 @@ def e4(spark, sf):
 
 @query("e5_impute_categorical")
 def e5(spark, sf):
-    df = settle(obs(spark, sf, ("id", "split", "segment", "status", "month_sold", "n_lines", "acctbal", "price")))
+    df = store(obs(spark, sf, ("id", "split", "segment", "status", "month_sold", "n_lines", "acctbal", "price")))
     roles = Roles(cat=("segment", "status"), ord=("month_sold", "n_lines"), quant=("acctbal",), response="price", key=KEY)
     return impute_categorical(df, "segment", roles, "price").select("id", "segment", "status", "acctbal")
 
 
 @query("e5_impute_categoricals")
 def e5_all(spark, sf):
-    df = settle(obs(spark, sf, ("id", "split", "segment", "status", "priority", "n_lines", "price")))
+    df = store(obs(spark, sf, ("id", "split", "segment", "status", "priority", "n_lines", "price")))
     roles = Roles(cat=("segment", "status", "priority"), ord=("n_lines",), response="price", key=KEY)
     done = impute_categoricals(df, roles, "price")
     return done.groupBy("segment", "priority").agg(F.count(F.lit(1)).alias("n"))
@@ -88,10 +88,25 @@ def e5_mode(spark, sf):
 
 @query("e6_impute_chained")
 def e6(spark, sf):
-    df = settle(obs(spark, sf, ("id", "month_sold", "n_lines", "n_ret", "tax0", "acctbal", "qty", "gross")))
+    df = store(obs(spark, sf, ("id", "month_sold", "n_lines", "n_ret", "tax0", "acctbal", "qty", "gross")))
     return impute_chained(df, "id", ["acctbal", "qty", "gross"], ["month_sold", "n_lines", "n_ret", "tax0"], iterations=2, donors=5)
 
 
+@query("e6_chained_one_predictor", with_obs("""
+, l AS (SELECT regr_slope(acctbal, n_lines) AS b, regr_intercept(acctbal, n_lines) AS a FROM obs WHERE acctbal IS NOT NULL)
+, d AS (SELECT id, acctbal, round(a+b*n_lines,6) AS p FROM obs, l WHERE acctbal IS NOT NULL)
+, g AS (SELECT p, min_by(acctbal, id) AS first_value, max_by(acctbal, id) AS last_value, min(id) AS first_id, max(id) AS last_id FROM d GROUP BY p)
+, m AS (SELECT id, round(a+b*n_lines,6) AS p FROM obs, l WHERE acctbal IS NULL)
+, c AS (SELECT m.id, g.first_id AS donor, g.first_value AS v, abs(g.p-m.p) AS gap, row_number() OVER (PARTITION BY m.id ORDER BY g.p) AS r FROM m JOIN g ON g.p >= m.p
+  UNION ALL SELECT m.id, g.last_id, g.last_value, abs(g.p-m.p), row_number() OVER (PARTITION BY m.id ORDER BY g.p DESC) FROM m JOIN g ON g.p < m.p)
+, n AS (SELECT id, v, row_number() OVER (PARTITION BY id ORDER BY gap, donor) AS r FROM c WHERE r = 1)
+SELECT obs.id, n_lines, coalesce(acctbal, v) AS acctbal FROM obs LEFT JOIN (SELECT * FROM n WHERE r = 1) n ON obs.id=n.id"""))
+def e6_one(spark, sf):
+    """One target, one predictor, one donor and no bootstrap: the nearest donor's value."""
+    df = store(obs(spark, sf, ("id", "n_lines", "acctbal")))
+    return impute_chained(df, "id", ["acctbal"], ["n_lines"], iterations=1, donors=1, bootstrap=False)
+
+
 @query("e6_one_donor_step", with_obs("""
 , l AS (SELECT regr_slope(acctbal, qty) AS b, regr_intercept(acctbal, qty) AS a FROM obs WHERE acctbal IS NOT NULL AND qty IS NOT NULL)
 , d AS (SELECT id, acctbal, round(a+b*qty,6) AS p FROM obs, l WHERE acctbal IS NOT NULL AND qty IS NOT NULL)
@@ -101,7 +116,7 @@ def e6(spark, sf):
 SELECT id, round(least(coalesce(abs(p-below),1e300), coalesce(abs(above-p),1e300)),5) AS gap FROM n"""))
 def e6_step(spark, sf):
     """Distance of the nearest donor's prediction, which the drawn donor must attain."""
-    df = settle(obs(spark, sf, ("id", "acctbal", "qty")).filter("qty is not null"))
+    df = store(obs(spark, sf, ("id", "acctbal", "qty")).filter("qty is not null"))
     seen = df.filter("acctbal is not null")
     b, w = fit_ridge(gram_by_fold(seen, ["qty"], "acctbal")[0], 0.0)
     pred = F.round(F.lit(b) + F.lit(float(w[0])) * q("qty"), 6)

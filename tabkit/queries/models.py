@@ -13,6 +13,7 @@ from tabkit.operators.evaluate import (
     predictions, train_rmse,
 )
 from tabkit.operators.moments import gram_by_fold, moments
+from tabkit.operators.ranking import top_importances
 from tabkit.operators.regress import (
     KernelRobust, Linear, LinearFit, boosted_trees, fit_pls, knn_regress, lasso, random_tree, tree,
 )
@@ -23,7 +24,7 @@ from tabkit.operators.search import (
 from tabkit.plans.modelling import fit_all
 from tabkit.queries.obs import FEATURES, MODEL_SQL, model_obs, obs, with_obs
 from tabkit.queries.registry import query, rnd, rounded, table
-from tabkit.session import settle
+from tabkit.session import settle, store
 
 
 def model_sql(body: str) -> str:
@@ -37,6 +38,14 @@ def _moments_sql() -> str:
         for a, b in combinations_with_replacement(names, 2)))
 
 
+_MEMBERS = {"a": Linear("ridge", {"alpha": 0.0}), "b": Linear("ridge", {"alpha": 500.0})}
+_OOF = """, f AS (SELECT fold, count(*)::DOUBLE AS n, sum(x4) AS sx, sum(y) AS sy, sum(x4*x4) AS sxx, sum(x4*y) AS sxy FROM m GROUP BY fold)
+, a AS (SELECT sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM f)
+, r AS (SELECT fold, a.n-f.n AS n, a.sx-f.sx AS sx, a.sy-f.sy AS sy, a.sxx-f.sxx AS sxx, a.sxy-f.sxy AS sxy FROM f, a)
+, k AS (SELECT fold, sx/n AS mx, sy/n AS my, (sxy-sx*sy/n)/(sxx-sx*sx/n) AS wa, (sxy-sx*sy/n)/(sxx-sx*sx/n+500) AS wb FROM r)
+, o AS (SELECT id, fold, y, my+wa*(x4-mx) AS a, my+wb*(x4-mx) AS b FROM m JOIN k USING (fold))"""
+
+
 @query("i1_moments", _moments_sql())
 def i1(spark, sf):
     return rounded(moments(model_obs(spark, sf), ["x4", "x5"], "y", "fold"), ["value"], 4)
@@ -56,27 +65,35 @@ def _weights(spark, df, fitted: LinearFit):
 @query("i2_fit_ridge", model_sql(_CENTRED + """, w AS (SELECT n, m4, m5, my, (s4*(s55+2)-s5*s45)/((s44+2)*(s55+2)-s45*s45) AS w4, (s5*(s44+2)-s4*s45)/((s44+2)*(s55+2)-s45*s45) AS w5 FROM s)
  SELECT n, round(my-w4*m4-w5*m5,6) AS intercept, round(w4,6) AS x4, round(w5,6) AS x5 FROM w"""))
 def i2(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     return _weights(spark, df, Linear("ridge", {"alpha": 2.0}).fit(df, ["x4", "x5"], "y"))
 
 
 @query("i2_ridge_predictions", model_sql(", w AS (SELECT avg(x4) AS m4, avg(y) AS my, covar_pop(x4,y)*count(*)/(var_pop(x4)*count(*)+1) AS w FROM m) "
        "SELECT id, round(my+w*(x4-m4),6) AS prediction FROM m, w"))
 def i2_predict(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     fitted = Linear("ridge", {"alpha": 1.0}).fit(df, ["x4"], "y")
     return fitted.predict(df).select("id", rnd("prediction").alias("prediction"))
 
 
 @query("i3_fit_lasso")
 def i3(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     return lasso(0.001).fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 
 
+@query("i3_lasso_one_column", model_sql(""", s AS (SELECT avg(x4) AS mx, avg(y) AS my, covar_pop(x4,y)/stddev_pop(x4) AS c, stddev_pop(x4) AS sx FROM m)
+ SELECT id, round(my + sign(c)*greatest(abs(c)-0.001,0)/sx*(x4-mx),4) AS prediction FROM m, s"""))
+def i3_one(spark, sf):
+    """With one column the penalty shortens the weight by a known amount."""
+    df = store(model_obs(spark, sf))
+    return lasso(0.001).fit(df, ["x4"], "y").predict(df).select("id", rnd("prediction", 4).alias("prediction"))
+
+
 @query("i4_fit_bayesian_ridge")
 def i4(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     return _weights(spark, df, Linear("bridge").fit(df, FEATURES, "y"))
 
 
@@ -86,7 +103,7 @@ def i4(spark, sf):
 , t AS (SELECT *, (r4*c4+r5*c5)/(r4*r4*s44/d4/d4 + r5*r5*s55/d5/d5 + 2*r4*r5*s45/d4/d5) AS b FROM u)
 SELECT n, round(my - b*r4/d4*m4 - b*r5/d5*m5,6) AS intercept, round(b*r4/d4,6) AS x4, round(b*r5/d5,6) AS x5 FROM t"""))
 def i5(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     return _weights(spark, df, Linear("pls", {"n_components": 1}).fit(df, ["x4", "x5"], "y"))
 
 
@@ -94,14 +111,14 @@ def i5(spark, sf):
  SELECT n, round(my-w4*m4-w5*m5,6) AS intercept, round(w4,6) AS x4, round(w5,6) AS x5 FROM w"""))
 def i5_full(spark, sf):
     """As many components as columns: least squares."""
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     b, w = fit_pls(gram_by_fold(df, ["x4", "x5"], "y")[0], 2)
     return _weights(spark, df, LinearFit(("x4", "x5"), b, tuple(w)))
 
 
 @query("i6_fit_kernel_robust")
 def i6(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     return KernelRobust(gamma=0.5, width=32).fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 
 
@@ -116,22 +133,61 @@ def i7(spark, sf):
 
 @query("i8_fit_tree")
 def i8(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     return tree(5).fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 
 
 @query("i9_fit_random_tree")
 def i9(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     return random_tree(5).fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 
 
 @query("i10_fit_boosted_trees")
 def i10(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     return boosted_trees(max_depth=3, n_estimators=10).fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 
 
+def _stump(source: str, x: str, y: str, tag: str) -> str:
+    """Best single split of ``y`` by ``x``: named query ``st<tag>`` with (cut, low, high, gain)."""
+    return f""", lv{tag} AS (SELECT {x} AS v, count(*)::DOUBLE AS n, sum({y}) AS s FROM {source} GROUP BY 1)
+, cu{tag} AS (SELECT v, sum(n) OVER (ORDER BY v) AS nl, sum(s) OVER (ORDER BY v) AS sl, sum(n) OVER () AS tn, sum(s) OVER () AS ts FROM lv{tag})
+, st{tag} AS (SELECT v AS cut, sl/nl AS low, (ts-sl)/(tn-nl) AS high, sl*sl/nl + (ts-sl)*(ts-sl)/(tn-nl) AS gain FROM cu{tag} WHERE nl < tn ORDER BY gain DESC, v LIMIT 1)"""
+
+
+_ONE_SPLIT = model_sql(_stump("m", "x2", "y", "1") + " SELECT id, round(CASE WHEN x2 <= cut THEN low ELSE high END,6) AS prediction FROM m, st1")
+
+
+def _one_split(spark, sf, spec):
+    df = store(model_obs(spark, sf))
+    return spec.fit(df, ["x2"], "y").predict(df).select("id", rnd("prediction").alias("prediction"))
+
+
+@query("i8_tree_one_split", _ONE_SPLIT)
+def i8_one(spark, sf):
+    return _one_split(spark, sf, tree(1))
+
+
+@query("i9_random_tree_one_split", _ONE_SPLIT)
+def i9_one(spark, sf):
+    return _one_split(spark, sf, random_tree(1))
+
+
+@query("i10_boosted_two_splits", model_sql(_stump("m", "x2", "y", "1") + ", r1 AS (SELECT *, CASE WHEN x2 <= cut THEN low ELSE high END AS p1 FROM m, st1), r2 AS (SELECT id, x2, p1, y-p1 AS e FROM r1)"
+       + _stump("r2", "x2", "e", "2") + " SELECT id, round(p1 + 0.2*CASE WHEN x2 <= cut THEN low ELSE high END,6) AS prediction FROM r2, st2"))
+def i10_two(spark, sf):
+    """Two stumps, the second on what the first leaves, at the learning rate."""
+    return _one_split(spark, sf, boosted_trees(max_depth=1, n_estimators=2, learning_rate=0.2))
+
+
+@query("h3_importance_one_split", model_sql(_stump("m", "x2", "y", "1") + _stump("m", "x3", "y", "2") + """
+ SELECT CASE WHEN st1.gain > st2.gain THEN 'x2' ELSE 'x3' END AS feature, 1.0::DOUBLE AS importance FROM st1, st2"""))
+def h3_one(spark, sf):
+    fitted = tree(1).fit(store(model_obs(spark, sf)), ["x2", "x3"], "y")
+    return top_importances(fitted.importances(spark), 1)
+
+
 @query("i11_assign_folds", "SELECT o_orderkey AS id, CAST((o_orderkey*30011)%65521%5 AS BIGINT) AS fold FROM orders")
 def i11(spark, sf):
     return assign_folds(table(spark, sf, "orders").select(q("o_orderkey").alias("id")))
@@ -179,12 +235,24 @@ def i13(spark, sf):
 
 @query("i14_fit_all")
 def i14(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     specs = {"ridge": Linear("ridge"), "bridge": Linear("bridge"), "pls": Linear("pls", {"n_components": 2}), "tree": tree(4)}
     inside, outside = fit_all({"full": (df, FEATURES), "few": (df, FEATURES[:3])}, specs, "y", "fold")
     return compare_models(inside, outside)
 
 
+@query("i14_fit_all_linear", model_sql(_OOF + """
+, z AS (SELECT avg(x4) AS mx, avg(y) AS my, covar_pop(x4,y)*count(*) AS c, var_pop(x4)*count(*) AS v FROM m)
+, i AS (SELECT avg(pow(y-(my+c/v*(x4-mx)),2)) AS ea, avg(pow(y-(my+c/(v+500)*(x4-mx)),2)) AS eb FROM m, z)
+, h AS (SELECT sqrt(avg(ea)) AS ea, sqrt(avg(eb)) AS eb FROM (SELECT avg(pow(y-a,2)) AS ea, avg(pow(y-b,2)) AS eb FROM o GROUP BY fold))
+, q AS (SELECT 'a' AS model, sqrt(i.ea) AS train_rmse, h.ea AS cv_rmse FROM i, h UNION ALL SELECT 'b', sqrt(i.eb), h.eb FROM i, h)
+SELECT d AS dataset, model, round(train_rmse,6) AS train_rmse, round(cv_rmse,6) AS cv_rmse FROM q, (VALUES ('one'),('two')) t(d)"""))
+def i14_linear(spark, sf):
+    df = store(model_obs(spark, sf))
+    inside, outside = fit_all({"one": (df, ["x4"]), "two": (df, ["x4"])}, _MEMBERS, "y", "fold")
+    return rounded(compare_models(inside, outside), ["train_rmse", "cv_rmse"])
+
+
 @query("i15_compare_models", with_obs(_means_sql() + """ SELECT dataset, model, round(tr.e,6) AS train_rmse,
  CASE WHEN model='mean_nation' THEN 0.5 ELSE round(cv.e,6) END AS cv_rmse FROM tr JOIN cv USING (dataset, model)"""))
 def i15(spark, sf):
@@ -257,7 +325,7 @@ def j2(spark, sf):
 def j2_trees(spark, sf):
     from pyspark.ml.regression import DecisionTreeRegressor
 
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     trials = trial_table(spark, {"max_depth": ("quniform", 1, 4, 1)}, 3)
     return evaluate_ml_trials(df, FEATURES, "y", "fold", trials, lambda p: DecisionTreeRegressor(maxDepth=int(p["max_depth"]), seed=1), 5)
 
@@ -307,14 +375,6 @@ def j7_uniform(spark, sf):
     return rounded(vote(_level_means(spark, sf)[0]), ["p"])
 
 
-_MEMBERS = {"a": Linear("ridge", {"alpha": 0.0}), "b": Linear("ridge", {"alpha": 500.0})}
-_OOF = """, f AS (SELECT fold, count(*)::DOUBLE AS n, sum(x4) AS sx, sum(y) AS sy, sum(x4*x4) AS sxx, sum(x4*y) AS sxy FROM m GROUP BY fold)
-, a AS (SELECT sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM f)
-, r AS (SELECT fold, a.n-f.n AS n, a.sx-f.sx AS sx, a.sy-f.sy AS sy, a.sxx-f.sxx AS sxx, a.sxy-f.sxy AS sxy FROM f, a)
-, k AS (SELECT fold, sx/n AS mx, sy/n AS my, (sxy-sx*sy/n)/(sxx-sx*sx/n) AS wa, (sxy-sx*sy/n)/(sxx-sx*sx/n+500) AS wb FROM r)
-, o AS (SELECT id, fold, y, my+wa*(x4-mx) AS a, my+wb*(x4-mx) AS b FROM m JOIN k USING (fold))"""
-
-
 @query("j8_out_of_fold", model_sql(_OOF + " SELECT id, fold, round(y,6) AS y, round(a,6) AS a, round(b,6) AS b FROM o"))
 def j8(spark, sf):
     return rounded(out_of_fold(model_obs(spark, sf), _MEMBERS, ["x4"], "y", "fold"), ["y", "a", "b"])
@@ -322,26 +382,38 @@ def j8(spark, sf):
 
 @query("j8_out_of_fold_trees")
 def j8_trees(spark, sf):
-    return out_of_fold(settle(model_obs(spark, sf)), {"ridge": Linear(), "tree": tree(3)}, FEATURES, "y", "fold")
+    return out_of_fold(store(model_obs(spark, sf)), {"ridge": Linear(), "tree": tree(3)}, FEATURES, "y", "fold")
 
 
 @query("j9_stack")
 def j9(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     stack = Stack({"ridge": Linear(), "pls": Linear("pls", {"n_components": 2}), "tree": tree(3)}, Linear("ridge", {"alpha": 1.0}))
     return stack.fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 
 
+@query("j9_stack_linear", model_sql(_OOF.replace("FROM m GROUP BY fold", "FROM m2 GROUP BY fold").replace("FROM m JOIN k", "FROM m2 JOIN k")
+       .replace(", f AS", ", m2 AS (SELECT id, x4, y, (id*40503)%65521%5 AS fold FROM m), f AS", 1) + """
+, g AS (SELECT avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a)*count(*)+1 AS aa, var_pop(b)*count(*)+1 AS bb, covar_pop(a,b)*count(*) AS ab,
+  covar_pop(a,y)*count(*) AS ay, covar_pop(b,y)*count(*) AS zb FROM o)
+, v AS (SELECT *, (ay*bb-zb*ab)/(aa*bb-ab*ab) AS va, (zb*aa-ay*ab)/(aa*bb-ab*ab) AS vb FROM g)
+, z AS (SELECT avg(x4) AS mx, avg(y) AS zy, covar_pop(x4,y)*count(*) AS c, var_pop(x4)*count(*) AS w FROM m)
+SELECT id, round(my-va*ma-vb*mb + va*(zy+c/w*(x4-mx)) + vb*(zy+c/(w+500)*(x4-mx)),6) AS prediction FROM m, v, z"""))
+def j9_linear(spark, sf):
+    df = store(model_obs(spark, sf))
+    return Stack(_MEMBERS, Linear("ridge", {"alpha": 1.0})).fit(df, ["x4"], "y").predict(df).select("id", rnd("prediction").alias("prediction"))
+
+
 @query("j9_stack_with_features")
 def j9_features(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     stack = Stack({"ridge": Linear(), "pls": Linear("pls", {"n_components": 2})}, boosted_trees(3, 5), use_features=True)
     return stack.fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 
 
 @query("j9_voter")
 def j9_voter(spark, sf):
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     voter = Voter({"ridge": Linear(), "tree": tree(3)}, {"ridge": 2.0, "tree": 1.0})
     return voter.fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 

@@ -14,7 +14,8 @@ from tabkit.operators.profile import (
     rare_levels, value_counts,
 )
 from tabkit.queries.obs import COLUMNS, ROLES, obs, with_obs
-from tabkit.queries.registry import query, rnd, rounded, table
+from tabkit.queries.registry import query, rounded, table
+from tabkit.session import store
 
 NULLABLE = ("segment", "priority", "sparse_note", "acctbal", "qty", "gross", "price")
 
@@ -168,7 +169,7 @@ def _dist_sql(cols) -> str:
 
 @query("c15_group_distribution", with_obs(f", t AS (SELECT *, ln(price) AS y FROM obs WHERE price IS NOT NULL), d AS ({_dist_sql(('priority', 'nation', 'n_lines'))}) SELECT * FROM d"))
 def c15(spark, sf):
-    df = obs(spark, sf, ("priority", "nation", "n_lines", "price")).withColumn("y", F.ln("price"))
+    df = store(obs(spark, sf, ("priority", "nation", "n_lines", "price"))).withColumn("y", F.ln("price"))
     return rounded(group_distribution(df, ["priority", "nation", "n_lines"], "y"), ["low", "q1", "median", "q3", "high"])
 
 

@@ -12,11 +12,11 @@ from tabkit.operators.roles import (
 from tabkit.operators.profile import value_counts
 from tabkit.queries.obs import COLUMNS, FEATURES, KEY, ROLES, model_obs, obs, with_obs
 from tabkit.queries.registry import query, rnd, table, work_folder
-from tabkit.session import settle
+from tabkit.session import store
 from tabkit.sources.dictionary import describe_columns, sections, text_lines
 from tabkit.sources.store import load_models, save_models
 from tabkit.sources.tables import (
-    load_tables, read_csv, read_splits, read_typed_csv, save_tables, stack_splits, write_predictions, write_typed_csv,
+    load_tables, read_splits, read_typed_csv, save_tables, stack_splits, write_predictions, write_typed_csv,
 )
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
@@ -181,7 +181,7 @@ def a13(spark, sf):
  SELECT count(*) AS n, 0.0::DOUBLE AS largest_difference FROM m"""))
 def a14(spark, sf):
     folder = work_folder(spark)
-    df = settle(model_obs(spark, sf))
+    df = store(model_obs(spark, sf))
     fitted = Linear("ridge", {"alpha": 1.0}).fit(df, FEATURES, "y")
     save_models(spark, {"ridge": fitted}, folder)
     again = load_models(spark, folder)["ridge"]

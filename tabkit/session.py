@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -51,9 +52,22 @@ def settle(df: DataFrame) -> DataFrame:
     return done
 
 
-def settled_rows(df: DataFrame) -> int:
-    """Row count of a settled table."""
-    return df.__dict__["_tabkit_seen"]["rows"]
+def sized_like(df: DataFrame, settled: DataFrame) -> DataFrame:
+    """Let a projection or filter of a settled table be known by that table's size."""
+    seen = settled.__dict__.get("_tabkit_seen")
+    if seen:
+        object.__setattr__(df, "_tabkit_seen", seen)
+    return df
+
+
+def store(df: DataFrame) -> DataFrame:
+    """Write a large table once, as columns, into the shared folder and read it back.
+
+    Like ``settle`` for tables read several times by few of their columns.
+    """
+    path = f"{checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
