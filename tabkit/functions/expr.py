@@ -15,9 +15,19 @@ HASH_MULTIPLIERS = (
 HASH_MODULUS = 65521
 
 
+def quoted(name: str) -> str:
+    """A column name as SQL, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def q(name: str) -> Column:
-    """A column by its literal name, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """A column by its literal name."""
+    return F.col(quoted(name))
+
+
+def linear_sql(intercept: float, weights: Sequence[tuple[str, float]]) -> str:
+    """SQL of an intercept plus weighted columns, one text however many columns."""
+    return " + ".join([f"{float(intercept)!r}D", *[f"{quoted(c)} * {float(w)!r}D" for c, w in weights]])
 
 
 def add_all(terms: Sequence[Column]) -> Column:
@@ -37,14 +47,16 @@ def hash_uniform(i: Column, multiplier: int) -> Column:
     return (reduced * F.lit(multiplier)) % F.lit(HASH_MODULUS) / F.lit(float(HASH_MODULUS))
 
 
-def poisson_one(u: Column) -> Column:
-    """Poisson(1) count by inversion of a uniform: the bootstrap weight of a row."""
+def poisson_one(key: str, salt: int) -> Column:
+    """Poisson(1) count by inversion of a hashed uniform: the bootstrap weight of a row."""
     # Cumulative Poisson(1) probabilities at 0..6.
     cdf = (
         0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
         0.9963401531726563, 0.9994058151824183, 0.9999167588507119,
     )
-    return add_all([(u >= F.lit(c)).cast("int") for c in cdf])
+    limits = [int(c * HASH_MODULUS) for c in cdf]
+    u = f"pmod(xxhash64({quoted(key)}, {salt}L), {HASH_MODULUS}L)"
+    return F.expr(" + ".join(f"if({u} > {x}, 1, 0)" for x in limits))
 
 
 def no_nan(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.expr import q
+from tabkit.functions.expr import q, quoted
 from tabkit.operators.depend import apply_level_codes, level_codes
 from tabkit.operators.ordering import ordered_prefix
 from tabkit.operators.profile import levels_by_first_seen, value_counts
@@ -89,9 +89,9 @@ def one_hot(
 ) -> DataFrame:
     """One 0/1 column ``<col>_<level>`` per sorted level; a null is 0 in all of them."""
     levels = levels or level_lists(df, cols)
-    kept = [q(c) for c in df.columns if c not in cols]
+    kept = [quoted(c) for c in df.columns if c not in cols]
     flags = [
-        F.coalesce((q(c).cast("string") == F.lit(v)).cast("int"), F.lit(0)).alias(f"{c}_{v}")
+        F.coalesce((q(c).cast("string") == v).cast("int"), F.lit(0)).alias(f"{c}_{v}")
         for c in cols for v in levels[c]
     ]
     return df.select(*kept, *flags)
@@ -102,8 +102,8 @@ def fit_min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, fl
     if not cols:
         return {}
     row = df.agg(*[
-        e for i, c in enumerate(cols)
-        for e in (F.min(q(c)).cast("double").alias(f"a{i}"), F.max(q(c)).cast("double").alias(f"b{i}"))
+        F.expr(f"CAST({f}({quoted(c)}) AS DOUBLE) AS {t}{i}")
+        for i, c in enumerate(cols) for f, t in (("min", "a"), ("max", "b"))
     ]).first()
     return {c: (row[f"a{i}"], row[f"b{i}"]) for i, c in enumerate(cols)}
 
@@ -112,12 +112,12 @@ def apply_min_max(df: DataFrame, params: Mapping[str, tuple[float, float]]) -> D
     """Scale to [0, 1]; a constant column becomes 0, a null stays null."""
     def scaled(c: str) -> Column:
         lo, hi = params[c]
-        x = q(c).cast("double")
+        x = f"CAST({quoted(c)} AS DOUBLE)"
         if lo is None:
-            return x
-        return (x - F.lit(lo)) * 0.0 if hi == lo else (x - F.lit(lo)) / F.lit(hi - lo)
+            return F.expr(x)
+        return F.expr(f"({x} - {lo!r}D) * 0D" if hi == lo else f"({x} - {lo!r}D) / {hi - lo!r}D")
 
-    return df.select(*[scaled(c).alias(c) if c in params else q(c) for c in df.columns])
+    return df.select(*[scaled(c).alias(c) if c in params else quoted(c) for c in df.columns])
 
 
 def min_max_scale(

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.expr import HASH_MODULUS, poisson_one, q
+from tabkit.functions.expr import poisson_one, q
 from tabkit.operators.encode import apply_min_max, fit_min_max, level_lists, one_hot
 from tabkit.operators.moments import gram_by_fold
 from tabkit.operators.ordering import column_modes, column_quantiles, ordered_prefix
@@ -125,18 +125,21 @@ def match_donors(
         missing.select(q(key), q("pred"), F.lit(None).cast("double").alias("value"), F.lit(0).cast("bigint").alias("_w"))
     )
     placed = ordered_prefix(both, [], ["pred", "_w", key], "_w", "pos")
-    there = placed.filter("_w = 1").select(q("pos"), q(key).alias("_d"), q("pred").alias("_dp"), q("value"))
-    asked = placed.filter("_w = 0").select(
-        q(key), q("pred"),
-        F.explode(F.sequence(q("pos") - k, q("pos") + (k - 1))).alias("pos"),
-    )
-    near = asked.join(there, "pos").groupBy(q(key)).agg(
-        F.slice(F.array_sort(F.collect_list(
-            F.struct(F.abs(q("pred") - q("_dp")).alias("gap"), q("_d"), q("value"))
-        )), 1, k).alias("_near")
+    there = placed.filter("_w = 1").select("pos", q(key).alias("_d"), q("pred").alias("_dp"), "value")
+    asked = placed.filter("_w = 0").select(q(key), "pred", "pos")
+    # rows predicted alike ask for the same donors: one question each, however many rows
+    points = asked.select("pos", "pred").distinct()
+    near = settle(
+        points.select(q("pos").alias("_at"), "pred", F.explode(F.sequence(q("pos") - k, q("pos") + (k - 1))).alias("pos"))
+        .join(there, "pos").groupBy(q("_at").alias("pos"), "pred").agg(
+            F.slice(F.array_sort(F.collect_list(
+                F.struct(F.abs(q("pred") - q("_dp")).alias("gap"), q("_d"), q("value"))
+            )), 1, k).alias("_near")
+        )
     )
     at = (pick(q(key)) % F.size("_near")).cast("int")
-    return near.select(q(key), F.element_at("_near", at + 1)["value"].alias("_drawn"))
+    return sized_join(asked, near, ["pos", "pred"], "inner").select(
+        q(key), F.element_at("_near", at + 1)["value"].alias("_drawn"))
 
 
 def impute_chained(
@@ -174,11 +177,10 @@ def impute_chained(
     for round_ in range(iterations):
         for j, t in enumerate(order):
             salt = seed * 7919 + round_ * 104729 + j * 1299709
-            u = F.pmod(F.xxhash64(q(key), F.lit(salt)), F.lit(HASH_MODULUS)) / F.lit(float(HASH_MODULUS))
             xs = [c for c in inputs if c != t]
             rows = absent.unionByName(holes)
             seen = rows.filter(~q(f"_was_{t}"))
-            gram = gram_by_fold(seen, xs, t, weight=poisson_one(u) if bootstrap else None)[0]
+            gram = gram_by_fold(seen, xs, t, weight=poisson_one(key, salt) if bootstrap else None)[0]
             b, w = fit_ridge(gram, 1e-9 * max(float(gram[0, 0]), 1.0))
             # rounding makes the order of donors independent of the summation order
             pred = F.round(LinearFit(tuple(xs), b, tuple(w)).column(), 9)

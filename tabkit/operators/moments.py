@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.functions.expr import q
+from tabkit.functions.expr import q, quoted
 
 NARROW = 12
 
@@ -34,19 +34,19 @@ def gram_by_fold(
 
     The driver receives folds x (d + 2)^2 numbers whatever the row count. Few columns: plain sums
     of products inside codegen. Many columns: one matrix product per Arrow batch, the partial
-    matrices being added in two levels of grouping so that no task gathers all of them.
+    matrices being added in levels of grouping so that no task gathers all of them.
     """
     names = [*features, label]
     rows = df.select(
-        *[q(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)],
+        *[F.expr(f"CAST({quoted(c)} AS DOUBLE) AS c{i}") for i, c in enumerate(names)],
         (fold if fold is not None else F.lit(0)).cast("int").alias("_f"),
         (weight if weight is not None else F.lit(1)).cast("double").alias("_w"),
     ).na.drop()
     d = len(names) + 1
     if len(features) <= NARROW:
-        col = [F.lit(1.0), *[q(f"c{i}") for i in range(d - 1)]]
+        col = ["1D", *[f"c{i}" for i in range(d - 1)]]
         at = [(i, j) for i in range(d) for j in range(i, d)]
-        got = rows.groupBy("_f").agg(*[F.sum(q("_w") * col[i] * col[j]).alias(f"m{i}_{j}") for i, j in at]).collect()
+        got = rows.groupBy("_f").agg(*[F.expr(f"sum(_w * {col[i]} * {col[j]}) AS m{i}_{j}") for i, j in at]).collect()
         out = {}
         for r in got:
             g = np.zeros((d, d))
@@ -68,17 +68,18 @@ def gram_by_fold(
         if held:
             yield pd.DataFrame({"_f": list(held), "g": [g.tobytes() for g in held.values()]})
 
-    parts = rows.mapInPandas(partial, "_f int, g binary").withColumn("_slot", F.spark_partition_id() % 64)
-
-    def add(keys: list[str]) -> Callable:
-        def run(key, pdf):
-            total = np.sum([np.frombuffer(b) for b in pdf["g"]], axis=0)
-            return pd.DataFrame([[*key, total.tobytes()]], columns=[*keys, "g"])
-        return run
-
-    some = parts.groupBy("_f", "_slot").applyInPandas(add(["_f", "_slot"]), "_f int, _slot int, g binary")
-    full = some.groupBy("_f").applyInPandas(add(["_f"]), "_f int, g binary")
-    return {r["_f"]: np.frombuffer(bytes(r["g"])).reshape(d, d) for r in full.collect()}
+    def add(key, pdf):
+        total = np.sum([np.frombuffer(b) for b in pdf["g"]], axis=0)
+        return pd.DataFrame([[*key, total.tobytes()]])
+
+    parts = rows.mapInPandas(partial, "_f int, g binary").withColumn("_slot", F.spark_partition_id())
+    # a hundred thousand partials become a hundred per group, then thirty-two, then thirty-two
+    for slots in (1024, 32, 1):
+        parts = (
+            parts.withColumn("_slot", q("_slot") % slots)
+            .groupBy("_f", "_slot").applyInPandas(add, "_f int, _slot int, g binary")
+        )
+    return {r["_f"]: np.frombuffer(bytes(r["g"])).reshape(d, d) for r in parts.collect()}
 
 
 def squared_error(gram: np.ndarray, intercept: float, coef: np.ndarray) -> float:

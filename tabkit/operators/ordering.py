@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.expr import q
+from tabkit.functions.expr import q, quoted
 from tabkit.session import settle, sized_join, sized_like
 
 
@@ -48,10 +48,10 @@ def ordered_prefix(
         F.max_by(F.struct(F.lit(0), *[q(b) for b in by]), "_pos").alias("last"),
         F.max_by(q(out), "_pos").alias("last_before"), F.max_by(q(weight), "_pos").alias("last_weight"),
         F.min("_lead").alias("one_group"),
-    ).orderBy("_part").collect()
+    ).collect()
     carried: dict[int, list[int] | int] = {}
     group, total = None, None
-    for r in parts:
+    for r in sorted(parts, key=lambda r: r["_part"]):
         tail = np.asarray(r["last_before"]) + np.asarray(r["last_weight"])
         start = total if group is not None and group == r["first"] else np.zeros_like(tail)
         carried[r["_part"]] = start.tolist()
@@ -125,9 +125,10 @@ def rank_rows(df: DataFrame, order: Sequence[str], out: str) -> DataFrame:
 
 def to_long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = (), as_type: str = "double") -> DataFrame:
     """Wide to long ``(ids, column, value)`` without nulls."""
-    typed = df.select(*[q(i) for i in ids], *[q(c).cast(as_type).alias(c) for c in cols])
+    typed = df.select(*[quoted(i) for i in ids], *[
+        F.expr(f"CAST({quoted(c)} AS {as_type}) AS {quoted(c)}") for c in cols])
     return typed.unpivot(
-        [q(i) for i in ids], [q(c) for c in cols], "column", "value"
+        [quoted(i) for i in ids], [quoted(c) for c in cols], "column", "value"
     ).filter("value is not null")
 
 

@@ -14,7 +14,7 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearReg
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabkit.functions.expr import add_all, q
+from tabkit.functions.expr import linear_sql, q
 from tabkit.operators.moments import gram_by_fold
 from tabkit.session import settle
 
@@ -105,7 +105,7 @@ class LinearFit:
         return df.withColumn(out, self.column())
 
     def column(self):
-        return add_all([F.lit(float(self.intercept)), *[q(f) * F.lit(float(w)) for f, w in zip(self.features, self.coef)]])
+        return F.expr(linear_sql(self.intercept, list(zip(self.features, self.coef))))
 
     def weights(self, spark: SparkSession) -> DataFrame:
         """Rows ``(feature, coef)``, one per feature."""

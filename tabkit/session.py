@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,16 +27,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def _row_bytes(schema: T.StructType) -> Column:
-    """Approximate size of a row: its text and array lengths plus a fixed part."""
-    size = F.lit(8 * len(schema) + 16).cast("bigint")
+def _row_bytes(schema: T.StructType) -> str:
+    """SQL for the approximate size of a row: its text and array lengths plus a fixed part."""
+    terms = [f"{8 * len(schema) + 16}L"]
     for f in schema:
-        c = F.col("`" + f.name.replace("`", "``") + "`")
+        name = "`" + f.name.replace("`", "``") + "`"
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.length(c), F.lit(0))
+            terms.append(f"coalesce(length({name}), 0)")
         elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
-            size = size + F.coalesce(F.size(c), F.lit(0)) * 16
-    return size
+            terms.append(f"coalesce(size({name}), 0) * 16")
+    return " + ".join(terms)
 
 
 def settle(df: DataFrame) -> DataFrame:
@@ -46,7 +46,7 @@ def settle(df: DataFrame) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     seen = Observation()
-    done = df.observe(seen, F.sum(_row_bytes(df.schema)).alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    done = df.observe(seen, F.expr(f"sum({_row_bytes(df.schema)}) AS bytes"), F.expr("count(1) AS rows"))
     done = done.checkpoint(eager=True)
     object.__setattr__(done, "_tabkit_seen", seen.get)
     return done
@@ -73,7 +73,7 @@ def store(df: DataFrame) -> DataFrame:
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether a table is below the broadcast limit: as observed while settling, else measured now."""
     seen = df.__dict__.get("_tabkit_seen")
-    size = seen["bytes"] if seen else df.agg(F.sum(_row_bytes(df.schema))).first()[0]
+    size = seen["bytes"] if seen else df.agg(F.expr(f"sum({_row_bytes(df.schema)})")).first()[0]
     return (size or 0) <= max_bytes
 
 
