@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.expr import no_nan, normal_tail, q
+from tabkit.functions.expr import normal_tail, q, quoted
+from tabkit.operators.moments import add_partials
 from tabkit.operators.ordering import ordered_prefix, to_long
 from tabkit.session import settle, sized_join, sized_like
 
@@ -71,21 +74,26 @@ def label_encode_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def joint_counts(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Cell counts ``(var1, var2, v1, v2, n)`` of all pairs in one pass; rows with a null are left out.
 
-    The partial aggregation collapses cells before the shuffle; bin continuous columns first.
+    The partial aggregation collapses cells before the shuffle; bin continuous columns first. A row
+    is carried once as an array and paired by position, so the plan grows with the columns only.
     """
-    text = df.select(*[q(c).cast("string").alias(c) for c in dict.fromkeys(x for p in pairs for x in p)])
-    entries = F.array(*[
-        F.struct(F.lit(i).alias("pair"), q(a).alias("v1"), q(b).alias("v2")) for i, (a, b) in enumerate(pairs)
-    ])
+    cols = list(dict.fromkeys(x for p in pairs for x in p))
+    at = {c: i for i, c in enumerate(cols)}
+    partners: list[list[int]] = [[] for _ in cols]
+    for a, b in pairs:
+        partners[at[a]].append(at[b])
+    lists = ", ".join("array({})".format(", ".join(map(str, p)) or "-1") for p in partners)
+    values = F.array(*[F.expr(f"CAST({quoted(c)} AS STRING)") for c in cols])
     cells = (
-        text.select(F.explode(entries).alias("_e")).select("_e.*")
-        .filter("v1 is not null and v2 is not null")
-        .groupBy("pair", "v1", "v2").agg(F.count(F.lit(1)).alias("n"))
+        df.select(values.alias("_v")).select("_v", F.posexplode("_v").alias("i", "v1"))
+        .filter("v1 is not null")
+        .select("_v", "i", "v1", F.explode(F.expr(f"element_at(array({lists}), i + 1)")).alias("j"))
+        .select("i", "j", "v1", F.expr("if(j < 0, null, _v[j])").alias("v2")).filter("v2 is not null")
+        .groupBy("i", "j", "v1", "v2").agg(F.count(F.lit(1)).alias("n"))
     )
-    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    names = "array({})".format(", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in cols))
     return cells.select(
-        F.element_at(names, q("pair") + 1)["a"].alias("var1"), F.element_at(names, q("pair") + 1)["b"].alias("var2"),
-        "v1", "v2", "n",
+        F.expr(f"element_at({names}, i + 1)").alias("var1"), F.expr(f"element_at({names}, j + 1)").alias("var2"), "v1", "v2", "n"
     )
 
 
@@ -143,19 +151,51 @@ def dependence_with_response(df: DataFrame, response: str, cols: Sequence[str] |
 # --- correlation ---------------------------------------------------------------------------------
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each unordered pair over the rows where both are present."""
+    """Pearson correlation of each unordered pair over the rows where both are present.
+
+    Few pairs come from one aggregation; many from one scan of matrix products per Arrow batch (after
+    one for the means, about which the sums are taken). The result has one row per pair.
+    """
     pairs = column_pairs(cols)
-    doubles = df.select(*[q(c).cast("double").alias(c) for c in cols])
-    out = None
-    for at in range(0, len(pairs), CHUNK):
-        part = pairs[at:at + CHUNK]
-        row = doubles.agg(*[no_nan(F.corr(q(a), q(b))).alias(f"p{i}") for i, (a, b) in enumerate(part)])
-        names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in part])
-        long = row.unpivot([], [f"p{i}" for i in range(len(part))], "pair", "r").withColumn(
-            "_e", F.element_at(names, F.substring("pair", 2, 9).cast("int") + 1)
-        ).select(F.col("_e.a").alias("var1"), F.col("_e.b").alias("var2"), "r")
-        out = long if out is None else out.unionByName(long)
-    return out
+    doubles = df.select(*[F.expr(f"CAST({quoted(c)} AS DOUBLE) AS c{i}") for i, c in enumerate(cols)])
+    at = {c: i for i, c in enumerate(cols)}
+    if len(pairs) > CHUNK:
+        r = _wide_correlations(doubles, len(cols))
+        rows = [(a, b, None if np.isnan(v := r[at[a], at[b]]) else float(v)) for a, b in pairs]
+        return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, r double")
+    # sums of squares rather than corr(), which fails on a constant column
+    row = doubles.agg(*[
+        F.expr("try_divide(regr_sxy({0}), sqrt(regr_sxx({0}) * regr_syy({0}))) AS p{1}".format(f"c{at[a]}, c{at[b]}", i))
+        for i, (a, b) in enumerate(pairs)
+    ])
+    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
+    return row.unpivot([], [f"p{i}" for i in range(len(pairs))], "pair", "r").withColumn(
+        "_e", F.element_at(names, F.substring("pair", 2, 9).cast("int") + 1)
+    ).select(F.col("_e.a").alias("var1"), F.col("_e.b").alias("var2"), "r")
+
+
+def _wide_correlations(doubles: DataFrame, d: int) -> np.ndarray:
+    means = doubles.agg(*[F.expr(f"avg(c{i}) AS c{i}") for i in range(d)]).first()
+    centre = np.array([m if (m := means[f"c{i}"]) is not None else 0.0 for i in range(d)])
+
+    def partial(batches):
+        held = None
+        for pdf in batches:
+            x = pdf.to_numpy(dtype=float) - centre
+            here = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x)
+            part = np.stack([here.T @ here, x.T @ here, (x * x).T @ here, x.T @ x])
+            held = part if held is None else held + part
+        if held is not None:
+            yield pd.DataFrame({"_f": [0], "g": [held.tobytes()]})
+
+    n, s, ss, xy = add_partials(doubles.mapInPandas(partial, "_f int, g binary"))[0].reshape(4, d, d)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = xy - s * s.T / n
+        spread = ss - s * s / n
+        # a spread of rounding-error size is a constant column
+        spread[spread <= 1e-12 * np.maximum(ss, 1e-300)] = np.nan
+        return cov / np.sqrt(spread * spread.T)
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

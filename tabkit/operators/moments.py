@@ -68,18 +68,23 @@ def gram_by_fold(
         if held:
             yield pd.DataFrame({"_f": list(held), "g": [g.tobytes() for g in held.values()]})
 
+    return {k: g.reshape(d, d) for k, g in add_partials(rows.mapInPandas(partial, "_f int, g binary")).items()}
+
+
+def add_partials(parts: DataFrame) -> dict[int, np.ndarray]:
+    """Sum per ``_f`` of the number blocks ``g`` that the tasks of a scan left, in levels of grouping."""
     def add(key, pdf):
         total = np.sum([np.frombuffer(b) for b in pdf["g"]], axis=0)
         return pd.DataFrame([[*key, total.tobytes()]])
 
-    parts = rows.mapInPandas(partial, "_f int, g binary").withColumn("_slot", F.spark_partition_id())
+    parts = parts.withColumn("_slot", F.spark_partition_id())
     # a hundred thousand partials become a hundred per group, then thirty-two, then thirty-two
     for slots in (1024, 32, 1):
         parts = (
             parts.withColumn("_slot", q("_slot") % slots)
             .groupBy("_f", "_slot").applyInPandas(add, "_f int, _slot int, g binary")
         )
-    return {r["_f"]: np.frombuffer(bytes(r["g"])).reshape(d, d) for r in parts.collect()}
+    return {r["_f"]: np.frombuffer(bytes(r["g"])) for r in parts.collect()}
 
 
 def squared_error(gram: np.ndarray, intercept: float, coef: np.ndarray) -> float:

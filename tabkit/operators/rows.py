@@ -26,9 +26,9 @@ def null_shares(df: DataFrame, max_null: float = 0.20, keep: Sequence[str] = ())
     cols = df.columns
     # null counts over the table: no group, so one row leaves every task
     return (
-        df.agg(*[(F.count_if(q(c).isNull()) / F.count(F.lit(1))).alias(c) for c in cols])
+        df.agg(*[F.try_divide(F.count_if(q(c).isNull()), F.count(F.lit(1))).alias(c) for c in cols])
         .unpivot([], [q(c) for c in cols], "column", "null_share")
-        .withColumn("kept", (q("null_share") <= max_null) | q("column").isin(list(keep)))
+        .withColumn("kept", F.coalesce(q("null_share") <= max_null, F.lit(True)) | q("column").isin(list(keep)))
     )
 
 

@@ -11,7 +11,12 @@ from pyspark.sql import functions as F
 from tabkit.functions.expr import q
 from tabkit.operators.evaluate import predictions
 from tabkit.operators.moments import gram_by_fold
+from tabkit.operators.ranking import best_models
 from tabkit.operators.regress import Linear
+from tabkit.operators.search import best_params, evaluate_trials, resume_trials, trial_table
+from tabkit.session import settle
+from tabkit.sources.store import append_trials, read_trials
+from tabkit.sources.tables import write_predictions
 
 Variants = Mapping[str, tuple[DataFrame, Sequence[str]]]
 
@@ -53,3 +58,47 @@ def fit_all(
                 held = predictions(df.filter(q(fold) == f), {n: m}, name, label, key, fold)
                 outside = held if outside is None else outside.unionByName(held)
     return inside, outside
+
+
+def tune_linear(
+    variants: Variants, spaces: Mapping[str, Mapping], label: str, fold: str, trials: int = 100, log: str | None = None,
+    resume: bool = False,
+) -> tuple[DataFrame, dict[tuple[str, str], object]]:
+    """Search each linear model on each variant: scored trials and the best model refitted on all rows.
+
+    One scan per variant serves all models, trials and folds. With a ``log`` folder the scores are kept
+    there; with ``resume`` only trials not in it are scored.
+    """
+    scores, fitted = None, {}
+    for name, (df, features) in variants.items():
+        grams = gram_by_fold(df.filter(q(label).isNotNull()), features, label, fold=q(fold))
+        total = np.sum(list(grams.values()), axis=0)
+        for kind, space in spaces.items():
+            todo = trial_table(df.sparkSession, space, trials)
+            if resume and log is not None:
+                todo = resume_trials(read_trials(df.sparkSession, log, name, kind), todo)
+            found = settle(evaluate_trials(grams, todo, kind))
+            if log is not None:
+                append_trials(found, log, name, kind)
+                found = read_trials(df.sparkSession, log, name, kind).select("trial_id", "params", "cv_rmse")
+            best = best_params(found, ["n_components"])
+            fitted[name, kind] = Linear(kind, {**best}).from_gram(total, features)
+            part = found.select(F.lit(name).alias("dataset"), F.lit(kind).alias("model"), "trial_id", "params", "cv_rmse")
+            scores = part if scores is None else scores.unionByName(part)
+    return scores, fitted
+
+
+def known_scores(scores: DataFrame) -> DataFrame:
+    """Best held-out error of every searched model, for ``compare_models(known=...)``."""
+    return scores.groupBy("dataset", "model").agg(F.min("cv_rmse").alias("cv_rmse"))
+
+
+def score_best(
+    fitted: Mapping[str, object], comparison: DataFrame, rows: DataFrame, dataset: str, k: int, folder: str,
+    key: str = "id", names: tuple[str, str] = ("Id", "SalePrice"),
+) -> list[str]:
+    """Write back-transformed predictions of the ``k`` best models of a dataset; returns their names."""
+    top = [r["model"] for r in best_models(comparison, dataset, k).collect()]
+    scored = predictions(rows.withColumn("_y", F.lit(None).cast("double")), {n: fitted[n] for n in top}, dataset, "_y", key)
+    write_predictions(scored, folder, key, names)
+    return top

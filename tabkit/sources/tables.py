@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.expr import q
+from tabkit.functions.expr import no_nan, q
 
 # Column type names of a typed CSV file and the types they stand for.
 TYPE_NAMES = {
@@ -18,15 +18,17 @@ NAME_OF_TYPE = {"string": "object", "bigint": "int64", "int": "int64", "double":
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """CSV with a header; ``NA`` and empty fields are null, the text ``None`` stays."""
+    """CSV with a header; ``NA``, ``NaN`` and empty fields are null, the text ``None`` stays."""
     df = (
         spark.read.schema(schema).option("header", True).option("nullValue", "NA")
         .option("emptyValue", "").option("enforceSchema", False).csv(path)
     )
-    return df.select(*[
-        F.nullif(q(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType) else q(f.name)
-        for f in df.schema
-    ])
+    def clean(f: T.StructField):
+        if isinstance(f.dataType, T.StringType):
+            return F.nullif(q(f.name), F.lit("")).alias(f.name)
+        return no_nan(q(f.name)).alias(f.name) if isinstance(f.dataType, (T.DoubleType, T.FloatType)) else q(f.name)
+
+    return df.select(*[clean(f) for f in df.schema])
 
 
 def stack_splits(parts: Mapping[str, DataFrame]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tabkit.functions.expr import q
 from tabkit.operators import encode, features, profile, roles, rows
 from tabkit.operators.density import histogram
+from tabkit.operators.depend import correlations, dependence_distance, kendall, rank_by, spearman
 from tabkit.operators.impute import impute_few
 from tabkit.operators.ordering import column_modes, column_quantiles, ordered_prefix, quantiles
 from tabkit.operators.ranking import rank_datasets_within_model, rank_models_within_dataset
@@ -207,3 +208,25 @@ def test_quantiles_are_exact_when_the_sketch_is_coarse(spark):
         got = {r["prob"]: r["quantile"] for r in quantiles(df, ["column"], "value", [0.0, 0.1, 0.5, 0.77, 1.0], accuracy).collect()}
         assert got == {p: pytest.approx(exact(p)) for p in (0.0, 0.1, 0.5, 0.77, 1.0)}
     assert column_quantiles(df.select("value"), ["value"])["value"] == pytest.approx(exact(0.5))
+
+
+def test_empty_tables(edge):
+    none = edge.filter("id < 0")
+    assert rows.drop_sparse_columns(none, 0.2).columns == edge.columns
+    assert profile.null_counts(none).count() == 0 and profile.value_counts(none, ["cat", "ord"]).count() == 0
+    assert column_quantiles(none, ["q1"]) == {} and column_modes(none, ["cat"]) == {}
+    assert encode.min_max_scale(none, ["q1"])[0].count() == 0
+    assert rows.drop_first_match(none, [q("y") > 0]).count() == 0
+    assert rank_by(none, "q1", ["id"]).count() == 0
+    assert encode.one_hot(none, ["cat"]).columns == [c for c in edge.columns if c != "cat"]
+
+
+def test_statistics_of_constant_and_empty_columns(edge):
+    pairs = {(r["var1"], r["var2"]): r["r"] for r in correlations(edge, ["q1", "q2", "const", "y"]).collect()}
+    assert pairs["q1", "const"] is None and pairs["q1", "y"] is not None
+    assert dependence_distance(edge, "const", "split").first()["D"] == pytest.approx(1.0)
+    assert dependence_distance(edge.withColumn("c2", F.lit("x")), "const", "c2").first()["D"] is None
+    tests = {r["variable"]: r["stat"] for r in spearman(edge, ["q1", "const", "allnull"], "y").collect()}
+    assert tests["const"] is None and "allnull" not in tests and tests["q1"] is not None
+    taus = {r["variable"]: r["stat"] for r in kendall(edge, ["q1", "const"], "y").collect()}
+    assert taus["const"] is None and taus["q1"] == pytest.approx(-3 / (6 * 5) ** 0.5)

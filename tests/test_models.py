@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import fold_of, q
-from tabkit.operators.depend import kendall, spearman
+from tabkit.operators.depend import correlations, kendall, spearman
 from tabkit.operators.ensemble import Stack, Voter, out_of_fold
 from tabkit.operators.impute import impute_categorical, impute_categoricals, impute_chained
 from tabkit.operators.moments import gram_by_fold, held_out_rmse
@@ -18,6 +18,7 @@ from tabkit.operators.regress import (
 )
 from tabkit.operators.roles import Roles
 from tabkit.operators.search import best_params, evaluate_trials, narrow_space, resume_trials, search_ensemble, trial_table
+from tabkit.plans.modelling import known_scores, score_best, tune_linear
 from tabkit.sources.store import append_trials, load_models, read_trials, save_models
 
 WIDE = [f"f{i}" for i in range(15)]
@@ -162,6 +163,41 @@ def test_rank_tests_against_all_pairs(spark):
     assert spearman(df, ["x"], "y").first()["stat"] == pytest.approx(np.corrcoef(rank(x), rank(y))[0, 1])
 
 
+def test_tuning_flow(data, spark, tmp_path):
+    df, _ = data
+    spaces = {"ridge": {"alpha": ("loguniform", -6.9, 4.6)}, "pls": {"n_components": ("quniform", 1, 10, 1)}}
+    log = str(tmp_path / "log")
+    variants = {"full": (df, WIDE), "few": (df, WIDE[:5])}
+    tune_linear(variants, spaces, "y", "fold", trials=5, log=log)
+    scores, fitted = tune_linear(variants, spaces, "y", "fold", trials=12, log=log, resume=True)
+    assert scores.count() == 2 * 2 * 12
+    cmp = known_scores(scores)
+    assert cmp.count() == 4
+    models = {k: m for (d, k), m in fitted.items() if d == "full"}
+    top = score_best(models, cmp, df, "full", 1, str(tmp_path / "out"))
+    assert len(top) == 1
+    got = spark.read.option("header", True).csv(str(tmp_path / "out")).select("Id", "SalePrice", "model").toPandas()
+    assert len(got) == 600 and set(got["model"]) == set(top) and (got["SalePrice"].astype(float) > 0).all()
+
+
+@pytest.mark.parametrize("n_cols", [5, 18])
+def test_correlations_with_gaps(spark, n_cols):
+    rng = np.random.default_rng(9)
+    x = rng.normal(1e4, 1, size=(400, n_cols))
+    x[:, 1] += x[:, 0]
+    x[:, 2] = 3.0
+    x[rng.random(x.shape) < 0.1] = np.nan
+    pdf = pd.DataFrame(x, columns=[f"k {i}" for i in range(n_cols)])
+    df = spark.createDataFrame([tuple(None if np.isnan(v) else float(v) for v in r) for r in x], ", ".join(f"`{c}` double" for c in pdf.columns))
+    expected = pdf.corr()
+    for r in correlations(df, list(pdf.columns)).collect():
+        want = expected.loc[r["var1"], r["var2"]]
+        if "k 2" in (r["var1"], r["var2"]):
+            assert r["r"] is None
+        else:
+            assert r["r"] == pytest.approx(want, abs=1e-7)
+
+
 # --- imputation ----------------------------------------------------------------------------------
 
 
