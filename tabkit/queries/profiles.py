@@ -127,10 +127,11 @@ def c12(spark, sf):
 
 
 def _hist_sql(source: str, cols, bins: int, pre: str = "") -> str:
-    long = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS x FROM {source} WHERE {c} IS NOT NULL" for c in cols)
-    return f"""{pre} l AS ({long}), r AS (SELECT "column", min(x) AS lo, max(x) AS hi, count(*) AS t FROM l GROUP BY "column"),
- b AS (SELECT "column", least(CAST(floor((x-lo)/((hi-lo)/{bins})) AS BIGINT), {bins - 1}) AS bin, lo, (hi-lo)/{bins} AS w, t FROM l JOIN r USING ("column"))
- SELECT "column", CAST(bin AS BIGINT) AS bin, round(min(lo)+bin*min(w),6) AS bin_start, count(*) AS n, round(count(*)/(min(t)*min(w)),9) AS density FROM b GROUP BY "column", bin"""
+    long = " UNION ALL ".join(f"SELECT {i} AS k, {c} AS x FROM {source} WHERE {c} IS NOT NULL" for i, c in enumerate(cols))
+    names = "CASE k " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(cols)) + " END"
+    return f"""{pre} l AS ({long}), r AS (SELECT k, min(x) AS lo, max(x) AS hi, count(*) AS t FROM l GROUP BY k),
+ b AS (SELECT k, least(CAST(floor((x-lo)/((hi-lo)/{bins})) AS BIGINT), {bins - 1}) AS bin, lo, (hi-lo)/{bins} AS w, t FROM l JOIN r USING (k))
+ SELECT {names} AS "column", CAST(bin AS BIGINT) AS bin, round(min(lo)+bin*min(w),6) AS bin_start, count(*) AS n, round(count(*)/(min(t)*min(w)),9) AS density FROM b GROUP BY k, bin"""
 
 
 @query("c13_histogram", _hist_sql("events", ["value"], 20, "WITH"))
