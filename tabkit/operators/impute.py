@@ -161,7 +161,8 @@ def impute_chained(
         return df
     means = df.agg(*[F.avg(q(t)).alias(t) for t in order]).first()
     starts = df.agg(*[
-        F.min_by(q(t).cast("double"), F.struct(F.abs(q(t) - F.lit(means[t])), q(t))).alias(t)
+        # a null order is passed over; a struct of nulls would come first
+        F.min_by(q(t).cast("double"), F.when(q(t).isNotNull(), F.struct(F.abs(q(t) - F.lit(means[t])), q(t)))).alias(t)
         for t in order
     ]).first().asDict()
 
