@@ -13,7 +13,7 @@ BLANKS = "\t\n\x0b\x0c\r"
 #: Bins below 2 ** PRECISION hold one value; above, each power of two has 2 ** (PRECISION - 1) bins.
 PRECISION = 6
 #: metric: (least width of the middle half, whether low values are bad too)
-METRICS = {"word_length": (100, True), "symbols": (60, False), "dup_lines": (60, False), "repeats": (60, False)}
+METRICS = {"word_length": (100, True), "symbols": (60, False), "dup_lines": (100, False), "repeats": (100, False)}
 FENCE = 4
 
 

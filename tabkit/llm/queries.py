@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tabkit.llm import chat, lines, quality, urls
+from tabkit.llm import bytepairs, chat, lines, packing, quality, transducer, urls
 from tabkit.queries.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +42,15 @@ def op1_line_dedup(spark, sf):
     return lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_removed", "text")
 
 
+WORD_FILE, RANK_FILE = "word_bpe_49k.json", "byte_bpe_multi_50k.tiktoken"
+CONTEXT, SEQUENCE, END_ID = 2048, 4096, 1
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark, sf):
+    return transducer.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(WORD_FILE), CONTEXT)
+
+
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 URLS_SQL = """
@@ -61,6 +70,11 @@ def op4_url_filter(spark, sf):
     return urls.judge_urls(table(spark, sf, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op5_byte_bpe")
+def op5_byte_bpe(spark, sf):
+    return bytepairs.coding_digest(table(spark, sf, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
+
+
 def _sql_scores() -> str:
     return """1 AS one, 100 * word_chars // greatest(n_words, 1) AS m1, 1000 * n_symbols // greatest(n_words, 1) AS m2,
   1000 * n_dup_lines // greatest(n_lines, 1) AS m3, 1000 * n_repeat_words // greatest(n_words, 1) AS m4"""
@@ -115,6 +129,11 @@ def op7_quality_rules(spark, sf):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+@query("op9_best_fit_packing")
+def op9_best_fit_packing(spark, sf):
+    return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path(WORD_FILE), SEQUENCE, END_ID)
+
+
 def _sql_escape(text: str) -> str:
     text = f"replace({text}, '%', '%25')"
     for c in sorted(chat.CONTROLS, key=len, reverse=True):
