@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabkit.llm import bytepairs, chat, lines, packing, quality, transducer, urls
+from tabkit.llm import bytepairs, chat, langid, lines, nearest, packing, quality, transducer, urls
 from tabkit.queries.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,6 +51,11 @@ def op2_token_counts(spark, sf):
     return transducer.count_tokens(table(spark, sf, "documents"), public_tokenizers.path(WORD_FILE), CONTEXT)
 
 
+@query("op3_language_id")
+def op3_language_id(spark, sf):
+    return langid.identify_languages(table(spark, sf, "documents").select("doc_id", "text", "lang"))
+
+
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 URLS_SQL = """
@@ -129,6 +134,21 @@ def op7_quality_rules(spark, sf):
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+NEAREST_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5
+"""
+
+
+@query("op8_exact_top_k", NEAREST_SQL)
+def op8_exact_top_k(spark, sf):
+    return nearest.top_k(table(spark, sf, "embeddings"), k=5, every=50)
+
+
 @query("op9_best_fit_packing")
 def op9_best_fit_packing(spark, sf):
     return packing.pack_documents(table(spark, sf, "documents"), public_tokenizers.path(WORD_FILE), SEQUENCE, END_ID)
