@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tabkit.llm import bytepairs, chat, langid, lines, nearest, packing, quality, transducer, urls
+from tabkit.llm import bytepairs, chat, langid, lines, nearest, ngramjoin, packing, quality, transducer, urls
 from tabkit.queries.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,6 +80,25 @@ def op5_byte_bpe(spark, sf):
     return bytepairs.coding_digest(table(spark, sf, "documents"), public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN)
 
 
+JOIN_SQL = r"""
+WITH RECURSIVE w AS (SELECT row_number() OVER () AS rid, doc_id, list_filter(string_split_regex(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT rid, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(list_slice(ws, i, i + 3), ' '))) END AS sh FROM w),
+g AS (SELECT rid, doc_id, len(sh) AS n, unnest(sh) AS t FROM s),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y FROM g a JOIN g b ON a.t = b.t AND a.rid <> b.rid GROUP BY a.rid, b.rid, a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+r AS (SELECT doc_id AS x, doc_id AS y FROM s UNION SELECT r.x, p.y FROM r JOIN p ON r.y = p.x),
+c AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c ON doc_id = x
+"""
+
+
+@query("op6_ngram_join", JOIN_SQL)
+def op6_ngram_join(spark, sf):
+    return ngramjoin.link_documents(table(spark, sf, "documents"), size=4, percent=85).drop("digest")
+
+
 def _sql_scores() -> str:
     return """1 AS one, 100 * word_chars // greatest(n_words, 1) AS m1, 1000 * n_symbols // greatest(n_words, 1) AS m2,
   1000 * n_dup_lines // greatest(n_lines, 1) AS m3, 1000 * n_repeat_words // greatest(n_words, 1) AS m4"""
