@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabkit.llm.rows import packed, unpacked
+
 WINDOW = 3
 
 
@@ -57,20 +59,17 @@ def dedup_lines(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Rows of one id and text are the same document: none is a repetition of the other and all lose the same lines.
     Columns of ``documents`` named like a result are replaced; a text that loses every line becomes empty.
     """
-    starts = repeated_windows(documents, id_col, text_col, size).select(
-        F.col("id").alias("_id"), F.col("digest").alias("_digest"), F.col("starts").alias("_starts")
-    )
-    covered = starts.select("_id", "_digest", merged_intervals("_starts", size).alias("_cover"))
-    joined = documents.join(
-        covered, F.col("_id").eqNullSafe(documents[id_col]) & (F.col("_digest") == F.xxhash64(documents[text_col])), "left"
-    ).drop("_id", "_digest").withColumn("_lines", F.split(F.col(text_col), "\n"))
-    cover, lines = F.col("_cover"), F.col("_lines")
+    covered = repeated_windows(documents, id_col, text_col, size).select("id", "digest", merged_intervals("starts", size).alias("cover"))
+    rows, text = packed(documents), F.col("doc")[text_col]
+    same = F.col("id").eqNullSafe(F.col("doc")[id_col]) & (F.col("digest") == F.xxhash64(text))
+    joined = rows.join(covered, same, "left").select("doc", "cover", F.split(text, "\n").alias("lines"))
+    cover, lines = F.col("cover"), F.col("lines")
     begins = F.concat(F.array(F.lit(0)), cover["end"])
-    gap = F.transform(begins, lambda b, i: F.slice(lines, b + 1, F.coalesce(F.get(cover["begin"], i), F.size(lines)) - b))
-    kept = F.array_join(F.flatten(gap), "\n")
+    gaps = F.transform(begins, lambda b, i: F.slice(lines, b + 1, F.coalesce(F.get(cover["begin"], i), F.size(lines)) - b))
+    kept = F.array_join(F.flatten(gaps), "\n")
     removed = F.aggregate(cover, F.lit(0).cast("long"), lambda a, c: a + c["end"] - c["begin"])
-    return joined.withColumns({
-        text_col: F.when(cover.isNull(), F.col(text_col)).otherwise(kept),
+    return unpacked(joined, documents.columns, {
+        text_col: F.when(cover.isNull(), text).otherwise(kept),
         "n_lines": F.when(lines.isNull(), 0).otherwise(F.size(lines)).cast("long"),
         "n_removed": F.coalesce(removed, F.lit(0)).cast("long"),
-    }).drop("_cover", "_lines")
+    })

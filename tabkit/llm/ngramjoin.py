@@ -24,6 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from tabkit.llm.components import components
 from tabkit.llm.shingles import MUL, mixed, shingle_sets
+from tabkit.llm.rows import packed, unpacked
 from tabkit.session import fits_broadcast, store
 
 SKETCH_BITS = 19
@@ -227,12 +228,13 @@ def one_of_each(documents: DataFrame, links: DataFrame, id_col: str = "doc_id",
     keep = links.filter("n_shingles > 0").groupBy("component_id").agg(
         F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("digest").alias("digest"))).alias("k"))
     keep = keep.select(F.col("k.id").alias("_kid"), F.col("k.digest").alias("_kdigest"))
-    marked = documents.withColumn("_digest", F.xxhash64(text_col))
-    worded = F.coalesce(F.length(F.translate(text_col, " \t\n\x0b\x0c\r", "")) > 0, F.lit(False))
-    chosen = marked.filter(worded).join(keep, F.col(id_col).eqNullSafe(F.col("_kid")) & (F.col("_digest") == F.col("_kdigest")))
-    one = Window.partitionBy("_kid", "_kdigest").orderBy(F.xxhash64(*documents.columns))
+    doc = F.col("doc")
+    rows = packed(documents)
+    worded = F.coalesce(F.length(F.translate(doc[text_col], " \t\n\x0b\x0c\r", "")) > 0, F.lit(False))
+    chosen = rows.filter(worded).join(keep, doc[id_col].eqNullSafe(F.col("_kid")) & (F.xxhash64(doc[text_col]) == F.col("_kdigest")))
+    one = Window.partitionBy("_kid", "_kdigest").orderBy(F.xxhash64("doc"))
     chosen = chosen.withColumn("_n", F.row_number().over(one)).filter("_n = 1")
-    return chosen.select(*documents.columns).union(documents.filter(~worded))
+    return unpacked(chosen.select("doc").union(rows.filter(~worded)), documents.columns, {})
 
 
 def link_documents(

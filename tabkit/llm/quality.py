@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabkit.llm.rows import packed, unpacked
 from tabkit.session import settle, sized_join, store
 
 WINDOW_WORDS = 8
@@ -15,6 +16,7 @@ PRECISION = 6
 #: metric: (least width of the middle half, whether low values are bad too)
 METRICS = {"word_length": (100, True), "symbols": (60, False), "dup_lines": (100, False), "repeats": (100, False)}
 FENCE = 4
+SCORED = ["word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words"]
 
 
 def _repeat_words(windows: str, words: str) -> Column:
@@ -26,9 +28,9 @@ def _repeat_words(windows: str, words: str) -> Column:
 
 def text_measures(documents: DataFrame, text_col: str = "text") -> DataFrame:
     """``documents`` plus ``n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words``."""
-    text = F.col(text_col)
+    text = F.col("doc")[text_col]
     words = F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
-    stage = documents.withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
+    stage = packed(documents).withColumn("_words", F.coalesce(words, F.array().cast("array<string>")))
     n = F.size("_words")
     spots = F.when(n >= WINDOW_WORDS, F.sequence(F.lit(1), n - WINDOW_WORDS + 1)).otherwise(F.array().cast("array<int>"))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, BLANKS + " ", "")) > 0)
@@ -46,14 +48,14 @@ def text_measures(documents: DataFrame, text_col: str = "text") -> DataFrame:
         F.transform(spot, lambda x, j: F.least(F.lit(WINDOW_WORDS), F.coalesce(F.get(spot, j + 1) - x, F.lit(WINDOW_WORDS)))),
         F.lit(0), lambda a, x: a + x,
     )
-    return stage.withColumns({
+    return unpacked(stage, documents.columns, {
         "n_words": n.cast("long"),
         "word_chars": F.length(F.array_join("_words", "")).cast("long"),
         "n_symbols": F.coalesce(F.regexp_count(text, F.lit(r"[#*$%&|<>]")), F.lit(0)).cast("long"),
         "n_lines": F.size("_worded").cast("long"),
         "n_dup_lines": (F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("long"),
         "n_repeat_words": F.coalesce(covered, F.lit(0)).cast("long"),
-    }).drop("_words", "_windows", "_worded", "_ordered", "_again")
+    })
 
 
 def base_failed() -> Column:
@@ -80,7 +82,7 @@ def bin_floor(value: Column) -> Column:
 def sketch(scored: DataFrame, group: list[str]) -> DataFrame:
     """Counts per group, metric and bin. Sketches of parts are merged by adding counts, as the shuffle does."""
     long = scored.select(*group, F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), bin_floor(F.col(f"_{m}")).alias("bin")) for m in METRICS
+        F.struct(F.lit(m).alias("metric"), bin_floor(F.col(m)).alias("bin")) for m in METRICS
     ])).alias("s"))
     return long.groupBy(*group, "s.metric", "s.bin").agg(F.count(F.lit(1)).alias("n"))
 
@@ -105,7 +107,7 @@ def thresholds(sketches: DataFrame, group: list[str]) -> DataFrame:
     width = FENCE * F.greatest(F.col("q3") - F.col("q1"), least[F.col("metric")])
     fences = q.select(*group, "metric", (F.col("q1") - width).alias("low"), (F.col("q3") + width).alias("high"))
     return fences.groupBy(*group).agg(*[
-        F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"_{side}_{m}") for m in METRICS for side in ("low", "high")
+        F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"{side}_{m}") for m in METRICS for side in ("low", "high")
     ])
 
 
@@ -131,20 +133,21 @@ def quality_table(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def _judged(measured: DataFrame, group: list[str]) -> DataFrame:
-    keys = [f"_g{i}" for i in range(len(group))]
-    scored = measured.withColumns({f"_{m}": c for m, c in scores().items()} | {k: F.col(g) for k, g in zip(keys, group)})
-    narrow = scored.filter(~F.col("base_failed")).select(*keys, *[f"_{m}" for m in METRICS])
-    fences = thresholds(sketch(narrow, keys), keys)
+    keys = [f"g{i}" for i in range(len(group))]
+    rows = packed(measured)
+    doc = F.col("doc")
+    scored = rows.select(
+        "doc", *[doc[g].alias(k) for k, g in zip(keys, group)], *[doc[c].alias(c) for c in ("n_words", "base_failed", *SCORED)])
+    scored = scored.select("doc", "base_failed", *keys, *[c.alias(m) for m, c in scores().items()])
+    fences = thresholds(sketch(scored.filter(~F.col("base_failed")).select(*keys, *METRICS), keys), keys)
     right = settle(fences.select(*[F.col(k).alias(f"{k}r") for k in keys], *[c for c in fences.columns if c not in keys]))
-    on = None
+    same = F.lit(True)
     for k in keys:
-        same = F.col(k).eqNullSafe(F.col(f"{k}r"))
-        on = same if on is None else on & same
-    joined = sized_join(scored, right, on, "left")
+        same = same & F.col(k).eqNullSafe(F.col(f"{k}r"))
+    joined = sized_join(scored, right, same, "left")
     inside = F.lit(True)
     for m, (_, low) in METRICS.items():
-        inside = inside & (F.col(f"_{m}") <= F.col(f"_high_{m}"))
+        inside = inside & (F.col(m) <= F.col(f"high_{m}"))
         if low:
-            inside = inside & (F.col(f"_{m}") >= F.col(f"_low_{m}"))
-    out = joined.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False)))
-    return out.select(*[c for c in out.columns if not c.startswith("_")])
+            inside = inside & (F.col(m) >= F.col(f"low_{m}"))
+    return unpacked(joined, measured.columns, {"kept": ~F.col("base_failed") & F.coalesce(inside, F.lit(False))})

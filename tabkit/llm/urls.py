@@ -7,6 +7,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabkit.llm.rows import packed, unpacked
 from tabkit.session import settle, sized_join, sized_like
 
 BITS_PER_KEY = 16
@@ -64,9 +65,9 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     wins; of two equally long ones that with the longer host. An entry given twice with unlike verdicts blocks.
 
     Null URLs and such without ``://`` have empty host and path and match nothing. Nulls in ``rules.host`` or ``path`` count
-    as empty text, entries with an empty host are ignored, and an empty list gives every page ``default``. Repeated pages give repeated rows. Columns of
-    ``pages`` named like a result are replaced. The work is done per distinct host and path, so that a common host
-    or address is one row before it meets the list.
+    as empty text, entries with an empty host are ignored, and an empty list gives every page ``default``. Repeated
+    pages give repeated rows. Columns of ``pages`` named like a result are replaced. The work is done per distinct
+    host and path, so that a common host or address is one row before it meets the list.
     """
     listed = (
         rules.select(F.coalesce("host", F.lit("")).alias("_host"), F.coalesce("path", F.lit("")).alias("_path"), F.col("verdict").alias("_verdict"))
@@ -76,9 +77,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     )
     listed = settle(listed)
     sizes = listed.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.length("_path")).alias("lengths")).first()
-    asked = pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
+    own = F.col("doc")[url]
+    asked = packed(pages).select("doc", host_of(own).alias("host"), path_of(own).alias("path"))
     if not sizes["n"]:
-        return asked.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
+        return unpacked(asked, pages.columns, {"host": "host", "path": "path", "rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
     bloom, blocks = blocked_bloom(listed, "_key", sizes["n"])
     bloom = settle(bloom)
     labels = F.split(F.col("host"), r"\.")
@@ -95,8 +97,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: st
     best = found.groupBy(F.col("host").alias("_h"), F.col("path").alias("_p")).agg(
         F.max(F.struct(F.length("_key"), F.length("_host"), "_key", "_verdict")).alias("_best")
     )
-    return (
-        asked.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
-        .withColumns({"rule": F.col("_best._key"), "verdict": F.coalesce("_best._verdict", F.lit(default))})
-        .drop("_h", "_p", "_best")
-    )
+    joined = asked.join(best, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
+    verdict = F.coalesce("_best._verdict", F.lit(default))
+    return unpacked(joined, pages.columns, {"host": "host", "path": "path", "rule": "_best._key", "verdict": verdict})
