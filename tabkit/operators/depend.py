@@ -11,13 +11,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.functions.expr import normal_tail, q, quoted
+from tabkit.functions.expr import no_nan, normal_tail, q, quoted
 from tabkit.operators.moments import add_partials
 from tabkit.operators.ordering import ordered_prefix, to_long
 from tabkit.session import settle, sized_join, sized_like
 
 DIGIT = 16
-CHUNK = 100
+CHUNK = 100  # pairs up to which one aggregation takes all sums
+CONSTANT = 1e-12  # share of the squares about the mean below which a spread is rounding error
 
 
 def column_pairs(cols: Sequence[str]) -> list[tuple[str, str]]:
@@ -58,7 +59,8 @@ def apply_level_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str]) -> D
     for c in cols:
         t = df.schema[c].dataType
         slot = "s" if isinstance(t, T.StringType) else "d" if isinstance(t, T.FractionalType) else "i"
-        one = sized_like(codes.filter(q("column") == c).select(q(slot).alias("_k"), q("code").alias("_code")), codes)
+        # measured on its own: the codes of other columns may be many
+        one = codes.filter(q("column") == c).select(q(slot).alias("_k"), q("code").alias("_code"))
         joined = sized_join(df.withColumn("_k", q(c).cast(one.schema["_k"].dataType)), one, "_k", "left")
         df = joined.select(*[q("_code").alias(c) if n == c else q(n) for n in df.columns])
     return df
@@ -153,30 +155,37 @@ def dependence_with_response(df: DataFrame, response: str, cols: Sequence[str] |
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson correlation of each unordered pair over the rows where both are present.
 
-    Few pairs come from one aggregation; many from one scan of matrix products per Arrow batch (after
-    one for the means, about which the sums are taken). The result has one row per pair.
+    NaN counts as missing. Sums are taken about the columns' means, from a first pass; a pair in which a column's spread is of
+    rounding-error size has no correlation. Few pairs come from one aggregation, many from one scan of matrix products
+    per Arrow batch, by the same formula. The result has one row per pair.
     """
     pairs = column_pairs(cols)
-    doubles = df.select(*[F.expr(f"CAST({quoted(c)} AS DOUBLE) AS c{i}") for i, c in enumerate(cols)])
+    doubles = df.select(*[no_nan(q(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
     at = {c: i for i, c in enumerate(cols)}
+    means = doubles.agg(*[F.expr(f"avg(c{i}) AS c{i}") for i in range(len(cols))]).first() if cols else {}
+    centre = [m if (m := means[f"c{i}"]) is not None else 0.0 for i in range(len(cols))]
     if len(pairs) > CHUNK:
-        r = _wide_correlations(doubles, len(cols))
+        r = _wide_correlations(doubles, np.array(centre))
         rows = [(a, b, None if np.isnan(v := r[at[a], at[b]]) else float(v)) for a, b in pairs]
         return df.sparkSession.createDataFrame(rows, "var1 string, var2 string, r double")
-    # sums of squares rather than corr(), which fails on a constant column
-    row = doubles.agg(*[
-        F.expr("try_divide(regr_sxy({0}), sqrt(regr_sxx({0}) * regr_syy({0}))) AS p{1}".format(f"c{at[a]}, c{at[b]}", i))
-        for i, (a, b) in enumerate(pairs)
-    ])
-    names = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    return row.unpivot([], [f"p{i}" for i in range(len(pairs))], "pair", "r").withColumn(
-        "_e", F.element_at(names, F.substring("pair", 2, 9).cast("int") + 1)
-    ).select(F.col("_e.a").alias("var1"), F.col("_e.b").alias("var2"), "r")
-
-
-def _wide_correlations(doubles: DataFrame, d: int) -> np.ndarray:
-    means = doubles.agg(*[F.expr(f"avg(c{i}) AS c{i}") for i in range(d)]).first()
-    centre = np.array([m if (m := means[f"c{i}"]) is not None else 0.0 for i in range(d)])
+    centred = doubles.select(*[(q(f"c{i}") - F.lit(m)).alias(f"c{i}") for i, m in enumerate(centre)])
+    sums = []
+    for k, (a, b) in enumerate(pairs):
+        x, y = q(f"c{at[a]}"), q(f"c{at[b]}")
+        both = x.isNotNull() & y.isNotNull()
+        terms = {"n": F.lit(1.0), "x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}
+        sums.append(F.struct(
+            F.lit(a).alias("var1"), F.lit(b).alias("var2"), *[F.sum(F.when(both, t)).alias(n) for n, t in terms.items()]).alias(f"p{k}"))
+    if not sums:
+        return df.sparkSession.createDataFrame([], "var1 string, var2 string, r double")
+    every = centred.agg(*sums).select(F.inline(F.array(*[f"p{k}" for k in range(len(pairs))])))
+    sx, sy = q("xx") - q("x") * q("x") / q("n"), q("yy") - q("y") * q("y") / q("n")
+    varies = (sx > CONSTANT * q("xx")) & (sy > CONSTANT * q("yy"))
+    return every.select("var1", "var2", F.when(varies, (q("xy") - q("x") * q("y") / q("n")) / F.sqrt(sx * sy)).alias("r"))
+
+
+def _wide_correlations(doubles: DataFrame, centre: np.ndarray) -> np.ndarray:
+    d = len(centre)
 
     def partial(batches):
         held = None
@@ -194,7 +203,7 @@ def _wide_correlations(doubles: DataFrame, d: int) -> np.ndarray:
         cov = xy - s * s.T / n
         spread = ss - s * s / n
         # a spread of rounding-error size is a constant column
-        spread[spread <= 1e-12 * np.maximum(ss, 1e-300)] = np.nan
+        spread[spread <= CONSTANT * ss] = np.nan
         return cov / np.sqrt(spread * spread.T)
 
 
@@ -240,9 +249,9 @@ def spearman(df: DataFrame, cols: Sequence[str], response: str) -> DataFrame:
     held = ordered_prefix(margins, ["column", "side"], ["value"], "n")
 
     def ranks(side: str) -> DataFrame:
-        one = held.filter(q("side") == side).select(
+        # measured on its own: the ranks of the response are many, those of few levels are not
+        return held.filter(q("side") == side).select(
             "column", q("value").alias(side), (q("before") + (q("n") + 1) / 2).alias(f"r{side}"))
-        return sized_like(one, held)
 
     both = sized_join(sized_join(cells, ranks("x"), ["column", "x"], "inner"), ranks("y"), ["column", "y"], "inner")
     s = both.groupBy("column").agg(

@@ -15,7 +15,7 @@ from tabkit.operators.profile import levels_by_first_seen, value_counts
 from tabkit.operators.roles import Roles
 from tabkit.session import settle
 
-MAX_FLAGS = 10_000
+SHOWN = 20  # values named in an error, of a total that it states
 
 
 def _lookup(c: Column, mapping: Mapping) -> Column:
@@ -50,10 +50,11 @@ def encode_ordinals(df: DataFrame, mapper: Mapping[str, Mapping], check: bool =
     """Replace values by given codes; ``None`` is a legal key. Values without a code raise."""
     mapper = {c: m for c, m in mapper.items() if c in df.columns}
     if check:
-        # the first few are enough for the message
-        bad = unmapped_levels(df, mapper).limit(20).collect()
-        if bad:
-            raise ValueError("no code for " + ", ".join(f"{r['column']}={r['value']!r}" for r in bad))
+        bad = settle(unmapped_levels(df, mapper))
+        total = bad.count()
+        if total:
+            first = bad.orderBy("column", "value").limit(SHOWN).collect()
+            raise ValueError(f"{total} values without a code, the first in order: " + ", ".join(f"{r['column']}={r['value']!r}" for r in first))
     return df.select(*[_lookup(q(c), mapper[c]).alias(c) if c in mapper else q(c) for c in df.columns])
 
 
@@ -71,12 +72,12 @@ def label_encode_ordinals(df: DataFrame, cols: Sequence[str], fit_on: DataFrame
     return apply_level_codes(df, fitted, cols)
 
 
-def level_lists(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_FLAGS) -> dict[str, list[str]]:
-    """Sorted levels of the columns to be turned into flags; refuses more than a table can hold."""
+def level_lists(df: DataFrame, cols: Sequence[str], max_levels: int | None = None) -> dict[str, list[str]]:
+    """Sorted levels of the columns to be turned into flags; refuses more than ``max_levels`` if that is given."""
     if not cols:
         return {}
     counts = settle(value_counts(df, cols))
-    if counts.count() > max_levels:
+    if max_levels is not None and counts.count() > max_levels:
         raise ValueError(f"more than {max_levels} flag columns asked for")
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in counts.orderBy("column", "value").collect():

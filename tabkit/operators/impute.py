@@ -121,6 +121,8 @@ def match_donors(
     per missing row is formed. ``pick`` maps the key column to an integer choosing among the ``k``.
     """
     k = donors_per_row
+    # a donor without a prediction is near nobody
+    donors, missing = donors.filter(q("pred").isNotNull()), missing.filter(q("pred").isNotNull())
     both = donors.select(q(key), q("pred"), q("value"), F.lit(1).cast("bigint").alias("_w")).unionByName(
         missing.select(q(key), q("pred"), F.lit(None).cast("double").alias("value"), F.lit(0).cast("bigint").alias("_w"))
     )
@@ -151,7 +153,8 @@ def impute_chained(
     Every target starts at the observed value nearest its mean. In each round each target is
     regressed on all other columns (bootstrap weights by a hash of the key), and its missing cells
     take the value of a donor with a similar prediction. Rows without gaps never change, so only
-    the incomplete rows are rewritten between steps; lineage is cut once per step.
+    the incomplete rows are rewritten between steps; lineage is cut once per step. Predictors that are
+    not targets must be complete.
     """
     targets = list(targets)
     inputs = list(dict.fromkeys([*targets, *predictors]))
@@ -159,6 +162,10 @@ def impute_chained(
     order = sorted((t for t in targets if t in nulls), key=lambda t: (nulls[t], t))
     if not order:
         return df
+    rest = [c for c in inputs if c not in targets]
+    empty = [r["column"] for r in null_counts(df.select(*[q(c) for c in rest])).collect() if r["nulls"]] if rest else []
+    if empty:
+        raise ValueError("predictors hold nulls; fill them first or make them targets: " + ", ".join(empty))
     means = df.agg(*[F.avg(q(t)).alias(t) for t in order]).first()
     starts = df.agg(*[
         # a null order is passed over; a struct of nulls would come first

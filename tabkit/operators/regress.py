@@ -209,6 +209,10 @@ class KernelRobust:
     width: int = 64
     seed: int = 27
 
+    def __post_init__(self):
+        if self.epsilon <= 1:
+            raise ValueError(f"epsilon must be above 1, got {self.epsilon}")
+
     def _project(self, df: DataFrame, features: Sequence[str]) -> DataFrame:
         rng = np.random.default_rng(self.seed)
         freq = rng.normal(0.0, np.sqrt(2 * self.gamma), (len(features), self.width))
@@ -225,7 +229,7 @@ class KernelRobust:
         rows = self._project(df.filter(q(label).isNotNull()), features).select("_x", q(label).cast("double").alias("_y"))
         est = LinearRegression(
             featuresCol="_x", labelCol="_y", predictionCol="_prediction", loss="huber",
-            epsilon=max(1.01, self.epsilon), regParam=1e-6 + 1.0 / (1e6 * self.c), maxIter=100,
+            epsilon=self.epsilon, regParam=1e-6 + 1.0 / (1e6 * self.c), maxIter=100,
         )
         return FittedKernel(self, tuple(features), est.fit(rows))
 

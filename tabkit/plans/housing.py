@@ -184,7 +184,8 @@ LN10 = 2.302585092994046
 SPACES = {
     "ridge": {"alpha": ("loguniform", -3 * LN10, 2 * LN10)},
     "bridge": {n: ("loguniform", -9 * LN10, 3 * LN10) for n in ("alpha_1", "alpha_2", "lambda_1", "lambda_2")},
-    "svr": {n: ("loguniform", -3 * LN10, 2 * LN10) for n in ("gamma", "C", "epsilon")},
+    # the robust loss needs an epsilon above 1
+    "svr": {**{n: ("loguniform", -3 * LN10, 2 * LN10) for n in ("gamma", "C")}, "epsilon": ("uniform", 1.01, 3.0)},
     "xgb": {
         "max_depth": ("quniform", 1, 3, 1), "n_estimators": ("quniform", 100, 500, 50),
         "learning_rate": ("loguniform", -4 * LN10, 0.0), "gamma": ("loguniform", -3 * LN10, 2 * LN10),

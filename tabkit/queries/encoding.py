@@ -54,13 +54,23 @@ def _mode(c: str) -> str:
     return f"(SELECT {c} FROM obs WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
 
 
-@query("e4_impute_few", with_obs(f"""SELECT id, split, coalesce(segment, {_mode('segment')}) AS segment, priority,
- coalesce(qty, (SELECT median(qty) FROM obs)) AS qty, acctbal, n_lines FROM obs"""))
+FEW = {"segment": 2000, "priority": 1000, "qty": 500, "acctbal": 100}
+
+
+def _few(c: str, value: str) -> str:
+    return f"CASE WHEN (SELECT count(*) FROM obs WHERE {c} IS NULL) <= {FEW[c]} THEN coalesce({c}, {value}) ELSE {c} END AS {c}"
+
+
+@query("e4_impute_few", with_obs(f"""SELECT id, split, {_few('segment', _mode('segment'))}, {_few('priority', _mode('priority'))},
+ {_few('qty', '(SELECT median(qty) FROM obs)')}, {_few('acctbal', '(SELECT median(acctbal) FROM obs)')}, n_lines FROM obs"""))
 def e4(spark, sf):
     df = store(obs(spark, sf, ("id", "split", "segment", "priority", "qty", "acctbal", "n_lines")))
-    limit = df.count() // 50
-    roles = Roles(cat=("segment", "priority"), ord=("n_lines",), quant=("qty", "acctbal"), key=KEY)
-    return impute_few(df, roles, max_cat=limit, max_ord=limit, max_quant=limit)
+    # fixed limits; each column has its own, so one call per column
+    for c in ("segment", "priority"):
+        df = impute_few(df, Roles(cat=(c,), key=KEY), max_cat=FEW[c])
+    for c in ("qty", "acctbal"):
+        df = impute_few(df, Roles(quant=(c,), key=KEY), max_quant=FEW[c])
+    return df
 
 
 @query("e5_impute_categorical")
@@ -89,7 +99,7 @@ def e5_mode(spark, sf):
 @query("e6_impute_chained")
 def e6(spark, sf):
     df = store(obs(spark, sf, ("id", "month_sold", "n_lines", "n_ret", "tax0", "acctbal", "qty", "gross")))
-    return impute_chained(df, "id", ["acctbal", "qty", "gross"], ["month_sold", "n_lines", "n_ret", "tax0"], iterations=2, donors=5)
+    return impute_chained(df, "id", ["acctbal", "qty", "gross"], ["month_sold", "n_lines", "n_ret", "tax0"])
 
 
 @query("e6_chained_one_predictor", with_obs("""

@@ -55,11 +55,27 @@ def a3(spark, sf):
        "FROM lineitem")
 def a4(spark, sf):
     folder = work_folder(spark)
-    write_typed_csv(table(spark, sf, "lineitem").select("l_returnflag", "l_tax"), folder)
+    write_typed_csv(table(spark, sf, "lineitem"), folder)
     return read_typed_csv(spark, folder).agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("l_returnflag").alias("flags"), rnd(F.sum("l_tax"), 4).alias("tax"))
 
 
+@query("a4_documents_round_trip", "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents")
+def a4_documents(spark, sf):
+    """Texts with line breaks, quotes, backslashes and edge blanks come back as they were."""
+    folder = work_folder(spark)
+    write_typed_csv(table(spark, sf, "documents"), folder)
+    return read_typed_csv(spark, folder)
+
+
+@query("a4_orders_round_trip", "SELECT * FROM orders")
+def a4_orders(spark, sf):
+    """A date, decimal or other typed column comes back with its type."""
+    folder = work_folder(spark)
+    write_typed_csv(table(spark, sf, "orders"), folder)
+    return read_typed_csv(spark, folder)
+
+
 @query("a5_load_tables", " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in TABLES))
 def a5(spark, sf):
     out = None

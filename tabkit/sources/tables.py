@@ -14,14 +14,35 @@ from tabkit.functions.expr import no_nan, q
 TYPE_NAMES = {
     "object": "string", "category": "string", "int64": "bigint", "float64": "double", "bool": "boolean",
 }
-NAME_OF_TYPE = {"string": "object", "bigint": "int64", "int": "int64", "double": "float64", "boolean": "bool"}
+TYPE_NAMES |= {"float32": "float", "int16": "smallint", "int8": "tinyint", "date": "date", "datetime64": "timestamp"}
+NAME_OF_TYPE = {
+    "string": "object", "bigint": "int64", "int": "int64", "double": "float64", "boolean": "bool", "float": "float32",
+    "smallint": "int16", "tinyint": "int8", "date": "date", "timestamp": "datetime64",
+}
+#: Quoted fields may hold line breaks, doubled quotes, backslashes and edge blanks.
+AS_IS = {
+    "multiLine": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
+def _name_of(column: str, kind: str) -> str:
+    """A decimal keeps its own name; other types without a name are refused."""
+    if kind.startswith("decimal("):
+        return kind
+    if kind not in NAME_OF_TYPE:
+        raise TypeError(f"a typed CSV cannot hold column {column} of type {kind}")
+    return NAME_OF_TYPE[kind]
+
+
+def _type_of(name: str) -> str:
+    return name if name.startswith("decimal(") else TYPE_NAMES[name]
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with a header; ``NA``, ``NaN`` and empty fields are null, the text ``None`` stays."""
     df = (
         spark.read.schema(schema).option("header", True).option("nullValue", "NA")
-        .option("emptyValue", "").option("enforceSchema", False).csv(path)
+        .option("emptyValue", "").option("enforceSchema", False).options(**AS_IS).csv(path)
     )
     def clean(f: T.StructField):
         if isinstance(f.dataType, T.StringType):
@@ -52,12 +73,13 @@ def read_splits(
 
 def write_typed_csv(df: DataFrame, path: str, mode: str = "error") -> None:
     """Write CSV part files with a header and, beside the data, the type names as a one-row CSV."""
-    names = [(c, NAME_OF_TYPE[t]) for c, t in df.dtypes]
+    names = [(c, _name_of(c, t)) for c, t in df.dtypes]
     types = df.sparkSession.createDataFrame(
         [tuple(t for _, t in names)], ", ".join(f"`{c}` string" for c, _ in names)
     )
     types.coalesce(1).write.mode(mode).option("header", True).csv(f"{path}/types")
-    df.write.mode(mode).option("header", True).option("nullValue", "NA").csv(f"{path}/data")
+    df.write.mode(mode).option("header", True).option("nullValue", "NA").option("lineSep", "\n").options(
+        **{k: v for k, v in AS_IS.items() if k != "multiLine"}).csv(f"{path}/data")
 
 
 def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -65,7 +87,7 @@ def read_typed_csv(spark: SparkSession, path: str) -> DataFrame:
     types = spark.read.option("header", True).csv(f"{path}/types")
     row = types.first()
     schema = T.StructType([
-        T.StructField(c, T._parse_datatype_string(TYPE_NAMES[row[c]])) for c in types.columns
+        T.StructField(c, T._parse_datatype_string(_type_of(row[c]))) for c in types.columns
     ])
     return read_csv(spark, f"{path}/data", schema)
 
