@@ -20,11 +20,8 @@ def moments(df: DataFrame, features: Sequence[str], label: str, fold: str) -> Da
     col = {"1": F.lit(1.0), **{c: q(c).cast("double") for c in names[1:]}}
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i:]]
     sums = df.groupBy(q(fold).alias("fold")).agg(*[F.sum(col[a] * col[b]).alias(f"m{i}") for i, (a, b) in enumerate(pairs)])
-    label_of = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a, b in pairs])
-    at = F.element_at(label_of, F.substring("m", 2, 9).cast("int") + 1)
-    return sums.unpivot("fold", [f"m{i}" for i in range(len(pairs))], "m", "value").select(
-        "fold", at["a"].alias("a"), at["b"].alias("b"), "value"
-    )
+    rows = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"m{i}").alias("value")) for i, (a, b) in enumerate(pairs)]
+    return sums.select("fold", F.inline(F.array(*rows)))
 
 
 def gram_by_fold(

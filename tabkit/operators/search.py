@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from tabkit.functions.expr import HASH_MULTIPLIERS, hash_uniform, q
 from tabkit.operators.moments import held_out_rmse, squared_error
@@ -77,7 +78,8 @@ def evaluate_ml_trials(
 ) -> DataFrame:
     """Held-out error of Spark ML models by cross validation on a given fold column.
 
-    Every trial is a set of distributed fits over the whole table; the trial list is short by design.
+    Every trial is one distributed fit per fold over the whole table, ``parallelism`` of them at a time; nothing is
+    fitted on all folds. ``folds`` is the number of values of the fold column.
     """
     spark = df.sparkSession
     rows = settle(
@@ -85,16 +87,18 @@ def evaluate_ml_trials(
         .transform(df.filter(q(label).isNotNull())).select(
             "features", q(label).cast("double").alias("label"), q(fold).cast("int").alias("fold"))
     )
-    out = []
-    for t in trials.orderBy("trial_id").collect():
-        est = make(t["params"])
-        # the evaluator reports the mean over folds of fold mean squared errors, then comes the root
-        cv = CrossValidator(
-            estimator=est, estimatorParamMaps=ParamGridBuilder().build(), numFolds=folds, foldCol="fold",
-            evaluator=RegressionEvaluator(metricName="mse"), parallelism=parallelism,
-        )
-        out.append((t["trial_id"], t["params"], float(np.sqrt(cv.fit(rows).avgMetrics[0]))))
-    return spark.createDataFrame(out, TRIAL_SCHEMA)
+    asked = trials.orderBy("trial_id").collect()
+    judge = RegressionEvaluator(metricName="mse")
+
+    def error(at: tuple[int, int]) -> float:
+        model = make(asked[at[0]]["params"]).fit(rows.filter(q("fold") != at[1]))
+        return judge.evaluate(model.transform(rows.filter(q("fold") == at[1])))
+
+    with ThreadPool(parallelism) as pool:
+        errors = pool.map(inheritable_thread_target(spark)(error), [(i, f) for i in range(len(asked)) for f in range(folds)], 1)
+    # the mean over folds of fold mean squared errors, then the root
+    of_trial = np.sqrt(np.array(errors).reshape(len(asked), folds).mean(1))
+    return spark.createDataFrame([(t["trial_id"], t["params"], float(e)) for t, e in zip(asked, of_trial)], TRIAL_SCHEMA)
 
 
 def best_trial(trials: DataFrame, integers: Sequence[str] = ()) -> DataFrame:
@@ -150,9 +154,8 @@ def split_params(flat: DataFrame) -> DataFrame:
 
 def normalise_weights(weights: DataFrame, by: Sequence[str], col: str = "weight") -> DataFrame:
     """Weights divided by their sum within each ensemble."""
-    held = settle(weights)
-    total = settle(held.groupBy(*[q(b) for b in by]).agg(F.sum(q(col)).alias("_t")))
-    return sized_join(held, total, list(by), "inner").withColumn(col, F.try_divide(q(col), q("_t"))).drop("_t")
+    total = settle(weights.groupBy(*[q(b) for b in by]).agg(F.sum(q(col)).alias("_t")))
+    return sized_join(weights, total, list(by), "inner").withColumn(col, F.try_divide(q(col), q("_t"))).drop("_t")
 
 
 # --- joint search of ensembles of linear members -------------------------------------------------

@@ -207,14 +207,14 @@ def g6(spark, sf):
 
 
 def _pivot_sql() -> str:
-    cols = ", ".join(f"max(CASE WHEN dataset='NATION_{d}' THEN {m} END) AS \"NATION_{d}_{m}\"" for d in (0, 1, 2) for m in ("train_rmse", "cv_rmse"))
-    return with_obs(_SCORES + f" SELECT model, {cols} FROM cmp WHERE dataset IN ('NATION_0','NATION_1','NATION_2') GROUP BY model")
+    cols = ", ".join(f"max(CASE WHEN dataset='NATION_{d}' THEN {m} END) AS \"NATION_{d}_{m}\"" for d in range(25) for m in ("train_rmse", "cv_rmse"))
+    return with_obs(_SCORES + f" SELECT model, {cols} FROM cmp GROUP BY model")
 
 
 @query("g7_pivot_results", _pivot_sql())
 def g7(spark, sf):
-    names = ["NATION_0", "NATION_1", "NATION_2"]
-    long = melt(_scores(spark, sf).filter(q("dataset").isin(names)), ["dataset", "model"], "metric", "value")
+    names = [f"NATION_{d}" for d in range(25)]
+    long = melt(_scores(spark, sf), ["dataset", "model"], "metric", "value")
     return pivot_results(long, names, ["train_rmse", "cv_rmse"])
 
 
@@ -259,10 +259,10 @@ def h5(spark, sf):
     return rank_datasets_within_model(_scores(spark, sf))
 
 
-@query("h5_pivot_ranks", with_obs(_SCORES + """, r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY cv_rmse, dataset) AS rank FROM cmp)
- SELECT model, max(CASE WHEN dataset='NATION_0' THEN rank END) AS "NATION_0", max(CASE WHEN dataset='NATION_1' THEN rank END) AS "NATION_1" FROM r GROUP BY model"""))
+@query("h5_pivot_ranks", with_obs(_SCORES + f""", r AS (SELECT *, row_number() OVER (PARTITION BY model ORDER BY cv_rmse, dataset) AS rank FROM cmp)
+ SELECT model, {", ".join(f"max(CASE WHEN dataset='NATION_{d}' THEN rank END) AS NATION_{d}" for d in range(25))} FROM r GROUP BY model"""))
 def h5_pivot(spark, sf):
-    return pivot_ranks(rank_datasets_within_model(_scores(spark, sf)), ["NATION_0", "NATION_1"])
+    return pivot_ranks(rank_datasets_within_model(_scores(spark, sf)), [f"NATION_{d}" for d in range(25)])
 
 
 @query("h6_best_models", with_obs(_SCORES + " SELECT * FROM cmp WHERE dataset='NATION_3' ORDER BY cv_rmse, model LIMIT 4"))

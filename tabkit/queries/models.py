@@ -198,7 +198,7 @@ _LEVELS = ("priority", "nation")
 
 
 def _level_means(spark, sf):
-    df = assign_folds(obs(spark, sf, ("id", "split", *_LEVELS, "price")).filter("price is not null and priority is not null"))
+    df = assign_folds(obs(spark, sf, ("id", "split", *_LEVELS, "price")).filter("price is not null").withColumn("priority", F.coalesce("priority", F.lit("none"))))
     df = settle(df.select("id", "fold", F.ln("price").alias("y"), *_LEVELS))
     inside, outside = None, None
     for c in _LEVELS:
@@ -217,7 +217,7 @@ def _means_sql() -> str:
         f"""SELECT 'all' AS dataset, 'mean_{c}' AS model, id, fold, y, avg(y) OVER (PARTITION BY {c}) AS p,
  (sum(y) OVER (PARTITION BY {c}) - sum(y) OVER (PARTITION BY {c}, fold)) / (count(*) OVER (PARTITION BY {c}) - count(*) OVER (PARTITION BY {c}, fold)) AS po FROM z"""
         for c in _LEVELS)
-    return f""", z AS (SELECT id, CAST((id*30011)%65521%5 AS BIGINT) AS fold, ln(price) AS y, priority, nation FROM obs WHERE price IS NOT NULL AND priority IS NOT NULL),
+    return f""", z AS (SELECT id, CAST((id*30011)%65521%5 AS BIGINT) AS fold, ln(price) AS y, coalesce(priority, 'none') AS priority, nation FROM obs WHERE price IS NOT NULL),
  pr AS ({body})
 , tr AS (SELECT dataset, model, sqrt(avg(pow(y-p,2))) AS e FROM pr GROUP BY 1,2)
 , cv AS (SELECT dataset, model, sqrt(avg(mse)) AS e FROM (SELECT dataset, model, fold, avg(pow(y-po,2)) AS mse FROM pr GROUP BY 1,2,3) GROUP BY 1,2)"""
@@ -294,10 +294,10 @@ SPACE = {"alpha": ("loguniform", -6.907755278982137, 4.605170185988092), "share"
 WEIGHTS = {"voter1": ("uniform", 0.0, 1.0), "voter2": ("uniform", 0.0, 1.0)}
 
 
-@query("j1_trial_points", """SELECT c_custkey AS trial_id, round(exp(-6.907755278982137 + ((c_custkey*30011)%65521)/65521.0*(4.605170185988092+6.907755278982137)),6) AS alpha,
- round(0.25 + ((c_custkey*40503)%65521)/65521.0*0.75,6) AS share, round((100 + ((c_custkey*12347)%65521)/65521.0*400)/50)*50.0 AS trees FROM customer WHERE c_custkey >= 1""")
+@query("j1_trial_points", """SELECT c_custkey+1 AS trial_id, round(exp(-6.907755278982137 + (((c_custkey+1)*30011)%65521)/65521.0*(4.605170185988092+6.907755278982137)),6) AS alpha,
+ round(0.25 + (((c_custkey+1)*40503)%65521)/65521.0*0.75,6) AS share, round((100 + (((c_custkey+1)*12347)%65521)/65521.0*400)/50)*50.0 AS trees FROM customer""")
 def j1(spark, sf):
-    points = trial_points(table(spark, sf, "customer").filter("c_custkey >= 1"), SPACE, "c_custkey")
+    points = trial_points(table(spark, sf, "customer").select((q("c_custkey") + 1).alias("trial")), SPACE, "trial")
     return points.select("trial_id", *[rnd(q("params")[n]).alias(n) for n in SPACE])
 
 

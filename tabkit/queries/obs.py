@@ -97,9 +97,13 @@ def obs(spark: SparkSession, sf: str, columns: Sequence[str] = COLUMNS) -> DataF
 def model_obs(spark: SparkSession, sf: str) -> DataFrame:
     """Complete numeric table for model fitting: train rows, label = log price, five features, fold."""
     from tabkit.functions.expr import fold_of
+    from tabkit.operators.impute import apply_fill
+    from tabkit.operators.ordering import column_quantiles
 
     df = obs(spark, sf, ("id", "split", "month_sold", "n_lines", "n_ret", "qty", "gross", "price"))
-    df = df.filter((q("split") == "train") & q("qty").isNotNull())
+    df = df.filter(q("split") == "train")
+    # orders without lines have the medians of the others
+    df = apply_fill(df, column_quantiles(df, ["qty", "gross"]))
     return df.select(
         "id", (q("month_sold") / 12).alias("x1"), (q("n_lines") / 10).alias("x2"), (q("n_ret") / 10).alias("x3"),
         (q("qty") / 100).alias("x4"), (q("gross") / 100000).alias("x5"), F.ln("price").alias("y"),
@@ -109,6 +113,7 @@ def model_obs(spark: SparkSession, sf: str) -> DataFrame:
 
 FEATURES = ["x1", "x2", "x3", "x4", "x5"]
 
-MODEL_SQL = """, m AS (SELECT id, month_sold/12.0 AS x1, n_lines/10.0 AS x2, n_ret/10.0 AS x3, qty/100 AS x4,
- gross/100000 AS x5, ln(price) AS y, CAST((id*30011)%65521%5 AS BIGINT) AS fold
- FROM obs WHERE split='train' AND qty IS NOT NULL)"""
+MODEL_SQL = """, m AS (SELECT id, month_sold/12.0 AS x1, n_lines/10.0 AS x2, n_ret/10.0 AS x3,
+ coalesce(qty, (SELECT median(qty) FROM obs WHERE split='train'))/100 AS x4,
+ coalesce(gross, (SELECT median(gross) FROM obs WHERE split='train'))/100000 AS x5, ln(price) AS y, CAST((id*30011)%65521%5 AS BIGINT) AS fold
+ FROM obs WHERE split='train')"""

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,16 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, for sessions started where it is not installed."""
+    here = Path(__file__).parent
+    target = Path(tempfile.mkdtemp(prefix="tabkit-ship-")) / "tabkit.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for p in sorted(here.rglob("*.py")):
+            z.write(p, p.relative_to(here.parent))
+    spark.sparkContext.addPyFile(str(target))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session; a temporary one only in local mode."""
     sc = spark.sparkContext
@@ -27,16 +39,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _value_bytes(name: str, kind: T.DataType, depth: int = 0) -> str:
+    """SQL for the approximate size of a value, with what arrays, maps and structs hold."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return f"coalesce(octet_length({name}), 0) + 16L"
+    if isinstance(kind, T.StructType):
+        parts = [_value_bytes(f"{name}.`{f.name.replace('`', '``')}`", f.dataType, depth) for f in kind]
+        return "(" + " + ".join(["8L", *parts]) + ")"
+    if isinstance(kind, T.MapType):
+        return f"({_value_bytes(f'map_keys({name})', T.ArrayType(kind.keyType), depth)} + {_value_bytes(f'map_values({name})', T.ArrayType(kind.valueType), depth)})"
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+            x = f"x{depth}"
+            return f"coalesce(aggregate({name}, 16L, (a{depth}, {x}) -> a{depth} + {_value_bytes(x, kind.elementType, depth + 1)}), 16L)"
+        return f"coalesce(size({name}), 0) * 8L + 16L"
+    return "8L"
+
+
 def _row_bytes(schema: T.StructType) -> str:
-    """SQL for the approximate size of a row: its text and array lengths plus a fixed part."""
-    terms = [f"{8 * len(schema) + 16}L"]
-    for f in schema:
-        name = "`" + f.name.replace("`", "``") + "`"
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            terms.append(f"coalesce(length({name}), 0)")
-        elif isinstance(f.dataType, (T.ArrayType, T.MapType)):
-            terms.append(f"coalesce(size({name}), 0) * 16")
-    return " + ".join(terms)
+    """SQL for the approximate size of a row."""
+    return " + ".join(["16L", *[_value_bytes("`" + f.name.replace("`", "``") + "`", f.dataType) for f in schema]])
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -14,10 +14,10 @@ from tabkit.functions.expr import no_nan, q
 TYPE_NAMES = {
     "object": "string", "category": "string", "int64": "bigint", "float64": "double", "bool": "boolean",
 }
-TYPE_NAMES |= {"float32": "float", "int16": "smallint", "int8": "tinyint", "date": "date", "datetime64": "timestamp"}
+TYPE_NAMES |= {"float32": "float", "int16": "smallint", "int8": "tinyint", "date": "date", "datetime64": "timestamp", "datetime64_naive": "timestamp_ntz"}
 NAME_OF_TYPE = {
     "string": "object", "bigint": "int64", "int": "int64", "double": "float64", "boolean": "bool", "float": "float32",
-    "smallint": "int16", "tinyint": "int8", "date": "date", "timestamp": "datetime64",
+    "smallint": "int16", "tinyint": "int8", "date": "date", "timestamp": "datetime64", "timestamp_ntz": "datetime64_naive",
 }
 #: Quoted fields may hold line breaks, doubled quotes, backslashes and edge blanks.
 AS_IS = {
