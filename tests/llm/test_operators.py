@@ -187,7 +187,7 @@ def near_copies(rng, n_groups=6, copies=14, size=120):
     return texts
 
 
-@pytest.mark.parametrize("size,percent,rare,hot,rounds", [(4, 85, None, 4096, 32), (4, 85, 0, 3, 1), (5, 80, 2, 5, 2)])
+@pytest.mark.parametrize("size,percent,rare,hot,rounds", [(4, 85, None, 4096, 32), (5, 80, 0, 3, 4)])
 def test_join_by_brute_force(spark, size, percent, rare, hot, rounds):
     rng = random.Random(size)
     texts = near_copies(rng) + ["a b c", "A B\tC", "", "x", "a b c d e f g h i j k", "a b c d e f g h i j"] * 2
@@ -285,6 +285,18 @@ def test_annuli_are_skipped():
 
 # packing
 
+def least_bins(counts, capacity):
+    """No packing needs fewer: items above half are apart, and those of k to half fill what the middle ones leave."""
+    best = 0
+    for k in range(capacity // 2 + 1):
+        big = sum(c for n, c in counts.items() if n > capacity - k)
+        middle = {n: c for n, c in counts.items() if capacity / 2 < n <= capacity - k}
+        room = sum((capacity - n) * c for n, c in middle.items())
+        small = sum(n * c for n, c in counts.items() if k <= n <= capacity / 2)
+        best = max(best, big + sum(middle.values()) + max(0, -(-(small - room) // capacity)))
+    return best
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_plan_is_exact_and_tight(seed):
     rng = random.Random(seed)
@@ -303,7 +315,7 @@ def test_plan_is_exact_and_tight(seed):
     for parts in spans.values():
         parts.sort()
         assert parts[0][0] == 0 and all(a + b == c for (a, b), (c, _) in zip(parts, parts[1:])) and sum(parts[-1]) <= capacity
-    assert len(spans) == plan.sequences <= 1.12 * sum(n * c for n, c in counts.items()) / capacity + 1
+    assert len(spans) == plan.sequences <= 1.06 * least_bins(counts, capacity) + 1
 
 
 def test_packing_odd(odd):
