@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import q
-from tabkit.operators.regress import Linear
+from tabkit.operators.ensemble import Stack, Voter
+from tabkit.operators.regress import KernelRobust, Linear, tree
 from tabkit.operators.roles import (
     enforce_types, infer_roles, role_report, schema_profile, select_by_type, set_roles, stored_roles,
 )
@@ -13,7 +14,7 @@ from tabkit.operators.profile import value_counts
 from tabkit.queries.obs import COLUMNS, FEATURES, KEY, ROLES, model_obs, obs, with_obs
 from tabkit.queries.registry import query, rnd, table, work_folder
 from tabkit.session import store
-from tabkit.sources.dictionary import describe_columns, sections, text_lines
+from tabkit.sources.dictionary import describe_columns, parse_dictionary, sections, text_lines
 from tabkit.sources.store import load_models, save_models
 from tabkit.sources.tables import (
     load_tables, read_splits, read_typed_csv, save_tables, stack_splits, write_predictions, write_typed_csv,
@@ -107,6 +108,17 @@ def a7(spark, sf):
                          F.length("line").cast("bigint").alias("line_length"))
 
 
+@query("a7_dictionary_of_customers", """SELECT n_name AS var, 'customers of ' || n_name AS description, CAST(c_custkey AS VARCHAR) AS code, c_name AS label
+ FROM customer JOIN nation ON c_nationkey = n_nationkey""")
+def a7_customers(spark, sf):
+    """One text per nation, a header and a line per customer, parsed back."""
+    named = table(spark, sf, "customer").join(table(spark, sf, "nation"), q("c_nationkey") == q("n_nationkey"))
+    line = F.concat(F.lit("       "), q("c_custkey").cast("string"), F.lit("\t"), q("c_name"))
+    texts = named.groupBy(q("n_name").alias("path")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines"))
+    texts = texts.select("path", F.concat(q("path"), F.lit(": customers of "), q("path"), F.lit("\n\n"), q("lines"), F.lit("\n\t\n")).alias("value"))
+    return parse_dictionary(texts)
+
+
 @query("a8_describe_columns", with_obs("""
 , d AS (SELECT 'status' AS "column", status AS code, lower(status) AS label FROM obs GROUP BY status
   UNION ALL SELECT 'segment', segment, lower(segment) FROM obs WHERE segment IS NOT NULL GROUP BY segment)
@@ -193,7 +205,7 @@ def a13(spark, sf):
     return got.select("dataset", "model", "id", rnd("price", 4).alias("price"))
 
 
-@query("a14_save_load_models", with_obs(""", m AS (SELECT id FROM obs WHERE split='train' AND qty IS NOT NULL)
+@query("a14_save_load_models", with_obs(""", m AS (SELECT id FROM obs WHERE split='train')
  SELECT count(*) AS n, 0.0::DOUBLE AS largest_difference FROM m"""))
 def a14(spark, sf):
     folder = work_folder(spark)
@@ -203,3 +215,23 @@ def a14(spark, sf):
     again = load_models(spark, folder)["ridge"]
     both = again.predict(fitted.predict(df, "a"), "b")
     return both.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(q("a") - q("b"))).alias("largest_difference"))
+
+
+@query("a14_every_kind", with_obs("SELECT kind, count(*) AS n, 0.0::DOUBLE AS largest_difference FROM obs, "
+                                  "(SELECT unnest(['kernel', 'stack', 'tree', 'voter']) AS kind) WHERE split='train' GROUP BY kind"))
+def a14_kinds(spark, sf):
+    """Models of Spark ML, of kernel features and ensembles of them predict the same after loading."""
+    folder = work_folder(spark)
+    df = store(model_obs(spark, sf))
+    specs = {
+        "tree": tree(3), "kernel": KernelRobust(width=8), "voter": Voter({"ridge": Linear("ridge"), "tree": tree(2)}),
+        "stack": Stack({"ridge": Linear("ridge"), "tree": tree(2)}, Linear("ridge")),
+    }
+    fitted = {n: s.fit(df, FEATURES, "y") for n, s in specs.items()}
+    save_models(spark, fitted, folder)
+    out = None
+    for n, again in load_models(spark, folder).items():
+        both = again.predict(fitted[n].predict(df, "a"), "b")
+        part = both.agg(F.lit(n).alias("kind"), F.count(F.lit(1)).alias("n"), F.max(F.abs(q("a") - q("b"))).alias("largest_difference"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -8,35 +8,66 @@ from pyspark.ml.util import DefaultParamsReader
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.operators.regress import FittedML, LinearFit
+from tabkit.operators.ensemble import FittedStack, FittedVoter
+from tabkit.operators.regress import FittedKernel, FittedML, KernelRobust, LinearFit
 
-KEPT = "kind string, name string, features array<string>, intercept double, coef array<double>"
+KEPT = "top boolean, kind string, name string, features array<string>, intercept double, coef array<double>"
 
 
 def save_models(spark: SparkSession, models: Mapping[str, object], folder: str) -> None:
-    """Linear models as table rows, Spark ML models in their own format under ``ml/<name>``."""
+    """Models of every kind as table rows, Spark ML parts in their own format under ``ml/<name>``.
+
+    A stack or a voter is a row that names its members, which are rows of their own below its name.
+    """
     rows = []
-    for name, m in models.items():
+
+    def keep(name: str, m: object, top: bool) -> None:
         if isinstance(m, LinearFit):
-            rows.append(("linear", name, list(m.features), float(m.intercept), [float(w) for w in m.coef]))
+            rows.append((top, "linear", name, list(m.features), float(m.intercept), [float(w) for w in m.coef]))
         elif isinstance(m, FittedML):
             m.model.write().overwrite().save(f"{folder}/ml/{name}")
-            rows.append(("ml", name, list(m.features), None, None))
+            rows.append((top, "ml", name, list(m.features), None, None))
+        elif isinstance(m, FittedKernel):
+            m.model.write().overwrite().save(f"{folder}/ml/{name}")
+            spec = m.spec
+            rows.append((top, "kernel", name, list(m.features), None, [float(x) for x in (spec.gamma, spec.c, spec.epsilon, spec.width, spec.seed)]))
+        elif isinstance(m, FittedStack):
+            rows.append((top, "stack", name, list(m.members), None, None))
+            keep(f"{name}/meta", m.meta, False)
+            for n, x in m.members.items():
+                keep(f"{name}/member/{n}", x, False)
+        elif isinstance(m, FittedVoter):
+            rows.append((top, "voter", name, list(m.members), None, [float(m.weights[n]) for n in m.members]))
+            for n, x in m.members.items():
+                keep(f"{name}/member/{n}", x, False)
         else:
             raise TypeError(f"cannot store {type(m).__name__}")
+
+    for name, m in models.items():
+        keep(name, m, True)
     spark.createDataFrame(rows, KEPT).coalesce(1).write.mode("overwrite").parquet(f"{folder}/models.parquet")
 
 
 def load_models(spark: SparkSession, folder: str) -> dict[str, object]:
     """Models by name; they predict as before."""
-    out: dict[str, object] = {}
-    for r in spark.read.parquet(f"{folder}/models.parquet").collect():
+    rows = {r["name"]: r for r in spark.read.parquet(f"{folder}/models.parquet").collect()}
+
+    def model(name: str) -> object:
+        r = rows[name]
         if r["kind"] == "linear":
-            out[r["name"]] = LinearFit(tuple(r["features"]), r["intercept"], tuple(r["coef"]))
-        else:
-            model = DefaultParamsReader.loadParamsInstance(f"{folder}/ml/{r['name']}", spark.sparkContext)
-            out[r["name"]] = FittedML(tuple(r["features"]), model)
-    return out
+            return LinearFit(tuple(r["features"]), r["intercept"], tuple(r["coef"]))
+        if r["kind"] in ("ml", "kernel"):
+            part = DefaultParamsReader.loadParamsInstance(f"{folder}/ml/{name}", spark.sparkContext)
+            if r["kind"] == "ml":
+                return FittedML(tuple(r["features"]), part)
+            gamma, c, epsilon, width, seed = r["coef"]
+            return FittedKernel(KernelRobust(gamma, c, epsilon, int(width), int(seed)), tuple(r["features"]), part)
+        members = {n: model(f"{name}/member/{n}") for n in r["features"]}
+        if r["kind"] == "stack":
+            return FittedStack(members, model(f"{name}/meta"))
+        return FittedVoter(members, dict(zip(r["features"], r["coef"])))
+
+    return {name: model(name) for name, r in rows.items() if r["top"]}
 
 
 def append_trials(scored: DataFrame, path: str, dataset: str, model: str) -> None:
