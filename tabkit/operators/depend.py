@@ -76,8 +76,8 @@ def label_encode_all(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def joint_counts(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Cell counts ``(var1, var2, v1, v2, n)`` of all pairs in one pass; rows with a null are left out.
 
-    The partial aggregation collapses cells before the shuffle; bin continuous columns first. A row
-    is carried once as an array and paired by position, so the plan grows with the columns only.
+    The partial aggregation collapses cells before the shuffle; bin continuous columns first. A row is paired by
+    position in its array of values, so the plan grows with the columns only, and a pair's row holds its two values.
     """
     cols = list(dict.fromkeys(x for p in pairs for x in p))
     at = {c: i for i, c in enumerate(cols)}
@@ -87,10 +87,9 @@ def joint_counts(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     lists = ", ".join("array({})".format(", ".join(map(str, p)) or "-1") for p in partners)
     values = F.array(*[F.expr(f"CAST({quoted(c)} AS STRING)") for c in cols])
     cells = (
-        df.select(values.alias("_v")).select("_v", F.posexplode("_v").alias("i", "v1"))
-        .filter("v1 is not null")
-        .select("_v", "i", "v1", F.explode(F.expr(f"element_at(array({lists}), i + 1)")).alias("j"))
-        .select("i", "j", "v1", F.expr("if(j < 0, null, _v[j])").alias("v2")).filter("v2 is not null")
+        df.select(values.alias("_v")).select(F.expr(
+            f"inline(flatten(transform(array({lists}), (js, i) -> transform(filter(js, j -> j >= 0 AND _v[i] IS NOT NULL AND _v[j] IS NOT NULL), "
+            "j -> named_struct('i', i, 'j', j, 'v1', _v[i], 'v2', _v[j])))))"))
         .groupBy("i", "j", "v1", "v2").agg(F.count(F.lit(1)).alias("n"))
     )
     names = "array({})".format(", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in cols))
@@ -127,11 +126,11 @@ def dependence_distance(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def dependence_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Entropy distance of every ordered pair, zero on the diagonal."""
+    if len(cols) < 2:
+        return df.sparkSession.createDataFrame([(c, c, 0.0) for c in cols], "var1 string, var2 string, D double")
     upper = settle(pair_distance(joint_counts(df, column_pairs(cols))))
     lower = upper.select(q("var2").alias("var1"), q("var1").alias("var2"), "D")
-    diagonal = upper.select(F.explode(F.array("var1", "var2")).alias("var1")).distinct().select(
-        "var1", q("var1").alias("var2"), F.lit(0.0).alias("D")
-    )
+    diagonal = df.sparkSession.createDataFrame([(c, c, 0.0) for c in cols], "var1 string, var2 string, D double")
     return upper.unionByName(lower).unionByName(diagonal)
 
 

@@ -141,7 +141,12 @@ class FittedML:
 
     def predict(self, df: DataFrame, out: str = "prediction") -> DataFrame:
         vec = VectorAssembler(inputCols=list(self.features), outputCol="_x", handleInvalid="keep").transform(df)
-        return self.model.transform(vec).drop("_x", "_k").withColumnRenamed("_prediction", out)
+        made = self.model.transform(vec).drop("_x", "_k").withColumnRenamed("_prediction", out)
+        # as with the linear models, a missing feature gives no prediction
+        whole = F.lit(True)
+        for f in self.features:
+            whole = whole & q(f).isNotNull()
+        return made.withColumn(out, F.when(whole, q(out)))
 
     def importances(self, spark: SparkSession) -> DataFrame:
         """Rows ``(feature, importance)`` of a tree model."""
