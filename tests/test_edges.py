@@ -230,3 +230,76 @@ def test_statistics_of_constant_and_empty_columns(edge):
     assert tests["const"] is None and "allnull" not in tests and tests["q1"] is not None
     taus = {r["variable"]: r["stat"] for r in kendall(edge, ["q1", "const"], "y").collect()}
     assert taus["const"] is None and taus["q1"] == pytest.approx(-3 / (6 * 5) ** 0.5)
+
+
+def test_correlations_alike_on_both_paths(spark, monkeypatch):
+    """NaN is missing and a constant column has no correlation, however many columns there are."""
+    from tabkit.operators import depend
+
+    nan = float("nan")
+    rows = [(1.0, 2.0, 5.0, 0.1, None), (2.0, nan, 5.0, 0.1, 1.0), (3.0, 7.0, 5.0, 0.1, 2.0), (4.0, 7.5, 5.0, 0.1, nan), (None, 1.0, 5.0, 0.1, 4.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    few = {(r.var1, r.var2): r.r for r in depend.correlations(df, df.columns).collect()}
+    monkeypatch.setattr(depend, "CHUNK", 0)
+    many = {(r.var1, r.var2): r.r for r in depend.correlations(df, df.columns).collect()}
+    assert few.keys() == many.keys()
+    for k, v in few.items():
+        assert (v is None) == (many[k] is None) and (v is None or abs(v - many[k]) < 1e-12)
+    assert few["a", "c"] is None and few["c", "d"] is None and few["a", "b"] is not None
+
+
+def test_single_column_has_its_diagonal(edge):
+    from tabkit.operators.depend import dependence_matrix
+
+    assert [tuple(r) for r in dependence_matrix(edge, ["cat"]).collect()] == [("cat", "cat", 0.0)]
+
+
+def test_donors_need_a_prediction(spark):
+    from tabkit.operators.impute import impute_chained, match_donors
+
+    donors = spark.createDataFrame([(1, None, 9.0), (2, 1.0, 1.0), (3, 1.1, 2.0), (4, 5.0, 3.0)], "id bigint, pred double, value double")
+    asked = spark.createDataFrame([(7, 1.0), (8, None)], "id bigint, pred double")
+    assert [tuple(r) for r in match_donors(donors, asked, "id", 1, lambda c: F.lit(0)).collect()] == [(7, 1.0)]
+    holes = spark.createDataFrame([(1, None, 1.0), (2, 2.0, None), (3, 3.0, 4.0)], "id bigint, y double, x double")
+    with pytest.raises(ValueError, match="x"):
+        impute_chained(holes, "id", ["y"], ["x"], iterations=1)
+
+
+def test_typed_csv_keeps_texts_and_types(spark, tmp_path):
+    import datetime
+    import decimal
+
+    from tabkit.sources.tables import read_typed_csv, write_typed_csv
+
+    rows = [
+        (1, "line one\nline two", datetime.date(2020, 1, 2), decimal.Decimal("1.50"), 0.5), (2, " pad ", None, None, None),
+        (3, 'a "quoted", \\ back\\"slash', datetime.date(1999, 12, 31), decimal.Decimal("-2.25"), 2.0), (4, "\ttab\r", None, None, 1.0),
+    ]
+    df = spark.createDataFrame(rows, "id bigint, text string, day date, sum decimal(9,2), f float")
+    write_typed_csv(df, f"{tmp_path}/t")
+    back = read_typed_csv(spark, f"{tmp_path}/t")
+    assert back.dtypes == df.dtypes and sorted(map(tuple, back.collect())) == rows
+    with pytest.raises(TypeError, match="tags"):
+        write_typed_csv(spark.createDataFrame([([1],)], "tags array<int>"), f"{tmp_path}/u")
+
+
+def test_unmapped_values_are_counted_and_ordered(spark):
+    from tabkit.operators.encode import encode_ordinals
+
+    df = spark.createDataFrame([(f"v{i:03d}",) for i in range(30)], "o string")
+    with pytest.raises(ValueError, match=r"30 values without a code.*o='v000', o='v001'"):
+        encode_ordinals(df, {"o": {"x": 1}})
+
+
+def test_epsilon_is_not_changed():
+    from tabkit.operators.regress import KernelRobust
+
+    with pytest.raises(ValueError):
+        KernelRobust(epsilon=0.5)
+
+
+def test_sizes_count_what_arrays_hold(spark):
+    from tabkit.session import fits_broadcast
+
+    df = spark.createDataFrame([(["x" * 1000] * 3,)], "a array<string>").withColumn("s", F.array(F.struct(F.col("a")[0].alias("t"))))
+    assert not fits_broadcast(df, 3900) and fits_broadcast(df, 5000)
