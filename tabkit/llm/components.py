@@ -32,11 +32,12 @@ def components(links: DataFrame) -> DataFrame:
 
     Every step writes a table into the shared folder, so that lineage stays short and lost executors cost one step.
     """
-    now = store(links.select("a", "b").filter("a <> b"))
-    mark = None
+    now = store(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    marks = lambda t: tuple(t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+    mark = marks(now)
     while True:
         now = store(_stars(_stars(now, large=True), large=False))
-        seen = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == tuple(seen):
+        seen = marks(now)
+        if mark == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label"))
-        mark = tuple(seen)
+        mark = seen

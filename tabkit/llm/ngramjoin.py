@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -33,6 +33,8 @@ PART_SHARE = 0.5
 HOT_ROWS = 4096
 ROUNDS = 32  # members of an entry that a later round compares with the others, times this each round
 RECENT = 4096
+BITS = 512
+MAP = [f"w{i}" for i in range(BITS // 64)]
 
 
 def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
@@ -40,19 +42,30 @@ def fingerprint(shingles: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True)
 
 
+def bit_map(shingles: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each of ``BITS`` places.
+
+    Where two sets' maps differ in d places, at least d shingles are in one of the sets only.
+    """
+    odd = np.bincount(((shingles >> np.uint64(8)) % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def profile(documents: DataFrame, size: int) -> DataFrame:
-    """Per document ``id, digest, n, h1, h2``; per task also blocks of its counts of hashed shingles, one set counted once."""
+    """Per document ``id, digest, n, h1, h2`` and its bit map; per task also blocks of its counts of hashed shingles, one set counted once."""
     kind = documents.schema["id"].dataType.simpleString()
     id_type = to_arrow_type(documents.schema["id"].dataType)
+    names, maps_kind = ["id", "digest", "n", "h1", "h2", *MAP, "block", "counts"], ", ".join(f"{w} bigint" for w in MAP)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         recent: set[tuple[int, int]] = set()
         for batch in batches:
-            sizes, first, second = [], [], []
+            sizes, first, second, maps = [], [], [], []
             for s in shingle_sets((x.as_py() for x in batch.column(1)), size):
                 mark = fingerprint(s)
                 sizes.append(len(s))
+                maps.append(bit_map(s))
                 first.append(mark[0])
                 second.append(mark[1])
                 if mark not in recent:
@@ -61,17 +74,18 @@ def profile(documents: DataFrame, size: int) -> DataFrame:
                     recent.add(mark)
                     np.add.at(counts, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
             none = pa.nulls(len(sizes))
+            words = np.array(maps, np.int64).reshape(-1, len(MAP))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()),
-                 none.cast(pa.int32()), none.cast(pa.binary())], ["id", "digest", "n", "h1", "h2", "block", "counts"])
+                 *[pa.array(words[:, i].copy()) for i in range(len(MAP))], none.cast(pa.int32()), none.cast(pa.binary())], names)
         blocks = counts.reshape(-1, 1 << BLOCK_BITS)
         used = np.flatnonzero(blocks.any(1))
         none = pa.nulls(len(used))
         yield pa.RecordBatch.from_arrays(
-            [none.cast(id_type), *[none.cast(pa.int64())] * 4, pa.array(used.astype(np.int32)),
-             pa.array([blocks[b].tobytes() for b in used], pa.binary())], ["id", "digest", "n", "h1", "h2", "block", "counts"])
+            [none.cast(id_type), *[none.cast(pa.int64())] * (4 + len(MAP)), pa.array(used.astype(np.int32)),
+             pa.array([blocks[b].tobytes() for b in used], pa.binary())], names)
 
-    return documents.select("id", "text", F.xxhash64("text")).mapInArrow(run, f"id {kind}, digest bigint, n bigint, h1 bigint, h2 bigint, block int, counts binary")
+    return documents.select("id", "text", F.xxhash64("text")).mapInArrow(run, f"id {kind}, digest bigint, n bigint, h1 bigint, h2 bigint, {maps_kind}, block int, counts binary")
 
 
 def add_up(blocks: DataFrame) -> np.ndarray:
@@ -154,13 +168,13 @@ def signatures(s: np.ndarray, counts: np.ndarray, bound: int, percent: int) -> t
 def index_entries(
     documents: DataFrame, counts: np.ndarray, bound: int, percent: int, size: int, second: frozenset[int], hot: int = HOT_ROWS
 ) -> DataFrame:
-    """``sig, salt, node`` of every document; entries that may be long are dealt over salts (else -1)."""
+    """``sig, salt, node, n`` of every document; entries that may be long are dealt over salts (else -1)."""
     held = documents.sparkSession.sparkContext.broadcast(counts.astype(np.uint32 if counts.max(initial=0) < 2**32 else np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: set[int] = set()
         for batch in batches:
-            sigs, salts, nodes = [], [], []
+            sigs, salts, nodes, sizes = [], [], [], []
             for s in shingle_sets((x.as_py() for x in batch.column(0)), size):
                 first, other = fingerprint(s)
                 node = other if first in second else first
@@ -173,20 +187,24 @@ def index_entries(
                 sigs.append(sig)
                 salts.append(np.where(rows > hot, node % np.maximum(-(-rows // hot), 1), -1).astype(np.int32))
                 nodes.append(np.full(len(sig), node, np.int64))
+                sizes.append(np.full(len(sig), len(s), np.int32))
             if sigs:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(salts)), pa.array(np.concatenate(nodes))],
-                    ["sig", "salt", "node"])
+                    [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(salts)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes))],
+                    ["sig", "salt", "node", "n"])
 
-    return documents.select("text").mapInArrow(run, "sig bigint, salt int, node bigint")
+    return documents.select("text").mapInArrow(run, "sig bigint, salt int, node bigint, n int")
 
 
 def shared_entries(entries: DataFrame) -> DataFrame:
-    """``sig, node, low``: entries of more than one member with the least member of each salt."""
+    """``sig, node, n, low, low_n``: entries of more than one member with the least member of each salt."""
     dealt = entries.repartition("sig", "salt")
-    ends = dealt.groupBy("sig", "salt").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    ends = ends.filter("low <> high OR salt >= 0").select(F.col("sig").alias("_sig"), F.col("salt").alias("_salt"), "low")
-    return dealt.join(ends.hint("shuffle_hash"), (F.col("sig") == F.col("_sig")) & (F.col("salt") == F.col("_salt"))).select("sig", "node", "low")
+    ends = dealt.groupBy("sig", "salt").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("high"))
+    ends = ends.filter("least.node <> high OR salt >= 0").select(F.col("sig").alias("_sig"), F.col("salt").alias("_salt"), "least")
+    shared = dealt.join(ends.hint("shuffle_hash"), (F.col("sig") == F.col("_sig")) & (F.col("salt") == F.col("_salt")))
+    # a copy of a text in another task brings the same member again
+    shared = shared.dropDuplicates(["sig", "salt", "node"])
+    return shared.select("sig", "node", "n", F.col("least.node").alias("low"), F.col("least.n").alias("low_n"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -212,12 +230,22 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
-def _sized(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Without pairs whose sizes alone keep them below the similarity."""
-    sizes = nodes.select("node", "n")
-    a, b = sizes.select(F.col("node").alias("a"), F.col("n").alias("_na")), sizes.select(F.col("node").alias("b"), F.col("n").alias("_nb"))
-    joined = pairs.join(a, "a").join(b, "b")
-    return joined.filter(100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")).select("a", "b")
+def _sized(pairs: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` without pairs whose sizes ``na, nb`` alone keep them below the similarity."""
+    return pairs.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")).select("a", "b").distinct()
+
+
+def _maps(nodes: DataFrame, side: str) -> DataFrame:
+    return nodes.select(F.col("node").alias(side), F.col("n").alias(f"n{side}"), *[F.col(w).alias(f"{side}{w}") for w in MAP])
+
+
+def _may_link(percent: int) -> Column:
+    """Whether sizes and bit maps of ``a`` and ``b`` leave room for the similarity: no pair that links is lost."""
+    apart = F.lit(0)
+    for w in MAP:
+        apart = apart + F.bit_count(F.col(f"a{w}").bitwiseXOR(F.col(f"b{w}")))
+    total = F.col("na") + F.col("nb")
+    return ((total - apart) * (100 + percent) >= 2 * percent * total) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
 
 def one_of_each(documents: DataFrame, links: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,7 +283,7 @@ def link_documents(
     """
     docs = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     seen = store(profile(docs, size))
-    rows = seen.filter("block IS NULL").select("id", "digest", "n", "h1", "h2")
+    rows = seen.filter("block IS NULL").drop("block", "counts")
     # two sets of one 64-bit mark: take the other half for those (none are expected below billions of documents)
     clash = rows.groupBy("h1").agg(F.min("h2").alias("x"), F.max("h2").alias("y")).filter("x <> y").select("h1")
     if not fits_broadcast(clash):
@@ -263,7 +291,7 @@ def link_documents(
     second = frozenset(r[0] for r in clash.collect())
     marks = rows.withColumn("node", F.when(F.col("h1").isin(list(second)), F.col("h2")).otherwise(F.col("h1")) if second else F.col("h1"))
     worded = marks.filter("n > 0")
-    nodes = store(worded.groupBy("node", "n").agg(F.min("id").alias("least")))
+    nodes = store(worded.groupBy("node", "n").agg(F.min("id").alias("least"), *[F.min(w).alias(w) for w in MAP]))
     counts = add_up(seen.filter("block IS NOT NULL").select("block", "counts"))
     bound = int(2 * counts.mean() + 6 * math.sqrt(counts.mean()) + 8) if rare is None else rare
     entries = store(shared_entries(index_entries(docs, counts, bound, percent, size, second, hot)))
@@ -280,35 +308,46 @@ def _classes(
 ) -> DataFrame:
     """``node, label`` of the linked nodes."""
     # the least members of an entry's salts are an entry among themselves
-    heads = entries.filter("node = low").select("sig", "node").distinct()
-    first = entries.select(F.col("low").alias("a"), F.col("node").alias("b")).union(
-        heads.join(heads.groupBy(F.col("sig").alias("_sig")).agg(F.min("node").alias("a"), F.max("node").alias("z")).filter("a <> z"), F.col("sig") == F.col("_sig"))
-        .select("a", F.col("node").alias("b"))).filter("a <> b").distinct()
+    heads = entries.filter("node = low").select("sig", "node", "n")
+    least = heads.groupBy(F.col("sig").alias("_sig")).agg(F.min(F.struct("node", "n")).alias("l"), F.max("node").alias("z")).filter("l.node <> z")
+    of_heads = heads.join(least, F.col("sig") == F.col("_sig")).select("l.node", "l.n", "node", "n")
+    first = entries.select("low", "low_n", "node", "n").union(of_heads).toDF("a", "na", "b", "nb").filter("a <> b")
     texts = store(texts_of(docs, nodes, entries, second, size))
-    links = store(verified(_sized(first, nodes, percent), texts, size, percent))
+    mapped = _sized(first, percent).join(_maps(nodes, "b"), "b")
+    right = _maps(nodes, "a").withColumnRenamed("a", "_a")
+    candidates = mapped.join(right, (F.col("a") == F.col("_a")) & _may_link(percent)).select("a", "b")
+    links = store(verified(candidates, texts, size, percent))
     labels = components(links)
     low, high = 0.0, 1.0 * rounds
-    open_ = entries.select("sig", "node").distinct()
+    open_ = entries
     while True:
         # entries whose members are not all in one class
-        classed = open_.select("sig", "node").join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("label"))
+        classed = open_.select("sig", "node", "n").join(labels, "node", "left").select("sig", "node", "n", F.coalesce("label", "node").alias("label"))
         mixed_up = classed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("m")).filter("l <> h")
-        open_ = store(classed.join(mixed_up.select(F.col("sig").alias("_sig"), "m"), F.col("sig") == F.col("_sig")).select("sig", "node", "label", "m"))
+        mixed_up = classed.join(mixed_up.select(F.col("sig").alias("_sig"), "m"), F.col("sig") == F.col("_sig"))
+        mixed_up = mixed_up.join(nodes.select(F.col("node").alias("_node"), *MAP), F.col("node") == F.col("_node"))
+        open_ = store(mixed_up.select("sig", "node", "n", "label", "m", *MAP))
         share = (F.col("node").cast("double") + float(2**63)) / float(2**64) * F.col("m")
         most = open_.agg(F.max("m")).first()[0]
         if most is None:
             return labels
         # node numbers are hashes: this takes about ``high`` members of each entry, all of them in short entries and at the end
         new = open_.filter((share >= low) & (share < high) | (F.col("m") <= high) | F.lit(high >= most))
-        left = new.select("sig", F.col("node").alias("a"), F.col("label").alias("la"))
-        right = open_.select(F.col("sig").alias("_sig"), F.col("node").alias("b"), F.col("label").alias("lb"))
-        pairs = left.join(right, (F.col("sig") == F.col("_sig")) & (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb"))).select("a", "b").distinct()
-        links = store(links.union(verified(_sized(pairs, nodes, percent), texts, size, percent)))
-        labels = components(links)
+        left = new.select(
+            "sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), *[F.col(w).alias(f"a{w}") for w in MAP])
+        right = open_.select(
+            F.col("sig").alias("_sig"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), *[F.col(w).alias(f"b{w}") for w in MAP])
+        # sizes and maps are part of the join, so that pairs out of question are never rows
+        room = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(percent)
+        pairs = left.join(right, (F.col("sig") == F.col("_sig")) & room).select("a", "b").distinct()
+        more = store(verified(pairs, texts, size, percent))
+        if not more.isEmpty():
+            # the classes so far are stars already, so only what the new links join has to move
+            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
         if high >= most:
             return labels
         open_ = open_.filter(F.col("m") > high)
-        low, high = high, high * rounds
+        low, high = high, high * max(2, rounds)
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame, entries: DataFrame, second: frozenset[int], size: int) -> DataFrame:
