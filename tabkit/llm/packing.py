@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tabkit.llm.wordsplit import WordFile, normalised, segments
 from tabkit.session import store
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 700_000
 SALTS = 64
 
 
@@ -37,17 +37,25 @@ class WordIds:
         self.file = WordFile(path)
         self.library = Tokenizer.from_file(path)
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+        self.separators = regex.compile("[\x1c-\x1f]")
         self.cache: dict[str, bytes] = {}
 
+    def words(self, text: str) -> list[str]:
+        """Stretches that white space parts; nothing that the file's pattern matches reaches over it."""
+        if self.separators.search(text):  # these part words for str.split only
+            return self.pattern.findall(text)
+        return text.split()
+
     def learn(self, words: list[str]) -> None:
-        """One call for many words: white space between them parts them again."""
+        """One call for many words: blanks between them part them again, and offsets tell whose each token is."""
         for k in range(0, len(words), 20_000):
             part = words[k : k + 20_000]
             said = self.library.encode(" ".join(part), add_special_tokens=False)
-            ids, owner = np.array(said.ids, "<u4"), np.array(said.word_ids, np.int64)
-            cuts = np.searchsorted(owner, np.arange(len(part) + 1))
-            raw = ids.tobytes()
-            self.cache.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, cuts[:-1].tolist(), cuts[1:].tolist()))
+            starts = np.array([a for a, _ in said.offsets], np.int64)
+            ends = np.cumsum([len(w) + 1 for w in part])
+            cuts = np.concatenate([[0], np.searchsorted(starts, ends)]).tolist()
+            raw = np.array(said.ids, "<u4").tobytes()
+            self.cache.update((w, raw[4 * a : 4 * b]) for w, a, b in zip(part, cuts, cuts[1:]))
 
     def encode(self, text: str) -> bytes:
         out = []
@@ -56,7 +64,7 @@ class WordIds:
                 out.append(self.file.special[part].to_bytes(4, "little"))
                 continue
             for segment in segments(part):
-                words = self.pattern.findall(normalised(segment))
+                words = self.words(normalised(segment))
                 new = set(words).difference(self.cache)
                 if new:
                     if len(self.cache) + len(new) > CACHE_PIECES:
