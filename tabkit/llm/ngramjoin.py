@@ -12,13 +12,14 @@ its members, until every two are either in one class or compared. Candidates are
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -51,6 +52,12 @@ def bit_map(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def _tidy(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps: Spark removes them once the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def profile(documents: DataFrame, size: int) -> DataFrame:
     """Per document ``id, digest, n, h1, h2`` and its bit map; per task also blocks of its counts of hashed shingles, one set counted once."""
     kind = documents.schema["id"].dataType.simpleString()
@@ -295,6 +302,7 @@ def link_documents(
     counts = add_up(seen.filter("block IS NOT NULL").select("block", "counts"))
     bound = int(2 * counts.mean() + 6 * math.sqrt(counts.mean()) + 8) if rare is None else rare
     entries = store(shared_entries(index_entries(docs, counts, bound, percent, size, second, hot)))
+    _tidy(documents.sparkSession)
     labels = _classes(docs, entries, nodes, second, size, percent, rounds)
     known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = known.groupBy("label").agg(F.min("least").alias("component_id"))
@@ -313,10 +321,12 @@ def _classes(
     of_heads = heads.join(least, F.col("sig") == F.col("_sig")).select("l.node", "l.n", "node", "n")
     first = entries.select("low", "low_n", "node", "n").union(of_heads).toDF("a", "na", "b", "nb").filter("a <> b")
     texts = store(texts_of(docs, nodes, entries, second, size))
+    _tidy(docs.sparkSession)
     mapped = _sized(first, percent).join(_maps(nodes, "b"), "b")
     right = _maps(nodes, "a").withColumnRenamed("a", "_a")
     candidates = mapped.join(right, (F.col("a") == F.col("_a")) & _may_link(percent)).select("a", "b")
     links = store(verified(candidates, texts, size, percent))
+    _tidy(docs.sparkSession)
     labels = components(links)
     low, high = 0.0, 1.0 * rounds
     open_ = entries
@@ -327,6 +337,7 @@ def _classes(
         mixed_up = classed.join(mixed_up.select(F.col("sig").alias("_sig"), "m"), F.col("sig") == F.col("_sig"))
         mixed_up = mixed_up.join(nodes.select(F.col("node").alias("_node"), *MAP), F.col("node") == F.col("_node"))
         open_ = store(mixed_up.select("sig", "node", "n", "label", "m", *MAP))
+        _tidy(docs.sparkSession)
         share = (F.col("node").cast("double") + float(2**63)) / float(2**64) * F.col("m")
         most = open_.agg(F.max("m")).first()[0]
         if most is None:
@@ -341,6 +352,7 @@ def _classes(
         room = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(percent)
         pairs = left.join(right, (F.col("sig") == F.col("_sig")) & room).select("a", "b").distinct()
         more = store(verified(pairs, texts, size, percent))
+        _tidy(docs.sparkSession)
         if not more.isEmpty():
             # the classes so far are stars already, so only what the new links join has to move
             labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
