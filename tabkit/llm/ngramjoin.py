@@ -258,9 +258,10 @@ def _may_link(percent: int) -> Column:
 def one_of_each(documents: DataFrame, links: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``documents`` that stay when each component of ``links`` keeps one: that of least id, then least digest.
 
+    Components are told apart by ``class_label``, as several may have one ``component_id``: a null one, or an id that unlike rows share.
     Of repeated rows one stays. Rows without words are linked with nothing and all stay.
     """
-    keep = links.filter("n_shingles > 0").groupBy("component_id").agg(
+    keep = links.filter("n_shingles > 0").groupBy("class_label").agg(
         F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("digest").alias("digest"))).alias("k"))
     keep = keep.select(F.col("k.id").alias("_kid"), F.col("k.digest").alias("_kdigest"))
     doc = F.col("doc")
@@ -276,11 +277,12 @@ def link_documents(
     documents: DataFrame, size: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
     rare: int | None = None, hot: int = HOT_ROWS, rounds: int = ROUNDS,
 ) -> DataFrame:
-    """``id, digest, n_shingles, component_id`` per document; ``digest`` is the text's ``xxhash64``.
+    """``id, digest, n_shingles, component_id, class_label`` per document; ``digest`` is the text's ``xxhash64``.
 
     A document's set holds its distinct shingles of ``size`` words (see ``shingles``); with fewer words the whole sequence
     is its one shingle. Two documents link when 100 * intersection >= percent * union; a component's id is the
-    least document id that links reach. Documents without words are linked with nothing.
+    least document id that links reach, and its ``class_label`` a number that no other component has. Documents without words
+    are linked with nothing and have no label.
 
     Null text counts as empty. Rows of equal sets are one node, so copies and repeated rows cost no comparisons; a null id is
     passed over where a least id is taken (null where a component has no other). Empty tables give no rows; other columns are not read.
@@ -306,9 +308,10 @@ def link_documents(
     labels = _classes(docs, entries, nodes, second, size, percent, rounds)
     known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = known.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = known.join(least, "label").select(F.col("node").alias("_node"), "component_id")
+    named = known.join(least, "label").select(F.col("node").alias("_node"), "component_id", F.col("label").alias("class_label"))
     out = marks.join(named, (F.col("node") == F.col("_node")) & (F.col("n") > 0), "left")
-    return out.select(F.col("id").alias(id_col), "digest", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    return out.select(F.col("id").alias(id_col), "digest", F.col("n").alias("n_shingles"), component.alias("component_id"), "class_label")
 
 
 def _classes(

@@ -96,7 +96,7 @@ SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id FROM s JOIN c
 
 @query("op6_ngram_join", JOIN_SQL)
 def op6_ngram_join(spark, sf):
-    return ngramjoin.link_documents(table(spark, sf, "documents"), size=4, percent=85).drop("digest")
+    return ngramjoin.link_documents(table(spark, sf, "documents"), size=4, percent=85).drop("digest", "class_label")
 
 
 def _sql_scores() -> str:

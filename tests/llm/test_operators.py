@@ -208,6 +208,16 @@ def test_join_odd_and_one_of_each(spark, odd):
     assert ngramjoin.link_documents(odd.limit(0)).count() == 0
 
 
+def test_one_of_each_of_components_with_one_id(spark):
+    """Unlike documents stay where their ids are null or the same; of those that link one stays."""
+    texts = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcdef"}
+    rows = [(None, "a"), (None, "b"), (None, "b"), (None, "c"), (7, "d"), (7, "e"), (7, "e"), (8, "e"), (9, "f"), (None, "f")]
+    docs = spark.createDataFrame([(i, texts[k] + (" tail" if (i, k) == (8, "e") else "")) for i, k in rows], "doc_id bigint, text string")
+    stay = ngramjoin.one_of_each(docs, ngramjoin.link_documents(docs)).collect()
+    assert sorted(((r.doc_id, r.text) for r in stay), key=str) == sorted(
+        [(None, texts["a"]), (None, texts["b"]), (None, texts["c"]), (7, texts["d"]), (7, texts["e"]), (9, texts["f"])], key=str)
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     got = {r.node: r.label for r in components(links).collect()}
