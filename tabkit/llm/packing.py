@@ -8,6 +8,7 @@ get; documents find theirs by their rank among the items of their length.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from bisect import bisect_left, bisect_right, insort
@@ -35,7 +36,10 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.file = WordFile(path)
-        self.library = Tokenizer.from_file(path)
+        # words come normalised and without special strings: doing either again would find and compose what the text does not hold
+        with open(path, encoding="utf-8") as f:
+            bare = json.load(f) | {"added_tokens": [], "normalizer": None}
+        self.library = Tokenizer.from_str(json.dumps(bare))
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
         self.separators = regex.compile("[\x1c-\x1f]")
         self.cache: dict[str, bytes] = {}

@@ -328,6 +328,18 @@ def test_plan_is_exact_and_tight(seed):
     assert len(spans) == plan.sequences <= 1.06 * least_bins(counts, capacity) + 1
 
 
+def test_word_ids_as_the_library_on_whole_texts():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(WORDS)
+    rng = random.Random(11)
+    letters = "abcdehilnorstJTHS' !?.,0129\u00e9\u00df\u03a3\u0130\u030c\u0308\u0331\u0301\u4e2d\U0001F600#*<|>\n\x1c\x85\u00a0\u3000"
+    texts = [t for t in ODD if t] + ["<|ENDOFTEXT|>", "a<|EndOfText|>b <|endoftext|> <|STARTOFTEXT|>", "J\u030c T\u0308 H\u0331", "j\u030c E\u0301 \u03a3\u03a3 'S"]
+    texts += ["".join(rng.choice(letters) for _ in range(rng.randrange(300))) for _ in range(300)]
+    encode = packing.WordIds(WORDS).encode
+    assert [np.frombuffer(encode(t), "<u4").tolist() for t in texts] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_packing_odd(odd):
     got = packing.pack_documents(odd, WORDS, 16, 1).toPandas().sort_values(["sequence_id", "offset"])
     sizes = got.groupby("sequence_id")["length"]
