@@ -22,6 +22,7 @@ from tabkit.sources.tables import (
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
           "labels conversations").split()
+BLOCK_ROWS = 2000
 
 
 @query("a1_read_splits", with_obs("""SELECT split, id, priority, acctbal, price FROM obs"""))
@@ -111,12 +112,21 @@ def a7(spark, sf):
 @query("a7_dictionary_of_customers", """SELECT n_name AS var, 'customers of ' || n_name AS description, CAST(c_custkey AS VARCHAR) AS code, c_name AS label
  FROM customer JOIN nation ON c_nationkey = n_nationkey""")
 def a7_customers(spark, sf):
-    """One text per nation, a header and a line per customer, parsed back."""
-    named = table(spark, sf, "customer").join(table(spark, sf, "nation"), q("c_nationkey") == q("n_nationkey"))
+    """Texts of a nation and a block of its customers, a header and a line per customer, parsed back."""
+    return parse_dictionary(customer_texts(spark, sf))
+
+
+def customer_texts(spark, sf, block_rows: int = BLOCK_ROWS):
+    """``path, value``: the number of blocks follows the row count, so that a text has about ``block_rows`` lines at most."""
+    customers = table(spark, sf, "customer")
+    blocks = -(-customers.count() // block_rows) or 1
+    named = customers.join(table(spark, sf, "nation"), q("c_nationkey") == q("n_nationkey"))
     line = F.concat(F.lit("       "), q("c_custkey").cast("string"), F.lit("\t"), q("c_name"))
-    texts = named.groupBy(q("n_name").alias("path")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines"))
-    texts = texts.select("path", F.concat(q("path"), F.lit(": customers of "), q("path"), F.lit("\n\n"), q("lines"), F.lit("\n\t\n")).alias("value"))
-    return parse_dictionary(texts)
+    block = F.pmod(F.xxhash64("c_custkey", "c_name"), F.lit(blocks))
+    texts = named.groupBy("n_name", block.alias("block")).agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("lines"))
+    return texts.select(
+        F.concat(q("n_name"), F.lit("/"), q("block").cast("string")).alias("path"),
+        F.concat(q("n_name"), F.lit(": customers of "), q("n_name"), F.lit("\n\n"), q("lines"), F.lit("\n\t\n")).alias("value"))
 
 
 @query("a8_describe_columns", with_obs("""

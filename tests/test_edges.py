@@ -303,3 +303,14 @@ def test_sizes_count_what_arrays_hold(spark):
 
     df = spark.createDataFrame([(["x" * 1000] * 3,)], "a array<string>").withColumn("s", F.array(F.struct(F.col("a")[0].alias("t"))))
     assert not fits_broadcast(df, 3900) and fits_broadcast(df, 5000)
+
+
+def test_customer_texts_stay_short_in_a_hot_nation(spark, tmp_path):
+    from tabkit.queries.sources import customer_texts
+
+    spark.range(1, 1001).select(F.col("id").alias("c_custkey"), F.concat(F.lit("c"), "id").alias("c_name"), F.lit(1).alias("c_nationkey")).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, "X")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    texts = customer_texts(spark, str(tmp_path), 50).collect()
+    assert len({t.path for t in texts}) == len(texts) == 20 and max(t.value.count("\tc") for t in texts) < 100
+    got = parse_dictionary(customer_texts(spark, str(tmp_path), 50)).collect()
+    assert sorted((r["var"], r["description"], int(r["code"]), r["label"]) for r in got) == [("X", "customers of X", i, f"c{i}") for i in range(1, 1001)]
