@@ -8,8 +8,9 @@ token takes the place of shorter ones. After the last byte of a word the machine
 
 States are compiled when first reached, into a dense table that many chunks of text walk through in step. A chunk's
 state map is the machine's action on it: the bytes up to the first word end (the head, whose effect depends on the
-state in which the chunk is entered), then a count and an end state that do not. Maps compose by running the end
-state of one over the head of the next; the composition is associative and is scanned over all chunks of a text.
+state in which the chunk is entered), then a count and an end state that do not. What follows the heads is walked for all
+chunks at once; heads are then entered with the end state of the chunk before, in waves: this is a sequential hand-over where
+a word spans many chunks, one wave for each.
 """
 
 from __future__ import annotations
@@ -184,7 +185,7 @@ class Transducer:
         entered[np.searchsorted(cuts, bounds[:-1][bounds[:-1] < bounds[1:]])] = True
         entered[1:] |= symbols[cuts[1:] - 1] >= LAST
         tails, rest = self.walk(np.zeros(len(cuts), np.int64), columns, cuts + heads, np.where(synced, lengths - heads, 0))
-        # scan: a head runs from the end state of the map before it; chunks without a word end wait for theirs
+        # hand-over: a head runs from the end state of the map before it; chunks without a word end wait for theirs
         into = np.zeros(len(cuts), np.int64)
         out = np.where(synced, tails, -1)
         head_sum = np.zeros(len(cuts), np.int64)
