@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabkit.llm import bytepairs, chat, langid, lines, nearest, ngramjoin, packing, quality, transducer, urls
+from tabkit.llm import bytepairs, chat, langid, lexical, lines, nearest, ngramjoin, packing, periodic, quality, transducer, urls
 from tabkit.queries.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +200,40 @@ def op10_chat_format(spark, sf):
     extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
     turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").union(extra)
     return chat.chat_digest(chat.format_chats(turns))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: from some word on, every tenth text (by crc32 of its id) repeats a stretch of its words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.expr("filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> '')"))
+    out = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("ws")).withColumn("n", F.size("ws"))
+    out = out.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    out = out.withColumn("p", F.expr("CAST(1 + (n - a) div (3 + g % 8) AS INT)"))
+    again = F.expr("array_join(slice(concat(slice(ws, 1, a), flatten(array_repeat(slice(ws, a + 1, p), CAST(ceil((n - a) / p) AS INT)))), 1, n), ' ')")
+    return out.select("doc_id", F.when(F.col("n") > 0, again).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf):
+    return periodic.run_digest(periodic.collapse_runs(planted(table(spark, sf, "documents"))))
+
+
+SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+t AS (SELECT rid, doc_id, translate(unnest(ts), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+n AS (SELECT rid, doc_id, count(*) AS n FROM t GROUP BY rid, doc_id),
+s AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS l FROM n),
+f AS (SELECT rid, term, count(*) AS tf FROM t GROUP BY rid, term),
+g AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term),
+i AS (SELECT DISTINCT item_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM benchmark),
+r AS (SELECT item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // l)))) AS BIGINT) AS score
+  FROM i JOIN g USING (term) JOIN f USING (term) JOIN n USING (rid), s GROUP BY item_id, rid, doc_id)
+SELECT item_id, CAST(row_number() OVER o AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0
+WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_number() OVER o <= 50
+"""
+
+
+@query("op13_ranked_search", SEARCH_SQL)
+def op13_ranked_search(spark, sf):
+    return lexical.ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=50)

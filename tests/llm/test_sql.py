@@ -13,7 +13,7 @@ import pytest
 from tabkit.llm.queries import QUERIES, SQL
 from tests.support import same_rows
 
-TABLES = ["documents", "embeddings", "pages", "conversations"]
+TABLES = ["documents", "embeddings", "pages", "conversations", "benchmark"]
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
