@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkit.llm import bytepairs, chat, langid, lexical, lines, nearest, ngramjoin, packing, periodic, quality, transducer, urls
+from tabkit.llm import bytepairs, chat, extract, langid, lexical, lines, nearest, ngramjoin, packing, periodic, quality, transducer, urls
 from tabkit.queries.registry import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -237,3 +237,9 @@ WINDOW o AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY row_numbe
 @query("op13_ranked_search", SEARCH_SQL)
 def op13_ranked_search(spark, sf):
     return lexical.ranked_search(table(spark, sf, "documents"), table(spark, sf, "benchmark"), k=50)
+
+
+@query("op12_html_extraction")
+def op12_html_extraction(spark, sf):
+    pages = table(spark, sf, "pages")
+    return extract.extract_text(pages, extract.fit_extractor(pages))

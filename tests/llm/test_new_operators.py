@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import math
 import random
 import re
@@ -12,7 +13,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tabkit.llm import lexical, periodic
+from tabkit.llm import dom, extract, layouts, lexical, periodic
 from tabkit.llm.queries import QUERIES
 from tests.llm.support import documents, odd_documents, words
 
@@ -189,3 +190,112 @@ def test_ranked_search_odd(spark, odd):
     assert set(got.columns) == {"item_id", "rank", "doc_id", "score"} and got.item_id.isna().sum() == 1
     assert got[got.item_id.isna()].doc_id.isna().all()
     assert lexical.ranked_search(odd.limit(0), items).count() == 0 and lexical.ranked_search(odd, items.limit(0)).count() == 0
+
+
+# HTML extraction
+
+@pytest.fixture(scope="module")
+def forest(spark, sf):
+    return extract.fit_extractor(spark.read.parquet(f"{sf}/pages.parquet"))
+
+
+def text_of(page, forest):
+    nodes = dom.parse(page)
+    return dom.decode(nodes, forest.score(dom.features(nodes, extract.TOKEN_NUMBER)))
+
+
+def test_extraction_of_whole_articles(spark, sf):
+    """The pages of the table mark their article by a tag; by it alone the expected text can be read."""
+    got = {r.page_id: r for r in QUERIES["op12_html_extraction"](spark, sf).collect()}
+    pages = spark.read.parquet(f"{sf}/pages.parquet").collect()
+    assert len(got) == len(pages)
+    for page in pages:
+        article = re.search("<article>(.*?)(?:</article>|$)", page.html, re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " ", b)).split()) for b in re.split("</?(?:p|h1)>", article)]
+        expected = "\n".join(b for b in blocks if b)
+        assert (got[page.page_id].text, got[page.page_id].url, got[page.page_id].n_chars) == (expected, page.url, len(expected))
+
+
+def test_extraction_on_held_out_layouts(spark, sf, forest):
+    """Layouts of other seeds and other texts than the fit has seen."""
+    rng = random.Random(99)
+    blocks = [t for p in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(120).collect() for n in dom.parse(p.html) for _, t in n.blocks]
+    expected_n = lost = extra = 0
+    for _ in range(300):
+        page = layouts.Layout(rng, rng.sample(blocks, 30)).page()
+        expected = Counter(t for n in dom.parse(page, labelled=True) if n.label == 1 and not n.hidden for _, t in n.blocks)
+        found = Counter(text_of(page, forest).split("\n"))
+        both = sum((expected & found).values())
+        expected_n, lost, extra = expected_n + sum(expected.values()), lost + sum(expected.values()) - both, extra + sum(found.values()) - both
+    assert lost < 0.04 * expected_n and extra < 0.05 * expected_n
+
+
+def test_extraction_leaves_out_what_is_no_article(forest):
+    words = "One sentence of the article that says something longer than a link does. And another one follows it here."
+    page = f"""<body><header class="site-header"><a href="/">Home</a> Tagline of the site</header><nav><a href="/a">A</a> <a href="/b">B</a></nav>
+    <div class="cookie-notice"><p>We use cookies on this site, please accept them all.</p><button>OK</button></div>
+    <main><article><h1>Title &amp; more</h1><p>{words}<p>{words} <b>bold&nbsp;x</b> &lt;tag&gt; {words}
+    <div class="ad">Buy this now.</div><ul><li>{words}</li></ul></article>
+    <section class="comments"><h3>Comments</h3><p>{words}</p></section></main>
+    <aside class="sidebar"><ul><li><a href="/c">Related one</a></li><li><a href="/d">Related two</a></li></ul></aside>
+    <form class="newsletter"><p>Subscribe to our letter</p><input></form><footer>&copy; site</footer><script>var x = "<p>no</p>"</script></body>"""
+    assert text_of(page, forest).split("\n") == ["Title & more", words, f"{words} bold x <tag> {words}", words]
+
+
+def test_decoding_is_consistent():
+    """Nothing below a node that is out is kept, whatever its own score; the choice has the greatest sum."""
+    rng = random.Random(3)
+    for _ in range(200):
+        nodes = [dom.Node("body", None, (), False, None)]
+        for i in range(1, 7):
+            up = rng.choice(nodes)
+            n = dom.Node("div", up, (), False, None)
+            up.children.append(n)
+            n.blocks = [(i, str(i))]
+            nodes.append(n)
+        nodes = in_page_order(nodes[0])
+        for k, n in enumerate(nodes[1:]):
+            n.blocks = [(k, str(k))]
+        score = [rng.uniform(-3.9, 3.9) for _ in nodes]
+        kept = {int(x) + 1 for x in dom.decode(nodes, np.array(score)).split("\n") if x}
+        assert kept == best_choice(nodes, score)
+
+
+def in_page_order(node):
+    return [node, *[m for c in node.children for m in in_page_order(c)]]
+
+
+def best_choice(nodes, score):
+    """By trying every consistent choice of states."""
+    place = {id(n): i for i, n in enumerate(nodes)}
+    best, kept = -math.inf, None
+    states = [["above"]]
+    for n in nodes[1:]:
+        up = place[id(n.parent)]
+        states = [[*s, t] for s in states for t in {"above": ("above", "in", "out"), "in": ("in", "out"), "out": ("out",)}[s[up]]]
+    for s in states:
+        total = sum({"above": 0.0, "in": score[i], "out": -score[i]}[t] for i, t in enumerate(s) if i)
+        if total > best:
+            best, kept = total, {i for i, t in enumerate(s) if t == "in"}
+    return kept
+
+
+def test_parsing_of_broken_pages():
+    texts = lambda page: [t for _, t in sorted(b for n in dom.parse(page) for b in n.blocks)]
+    assert texts("<p>a<p>b<b>c</p>d</b>e") == ["a", "bc", "de"]
+    assert texts("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>") == ["a", "b", "c", "d"]
+    assert texts("<table><tr><td>a<td>b<tr><td>c</table>d") == ["a", "b", "c", "d"]
+    assert texts("1 < 2 &amp; 3 &gt 2 <!-- <p>no</p> --> x<br>y <a href='>'>z</a>") == ["1 < 2 & 3 > 2 x y z"]
+    assert texts("<script>if (a < b) '</p>'</script><style>x</style><title>t</title>a &am") == ["a &am"]
+    assert texts("<p>a <!-- never ends") == ["a"] and texts("</div></p>") == [] and texts("<script>open") == []
+    assert texts("<div>" * 3000 + "deep") == ["deep"]
+
+
+def test_extraction_odd(spark, forest):
+    rows = [(1, None, None), (None, "u", ""), (2, "u", "plain text"), (2, "u", "plain text"), (3, None, "<article><p>" + "Long text here. " * 60000 + "</article>")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").selectExpr("*", "page_id AS text", "1 AS n_chars", "2 AS x")
+    got = extract.extract_text(pages, forest).toPandas()
+    assert list(got.columns) == ["page_id", "url", "text", "n_chars"] and len(got) == 5
+    assert (got[got.page_id == 1].text == "").all() and (got[got.page_id == 3].n_chars == 16 * 60000 - 1).all()
+    assert extract.extract_text(pages.limit(0), forest).count() == 0
+    assert extract.fit_extractor(pages.limit(0)) is None and (extract.extract_text(pages, None).toPandas().text == "").all()
