@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import q
-from tabkit.operators.moments import gram_by_fold, squared_error
+from tabkit.operators.moments import gram_by_fold, pooled, rest_by_fold, squared_error
 from tabkit.operators.regress import Linear
 from tabkit.operators.search import score_trials
 from tabkit.session import settle, sized_join, store
@@ -38,12 +38,12 @@ def out_of_fold(
     linear = {n: m for n, m in members.items() if isinstance(m, Linear)}
     other = {n: m for n, m in members.items() if n not in linear}
     grams = gram_by_fold(df, features, label, fold=q(fold))
-    total = np.sum(list(grams.values()), axis=0)
+    total, rest = pooled(list(grams.values())), rest_by_fold(grams)
     cols = {}
     for n, m in linear.items():
         e = None
-        for f, g in grams.items():
-            fitted = m.from_gram(total - g, features).column()
+        for f in grams:
+            fitted = m.from_gram(rest[f], features).column()
             hit = q(fold) == F.lit(f)
             e = F.when(hit, fitted) if e is None else e.when(hit, fitted)
         cols[n] = e

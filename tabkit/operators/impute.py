@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabkit.functions.expr import poisson_one, q
 from tabkit.operators.encode import apply_min_max, fit_min_max, level_lists, one_hot
-from tabkit.operators.moments import gram_by_fold
-from tabkit.operators.ordering import column_modes, column_quantiles, ordered_prefix
+from tabkit.operators.moments import Moments, moments_by_weight
+from tabkit.operators.ordering import column_modes, column_quantiles
 from tabkit.operators.profile import null_counts
 from tabkit.operators.regress import LinearFit, fit_ridge
 from tabkit.operators.roles import Roles
-from tabkit.session import settle, sized_join, store
+from tabkit.session import discard, settle, sized_join, store
 
 
 def apply_fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -111,37 +113,107 @@ def group_mode_fill(df: DataFrame, col: str, by: str) -> DataFrame:
 # --- chained regressions with donor matching -----------------------------------------------------
 
 
+PER_BIN = 50_000  # donors that a bin near the mean should hold
+SPREADS = 8  # bins reach this many spreads to either side; the outermost take the rest
+GAP_BLOCK = 20_000  # questions that one task answers for one bin
+
+
+def _bin(pred: Column, centre: float, width: float, half: int) -> Column:
+    return F.greatest(F.least(F.floor((pred - F.lit(centre)) / F.lit(width)), F.lit(half)), F.lit(-half)).cast("int")
+
+
+def _asked_bins(counts: pd.DataFrame, k: int) -> pd.DataFrame:
+    """``bin, owner, side``: which donors' bins every asked bin needs.
+
+    A bin with gaps needs its own donors (side 0) and, to either side, bins until they hold ``k`` donors; of those the nearest
+    ``k`` of each are enough (side -1: the bin lies below, 1: above).
+    """
+    held = counts[counts["donors"] > 0].sort_values("bin")
+    bins, n = held["bin"].to_numpy(), np.concatenate([[0], np.cumsum(held["donors"].to_numpy())])
+    asked = counts.loc[counts["gaps"] > 0, "bin"].to_numpy()
+    at, after = np.searchsorted(bins, asked), np.searchsorted(bins, asked, side="right")
+    low = np.maximum(np.searchsorted(n, n[at] - k, side="right") - 1, 0)
+    high = np.minimum(np.searchsorted(n, n[after] + k), len(bins))
+    rows = [(int(bins[i]), int(o), int(np.sign(i - a) if i < a else i >= b)) for o, l, h, a, b in zip(asked, low, high, at, after) for i in range(l, h)]
+    return pd.DataFrame(rows, columns=["bin", "owner", "side"]).astype({"bin": "int32", "owner": "int32", "side": "int32"})
+
+
 def match_donors(
-    donors: DataFrame, missing: DataFrame, key: str, donors_per_row: int, pick
+    donors: DataFrame, missing: DataFrame, key: str, donors_per_row: int, pick, spread: tuple[float, float, float] | None = None
 ) -> DataFrame:
-    """For every missing row, one value drawn among its nearest donors by predicted mean.
+    """``missing`` with ``_drawn``: for every row one value drawn among its nearest donors by predicted mean.
+
+    ``donors (key, pred, value)``; ``missing (key, pred, ...)``. Nearest are, of the ``k`` donors below a row's prediction and the ``k``
+    from it on (in order of prediction, then key), the ``k`` at the least distance, ties by key. ``pick`` maps the key column to an
+    integer choosing among them. Rows without a prediction, and all rows where there is no donor, are left out.
 
-    ``donors (key, pred, value)`` and ``missing (key, pred)`` are put in one global order; a missing
-    row's position among the donors gives the window of positions to join. Nothing but ``2 k`` rows
-    per missing row is formed. ``pick`` maps the key column to an integer choosing among the ``k``.
+    Predictions fall into bins whose counts are one small aggregation; from them follows which bins a gap can need. Only those are
+    shuffled, of neighbouring bins only the ``k`` at the edge, of donors predicted alike only the first and last ``k`` keys of each batch. No order
+    of all donors is made. Bins with many gaps are cut into blocks. ``spread`` gives mean, deviation and number of predictions where known.
     """
-    k = donors_per_row
+    k, spark = donors_per_row, donors.sparkSession
     # a donor without a prediction is near nobody
-    donors, missing = donors.filter(q("pred").isNotNull()), missing.filter(q("pred").isNotNull())
-    both = donors.select(q(key), q("pred"), q("value"), F.lit(1).cast("bigint").alias("_w")).unionByName(
-        missing.select(q(key), q("pred"), F.lit(None).cast("double").alias("value"), F.lit(0).cast("bigint").alias("_w"))
-    )
-    placed = ordered_prefix(both, [], ["pred", "_w", key], "_w", "pos")
-    there = placed.filter("_w = 1").select("pos", q(key).alias("_d"), q("pred").alias("_dp"), "value")
-    asked = placed.filter("_w = 0").select(q(key), "pred", "pos")
-    # rows predicted alike ask for the same donors: one question each, however many rows
-    points = asked.select("pos", "pred").distinct()
-    near = settle(
-        points.select(q("pos").alias("_at"), "pred", F.explode(F.sequence(q("pos") - k, q("pos") + (k - 1))).alias("pos"))
-        .join(there, "pos").groupBy(q("_at").alias("pos"), "pred").agg(
-            F.slice(F.array_sort(F.collect_list(
-                F.struct(F.abs(q("pred") - q("_dp")).alias("gap"), q("_d"), q("value"))
-            )), 1, k).alias("_near")
-        )
-    )
-    at = (pick(q(key)) % F.size("_near")).cast("int")
-    return sized_join(asked, near, ["pos", "pred"], "inner").select(
-        q(key), F.element_at("_near", at + 1)["value"].alias("_drawn"))
+    donors = donors.filter(q("pred").isNotNull() & ~F.isnan("pred")).select(q(key).alias("_d"), q("pred").alias("_dp"), q("value"))
+    missing = missing.filter(q("pred").isNotNull() & ~F.isnan("pred"))
+    if spread is None:
+        got = donors.agg(F.avg("_dp"), F.stddev_pop("_dp"), F.count("_dp")).first()
+        spread = (got[0] or 0.0, got[1] or 0.0, got[2])
+    centre, deviation, n = spread
+    per_spread = int(np.clip(n // PER_BIN, 4, 1 << 15))
+    width, half = deviation / per_spread or 1.0, SPREADS * per_spread
+    donors = donors.withColumn("_bin", _bin(q("_dp"), centre, width, half))
+    missing = missing.withColumn("_bin", _bin(q("pred"), centre, width, half)).withColumn("_pick", pick(q(key)).cast("bigint"))
+    # at most two numbers per bin
+    counts = donors.select("_bin", F.lit(1).alias("d"), F.lit(0).alias("g")).unionAll(missing.select("_bin", F.lit(0), F.lit(1)))
+    counts = pd.DataFrame(
+        [tuple(r) for r in counts.groupBy("_bin").agg(F.sum("d"), F.sum("g")).collect()], columns=["bin", "donors", "gaps"])
+    asked = _asked_bins(counts, k)
+    blocks = (-(-counts.set_index("bin")["gaps"] // GAP_BLOCK)).clip(lower=1)
+    asked["blocks"] = asked["owner"].map(blocks).astype("int64")
+    held = spark.sparkContext.broadcast((asked, blocks.astype("int64")))
+
+    def serve(batches):
+        wanted, _ = held.value
+        for pdf in batches:
+            pdf = pdf[pdf["_bin"].isin(wanted["bin"])].sort_values(["_bin", "_dp", "_d"], ignore_index=True)
+            alike, own = pdf.groupby(["_bin", "_dp"], sort=False), pdf.groupby("_bin", sort=False)
+            ends = np.minimum(alike.cumcount(), alike.cumcount(ascending=False)) < k
+            for side, keep in ((0, ends), (-1, own.cumcount(ascending=False) < k), (1, own.cumcount() < k)):
+                sent = pdf[keep].merge(wanted[wanted["side"] == side], left_on="_bin", right_on="bin")
+                sent = sent.loc[sent.index.repeat(sent["blocks"])]
+                yield sent.assign(_block=sent.groupby(level=0).cumcount().astype("int32"))[["owner", "_block", "_d", "_dp", "value"]]
+
+    def ask(batches):
+        for pdf in batches:
+            many = held.value[1].reindex(pdf["_bin"]).to_numpy()
+            yield pdf.assign(_block=(np.arange(len(pdf)) % many).astype("int32"))
+
+    types = {f.name: f.dataType.simpleString() for f in donors.schema}
+    there = donors.mapInPandas(serve, f"owner int, _block int, _d {types['_d']}, _dp double, value {types['value']}")
+    fields = T.StructType([*missing.schema.fields, T.StructField("_block", T.IntegerType())])
+    asking = missing.mapInPandas(ask, fields)
+    out = T.StructType([f for f in missing.schema.fields if f.name not in ("_bin", "_pick")] + [T.StructField("_drawn", donors.schema["value"].dataType)])
+
+    def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame(columns=out.names)
+        b = b.sort_values(["_dp", "_d"], ignore_index=True)
+        p, order, values = b["_dp"].to_numpy(), b["_d"].rank(method="first").to_numpy(), b["value"].to_numpy()
+        points, which = np.unique(a["pred"].to_numpy(), return_inverse=True)
+        nearest, size = np.zeros((len(points), k), np.int64), np.zeros(len(points), np.int64)
+        for at in range(0, len(points), 4096):  # rows predicted alike ask for the same donors
+            part = points[at : at + 4096]
+            spots = np.searchsorted(p, part)[:, None] + np.arange(-k, k)
+            valid = (spots >= 0) & (spots < len(p))
+            spots = np.clip(spots, 0, len(p) - 1)
+            gap = np.where(valid, np.abs(part[:, None] - p[spots]), np.inf)
+            best = np.lexsort((order[spots], gap), axis=1)[:, :k]
+            nearest[at : at + 4096] = np.take_along_axis(spots, best, 1)
+            size[at : at + 4096] = np.minimum(valid.sum(1), k)
+        chosen = nearest[which, a["_pick"].to_numpy() % size[which]]
+        return a.drop(columns=["_bin", "_pick", "_block"]).assign(_drawn=values[chosen])[out.names]
+
+    return asking.groupBy(q("_bin"), q("_block")).cogroup(there.groupBy(q("owner"), q("_block"))).applyInPandas(match, out)
 
 
 def impute_chained(
@@ -152,9 +224,9 @@ def impute_chained(
 
     Every target starts at the observed value nearest its mean. In each round each target is
     regressed on all other columns (bootstrap weights by a hash of the key), and its missing cells
-    take the value of a donor with a similar prediction. Rows without gaps never change, so only
-    the incomplete rows are rewritten between steps; lineage is cut once per step. Predictors that are
-    not targets must be complete.
+    take the value of a donor with a similar prediction. Rows without gaps never change: their moments under the weights of every
+    step come from one scan, a step adds those of the incomplete rows and rewrites only these. Each step is a stored table, and the
+    one before it is deleted. Predictors that are not targets must be complete.
     """
     targets = list(targets)
     inputs = list(dict.fromkeys([*targets, *predictors]))
@@ -178,29 +250,34 @@ def impute_chained(
         gap = q(t).isNull() if gap is None else gap | q(t).isNull()
     base = df.select(q(key), *[q(c).cast("double").alias(c) for c in inputs])
     whole = store(base.filter(~gap))
-    holes = settle(apply_fill(
+    holes = store(apply_fill(
         base.filter(gap).withColumns({f"_was_{t}": q(t).isNull() for t in order}), starts))
-    absent = whole.withColumns({f"_was_{t}": F.lit(False) for t in order})
-
-    for round_ in range(iterations):
-        for j, t in enumerate(order):
-            salt = seed * 7919 + round_ * 104729 + j * 1299709
-            xs = [c for c in inputs if c != t]
-            rows = absent.unionByName(holes)
-            seen = rows.filter(~q(f"_was_{t}"))
-            gram = gram_by_fold(seen, xs, t, weight=poisson_one(key, salt) if bootstrap else None)[0]
-            b, w = fit_ridge(gram, 1e-9 * max(float(gram[0, 0]), 1.0))
-            # rounding makes the order of donors independent of the summation order
-            pred = F.round(LinearFit(tuple(xs), b, tuple(w)).column(), 9)
-            drawn = match_donors(
-                seen.select(q(key), pred.alias("pred"), q(t).alias("value")),
-                holes.filter(q(f"_was_{t}")).select(q(key), pred.alias("pred")),
-                key, donors, lambda c, s=salt: F.pmod(F.xxhash64(c, F.lit(s + 1)), F.lit(2 ** 31)),
-            )
-            holes = settle(
-                holes.join(drawn, key, "left")
-                .withColumn(t, F.when(q(f"_was_{t}"), F.coalesce(q("_drawn"), q(t))).otherwise(q(t))).drop("_drawn")
-            )
+
+    steps = [(t, seed * 7919 + round_ * 104729 + j * 1299709) for round_ in range(iterations) for j, t in enumerate(order)]
+    weigh = lambda salt: poisson_one(key, salt) if bootstrap else F.lit(1)
+    none = Moments.none(len(inputs))
+    weightings = [weigh(salt) for _, salt in steps] if bootstrap else [F.lit(1)]
+    of_whole = moments_by_weight(whole, inputs, weightings)
+    for i, (t, salt) in enumerate(steps):
+        xs = [c for c in inputs if c != t]
+        seen = holes.filter(~q(f"_was_{t}"))
+        of_seen = moments_by_weight(seen, inputs, [weigh(salt)]).get((0, 0), none)
+        m = (of_whole.get((0, i if bootstrap else 0), none) + of_seen).columns([inputs.index(c) for c in [*xs, t]])
+        if not m.n:
+            continue
+        b, w = fit_ridge(m, 1e-9 * max(m.n, 1.0))
+        # rounding makes the order of donors independent of the summation order
+        pred = F.round(LinearFit(tuple(xs), b, tuple(w)).column(), 9).alias("pred")
+        givers = whole.select(q(key), pred, q(t).alias("value")).unionAll(seen.select(q(key), pred, q(t)))
+        filled = match_donors(
+            givers, holes.filter(q(f"_was_{t}")).select(*holes.columns, pred), key, donors,
+            lambda c, s=salt: F.pmod(F.xxhash64(c, F.lit(s + 1)), F.lit(2 ** 31)),
+            (float(b + w @ m.mean[:-1]), float(np.sqrt(max(w @ m.c[:-1, :-1] @ w, 0.0) / m.n)), m.n))
+        filled = filled.select(*[q("_drawn" if c == t else c).alias(c) for c in holes.columns])
+        now = store(seen.unionAll(filled))
+        discard(holes)
+        holes = now
+    discard(whole)
     filled = holes.select(q(key), *[q(t).alias(f"_fill_{t}") for t in order])
     joined = df.join(filled, key, "left")
     return joined.select(*[

@@ -15,34 +15,30 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import linear_sql, q
-from tabkit.operators.moments import gram_by_fold
+from tabkit.operators.moments import Moments, gram_by_fold
 from tabkit.session import settle
 
 # --- linear models from moments ------------------------------------------------------------------
 
 
-def _centred(gram: np.ndarray):
-    n, sx, sy = gram[0, 0], gram[0, 1:-1], gram[0, -1]
-    xx = gram[1:-1, 1:-1] - np.outer(sx, sx) / n
-    xy = gram[1:-1, -1] - sx * sy / n
-    yy = gram[-1, -1] - sy * sy / n
-    return n, sx / n, sy / n, xx, xy, yy
+def _centred(m: Moments):
+    return m.n, m.mean[:-1], m.mean[-1], m.c[:-1, :-1], m.c[:-1, -1], m.c[-1, -1]
 
 
-def fit_ridge(gram: np.ndarray, alpha: float = 1.0) -> tuple[float, np.ndarray]:
+def fit_ridge(m: Moments, alpha: float = 1.0) -> tuple[float, np.ndarray]:
     """Least squares with penalty ``alpha`` on the squared weights, the intercept free of it."""
-    _, mx, my, xx, xy, _ = _centred(gram)
+    _, mx, my, xx, xy, _ = _centred(m)
     a = xx + alpha * np.eye(len(xy))
     w = np.linalg.solve(a, xy) if alpha > 0 else np.linalg.lstsq(a, xy, rcond=None)[0]
     return float(my - mx @ w), w
 
 
 def fit_bayesian_ridge(
-    gram: np.ndarray, alpha_1: float = 1e-6, alpha_2: float = 1e-6, lambda_1: float = 1e-6,
+    m: Moments, alpha_1: float = 1e-6, alpha_2: float = 1e-6, lambda_1: float = 1e-6,
     lambda_2: float = 1e-6, max_iter: int = 300, tol: float = 1e-3,
 ) -> tuple[float, np.ndarray]:
     """Ridge whose noise and weight precisions maximise the evidence under Gamma hyper-priors."""
-    n, mx, my, xx, xy, yy = _centred(gram)
+    n, mx, my, xx, xy, yy = _centred(m)
     eig, vec = np.linalg.eigh(xx)
     eig = np.clip(eig, 0.0, None)
     rotated = vec.T @ xy
@@ -61,9 +57,9 @@ def fit_bayesian_ridge(
     return float(my - mx @ w), w
 
 
-def fit_pls(gram: np.ndarray, n_components: int = 2) -> tuple[float, np.ndarray]:
+def fit_pls(m: Moments, n_components: int = 2) -> tuple[float, np.ndarray]:
     """Partial least squares of one response on standardised columns, from the cross products."""
-    n, mx, my, xx, xy, _ = _centred(gram)
+    n, mx, my, xx, xy, _ = _centred(m)
     sd = np.sqrt(np.diag(xx) / max(n - 1, 1))
     sd[sd == 0] = 1.0
     xx, rest = xx / np.outer(sd, sd), xy / sd
@@ -90,7 +86,52 @@ def fit_pls(gram: np.ndarray, n_components: int = 2) -> tuple[float, np.ndarray]
     return float(my - mx @ w), w
 
 
-LINEAR_FITS = {"ridge": fit_ridge, "bridge": fit_bayesian_ridge, "pls": fit_pls}
+def fit_lasso(
+    m: Moments, alpha: float = 1.0, start: np.ndarray | None = None, tol: float = 1e-12, max_iter: int = 100_000
+) -> tuple[float, np.ndarray]:
+    """Least squares, halved and averaged over rows, with penalty ``alpha`` on the absolute weights of standardised columns.
+
+    Coordinate descent on the correlations alone: a step costs one row of them, whatever the number of rows. ``start``
+    are weights of a neighbouring penalty. Constant columns have no weight.
+    """
+    n, mx, my, xx, xy, yy = _centred(m)
+    sd = np.sqrt(np.diag(xx) / n)
+    there = np.flatnonzero(sd > 1e-12 * (np.abs(mx) + sd.max(initial=0.0) + 1e-300))
+    w = np.zeros(len(xy))
+    if there.size:
+        s = sd[there]
+        r, c = xx[np.ix_(there, there)] / n / np.outer(s, s), xy[there] / n / s
+        b = np.zeros(there.size) if start is None else start[there] * s
+        left = c - r @ b  # what is not explained yet, per column
+        floor = tol * max(np.sqrt(yy / n), 1e-300)
+        for _ in range(max_iter):
+            moved = 0.0
+            for j in range(there.size):
+                z = left[j] + b[j]
+                new = np.sign(z) * max(abs(z) - alpha, 0.0)
+                step = new - b[j]
+                if step:
+                    left -= r[:, j] * step
+                    b[j] = new
+                    moved = max(moved, abs(step))
+            if moved <= floor:
+                break
+        w[there] = b / s
+    return float(my - mx @ w), w
+
+
+def lasso_path(m: Moments, alphas: Sequence[float]) -> list[tuple[float, np.ndarray]]:
+    """The fits of many penalties from one set of moments, each started from the next larger penalty's weights."""
+    alphas = list(alphas)
+    out: list = [None] * len(alphas)
+    start = None
+    for i in np.argsort([-a for a in alphas], kind="stable"):
+        out[i] = fit_lasso(m, alphas[i], start)
+        start = out[i][1]
+    return out
+
+
+LINEAR_FITS = {"ridge": fit_ridge, "bridge": fit_bayesian_ridge, "pls": fit_pls, "lasso": fit_lasso}
 
 
 @dataclass(frozen=True)
@@ -121,8 +162,8 @@ class Linear:
     kind: str = "ridge"
     params: dict = field(default_factory=dict)
 
-    def from_gram(self, gram: np.ndarray, features: Sequence[str]) -> LinearFit:
-        b, w = LINEAR_FITS[self.kind](gram, **self.params)
+    def from_gram(self, m: Moments, features: Sequence[str]) -> LinearFit:
+        b, w = LINEAR_FITS[self.kind](m, **self.params)
         return LinearFit(tuple(features), b, tuple(w))
 
     def fit(self, df: DataFrame, features: Sequence[str], label: str) -> LinearFit:
@@ -172,9 +213,9 @@ class SparkML:
         return FittedML(tuple(features), est.fit(vec))
 
 
-def lasso(alpha: float = 1.0) -> SparkML:
-    """Least squares with an absolute-value penalty."""
-    return SparkML(LinearRegression(elasticNetParam=1.0, regParam=alpha))
+def lasso(alpha: float = 1.0) -> Linear:
+    """Least squares with an absolute-value penalty, from moments like every linear model."""
+    return Linear("lasso", {"alpha": alpha})
 
 
 def tree(max_depth: int = 8, seed: int = 27) -> SparkML:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from tabkit.functions.expr import HASH_MULTIPLIERS, hash_uniform, q
-from tabkit.operators.moments import held_out_rmse, squared_error
+from tabkit.operators.moments import Moments, held_out_rmse, pooled, rest_by_fold, squared_error
 from tabkit.operators.regress import LINEAR_FITS, fit_ridge
 from tabkit.session import settle, sized_join
 
@@ -62,11 +62,11 @@ def score_trials(trials: DataFrame, score: Callable[[dict], float]) -> DataFrame
 
 
 def _linear_args(kind: str, params: Mapping[str, float]) -> dict:
-    names = {"ridge": ("alpha",), "bridge": ("alpha_1", "alpha_2", "lambda_1", "lambda_2"), "pls": ("n_components",)}[kind]
+    names = {"ridge": ("alpha",), "bridge": ("alpha_1", "alpha_2", "lambda_1", "lambda_2"), "pls": ("n_components",), "lasso": ("alpha",)}[kind]
     return {k: (int(v) if k == "n_components" else v) for k, v in params.items() if k in names}
 
 
-def evaluate_trials(grams: dict[int, np.ndarray], trials: DataFrame, kind: str) -> DataFrame:
+def evaluate_trials(grams: dict[int, Moments], trials: DataFrame, kind: str) -> DataFrame:
     """Held-out error of a linear model for every trial, from the fold moments of one scan."""
     fit = LINEAR_FITS[kind]
     return score_trials(trials, lambda p: held_out_rmse(grams, lambda g: fit(g, **_linear_args(kind, p))))
@@ -167,25 +167,21 @@ def _members(params: Mapping[str, float], kinds: Sequence[str]) -> dict[str, dic
     }
 
 
-def _stacked(total: np.ndarray, grams: Sequence[np.ndarray], kinds, args, alpha: float):
-    """Linear model equal to a ridge stack of linear members, all from fold moments."""
-    m = len(kinds)
-    meta = np.zeros((m + 2, m + 2))
-    for g in grams:
-        basis = np.zeros((g.shape[0], m + 2))
-        basis[0, 0] = basis[-1, -1] = 1.0
-        for j, k in enumerate(kinds):
-            b, w = LINEAR_FITS[k](total - g, **args[k])
-            basis[0, j + 1] = b
-            basis[1:-1, j + 1] = w
-        meta += basis.T @ g @ basis
-    b0, v = fit_ridge(meta, alpha)
-    fits = [LINEAR_FITS[k](total, **args[k]) for k in kinds]
+def _stacked(parts: Mapping[int, Moments], kinds, args, alpha: float):
+    """Linear model equal to a ridge stack of linear members, all from the moments of the folds ``parts``."""
+    meta = []
+    for f, rest in rest_by_fold(parts).items():
+        fits = [LINEAR_FITS[k](rest, **args[k]) for k in kinds]
+        label = np.eye(len(rest.mean))[:, -1]
+        basis = np.column_stack([*[np.append(w, 0.0) for _, w in fits], label])
+        meta.append(parts[f].mapped(np.array([*[b for b, _ in fits], 0.0]), basis))
+    b0, v = fit_ridge(pooled(meta), alpha)
+    fits = [LINEAR_FITS[k](pooled(list(parts.values())), **args[k]) for k in kinds]
     return b0 + sum(x * b for x, (b, _) in zip(v, fits)), np.sum([x * w for x, (_, w) in zip(v, fits)], axis=0)
 
 
 def search_ensemble(
-    grams: dict[int, np.ndarray], trials: DataFrame, members: Sequence[str] = ("ridge", "pls"), how: str = "voter"
+    grams: dict[int, Moments], trials: DataFrame, members: Sequence[str] = ("ridge", "pls"), how: str = "voter"
 ) -> DataFrame:
     """Members and weights (voter) or members and meta penalty (stack) scored together.
 
@@ -197,13 +193,11 @@ def search_ensemble(
 
     def score(p: dict) -> float:
         args = _members({n: v for n, v in p.items() if not n.endswith("_meta")}, kinds)
-        everything = np.sum(list(grams.values()), axis=0)
-        errors = []
+        errors, others = [], rest_by_fold(grams)
         for f, g in grams.items():
-            rest = everything - g
+            rest = others[f]
             if how == "stack":
-                inner = [x for k, x in grams.items() if k != f]
-                b, w = _stacked(rest, inner, kinds, args, p.get("alpha_ridge_meta", 1.0))
+                b, w = _stacked({k: x for k, x in grams.items() if k != f}, kinds, args, p.get("alpha_ridge_meta", 1.0))
             else:
                 v = np.array([p.get(f"voter{i + 1}", 1.0) for i in range(len(kinds))])
                 v = v / v.sum()

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import q
 from tabkit.operators.evaluate import predictions
-from tabkit.operators.moments import gram_by_fold
+from tabkit.operators.moments import gram_by_fold, pooled, rest_by_fold
 from tabkit.operators.ranking import best_models
 from tabkit.operators.regress import Linear
 from tabkit.operators.search import best_params, evaluate_trials, resume_trials, trial_table
@@ -35,7 +34,7 @@ def fit_all(
         linear = {n: s for n, s in specs.items() if isinstance(s, Linear)}
         other = {n: s for n, s in specs.items() if n not in linear}
         grams = gram_by_fold(df, features, label, fold=q(fold))
-        total = np.sum(list(grams.values()), axis=0)
+        total, rest = pooled(list(grams.values())), rest_by_fold(grams)
         fitted = {n: s.from_gram(total, features) for n, s in linear.items()}
         fitted.update({n: s.fit(df, features, label) for n, s in other.items()})
         part = predictions(df, fitted, name, label, key, fold)
@@ -46,8 +45,8 @@ def fit_all(
             each = []
             for n, s in linear.items():
                 e = None
-                for f, g in grams.items():
-                    c = s.from_gram(total - g, features).column()
+                for f in grams:
+                    c = s.from_gram(rest[f], features).column()
                     e = F.when(q(fold) == F.lit(f), c) if e is None else e.when(q(fold) == F.lit(f), c)
                 each.append(F.struct(F.lit(n).alias("model"), e.alias("p")))
             held = df.select(*keep, F.explode(F.array(*each)).alias("_e")).select("dataset", "_e.model", key, "fold", "y", "_e.p")
@@ -72,7 +71,7 @@ def tune_linear(
     scores, fitted = None, {}
     for name, (df, features) in variants.items():
         grams = gram_by_fold(df.filter(q(label).isNotNull()), features, label, fold=q(fold))
-        total = np.sum(list(grams.values()), axis=0)
+        total, rest = pooled(list(grams.values())), rest_by_fold(grams)
         for kind, space in spaces.items():
             todo = trial_table(df.sparkSession, space, trials)
             if resume and log is not None:

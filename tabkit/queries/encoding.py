@@ -117,6 +117,32 @@ def e6_one(spark, sf):
     return impute_chained(df, "id", ["acctbal"], ["n_lines"], iterations=1, donors=1, bootstrap=False)
 
 
+def _chained_sql() -> str:
+    """Two targets regressed on each other in two rounds; every gap takes the value of the nearest donor."""
+    steps, now = [], "b0"
+    for i, (t, x) in enumerate([("qty", "acctbal"), ("acctbal", "qty")] * 2, 1):
+        steps.append(f"""l{i} AS (SELECT regr_slope({t}, {x}) AS s, regr_intercept({t}, {x}) AS a FROM {now} WHERE NOT no_{t})
+, d{i} AS (SELECT id, {t} AS v, round(a + s*{x}, 9) AS p FROM {now}, l{i} WHERE NOT no_{t})
+, g{i} AS (SELECT p, min_by(v, id) AS first_v, max_by(v, id) AS last_v, min(id) AS first_id, max(id) AS last_id FROM d{i} GROUP BY p)
+, m{i} AS (SELECT id, round(a + s*{x}, 9) AS p FROM {now}, l{i} WHERE no_{t})
+, up{i} AS (SELECT m.id, g.first_id AS donor, g.first_v AS v, g.p - m.p AS gap FROM m{i} m ASOF JOIN g{i} g ON m.p <= g.p)
+, dn{i} AS (SELECT m.id, g.last_id AS donor, g.last_v AS v, m.p - g.p AS gap FROM m{i} m ASOF JOIN g{i} g ON m.p > g.p)
+, n{i} AS (SELECT id, arg_min(v, (gap, donor)) AS v FROM (SELECT * FROM up{i} UNION ALL SELECT * FROM dn{i}) GROUP BY id)
+, b{i} AS (SELECT b.id, {"coalesce(n.v, qty) AS qty, acctbal" if t == "qty" else "qty, coalesce(n.v, acctbal) AS acctbal"}, no_qty, no_acctbal FROM {now} b LEFT JOIN n{i} n ON b.id = n.id)""")
+        now = f"b{i}"
+    return with_obs(""", st AS (SELECT (SELECT qty FROM obs, (SELECT avg(qty) AS c FROM obs) WHERE qty IS NOT NULL ORDER BY abs(qty-c), qty LIMIT 1) AS q0,
+ (SELECT acctbal FROM obs, (SELECT avg(acctbal) AS c FROM obs) WHERE acctbal IS NOT NULL ORDER BY abs(acctbal-c), acctbal LIMIT 1) AS a0)
+, b0 AS (SELECT id, coalesce(qty, q0) AS qty, coalesce(acctbal, a0) AS acctbal, qty IS NULL AS no_qty, acctbal IS NULL AS no_acctbal FROM obs, st)
+, """ + "\n, ".join(steps) + f" SELECT id, qty, acctbal FROM {now}")
+
+
+@query("e6_chained_two_rounds", _chained_sql())
+def e6_two_rounds(spark, sf):
+    """Two targets, two rounds, the nearest donor and no bootstrap: every step can be followed."""
+    df = store(obs(spark, sf, ("id", "qty", "acctbal")))
+    return impute_chained(df, "id", ["acctbal", "qty"], [], iterations=2, donors=1, bootstrap=False)
+
+
 @query("e6_one_donor_step", with_obs("""
 , l AS (SELECT regr_slope(acctbal, qty) AS b, regr_intercept(acctbal, qty) AS a FROM obs WHERE acctbal IS NOT NULL AND qty IS NOT NULL)
 , d AS (SELECT id, acctbal, round(a+b*qty,6) AS p FROM obs, l WHERE acctbal IS NOT NULL AND qty IS NOT NULL)
@@ -133,7 +159,7 @@ def e6_step(spark, sf):
     holes = df.filter("acctbal is null").select("id", pred.alias("pred"))
     # the donor's own prediction is carried as its value
     drawn = match_donors(seen.select("id", pred.alias("pred"), pred.alias("value")), holes, "id", 1, lambda c: F.lit(0))
-    return holes.join(drawn, "id").select("id", rnd(F.abs(q("pred") - q("_drawn")), 5).alias("gap"))
+    return drawn.select("id", rnd(F.abs(q("pred") - q("_drawn")), 5).alias("gap"))
 
 
 @query("e7_complete_case_medians", with_obs("""

@@ -2,20 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from itertools import combinations_with_replacement
 
 from pyspark.sql import functions as F
 
-from tabkit.functions.expr import q
+from tabkit.functions.expr import fold_of, q
 from tabkit.operators.ensemble import Stack, Voter, out_of_fold, search_weights, vote
 from tabkit.operators.evaluate import (
     assign_folds, back_transform, compare_models, comparison_long, cv_rmse, error_band, exclude_models, log_rmse,
     predictions, train_rmse,
 )
-from tabkit.operators.moments import gram_by_fold, moments
+from tabkit.operators.moments import centred_moments, gram_by_fold, moments
 from tabkit.operators.ranking import top_importances
 from tabkit.operators.regress import (
-    KernelRobust, Linear, LinearFit, boosted_trees, fit_pls, knn_regress, lasso, random_tree, tree,
+    KernelRobust, Linear, LinearFit, boosted_trees, fit_pls, knn_regress, lasso, lasso_path, random_tree, tree,
 )
 from tabkit.operators.search import (
     best_trial, evaluate_ml_trials, evaluate_trials, normalise_weights, resume_trials, search_ensemble, split_params,
@@ -51,6 +52,22 @@ def i1(spark, sf):
     return rounded(moments(model_obs(spark, sf), ["x4", "x5"], "y", "fold"), ["value"], 4)
 
 
+def _centred_moments_sql() -> str:
+    names = ["year_sold", "x4", "y"]
+    m = "SELECT year_sold, qty/100 AS x4, ln(price) AS y, CAST((id*30011)%65521%5 AS BIGINT) AS fold FROM obs WHERE split='train' AND qty IS NOT NULL"
+    return with_obs(f", m AS ({m}) " + " UNION ALL ".join(
+        f"SELECT fold, '{a}' AS a, '{b}' AS b, count(*) AS n, round(avg({a}),8) AS mean_a, round(avg({b}),8) AS mean_b, round(covar_pop({a},{b})*count(*),6) AS value FROM m GROUP BY fold"
+        for a, b in combinations_with_replacement(names, 2)))
+
+
+@query("i1_centred_moments", _centred_moments_sql())
+def i1_centred(spark, sf):
+    """A year, far from 0 against its spread, among the columns."""
+    df = obs(spark, sf, ("id", "split", "year_sold", "qty", "price")).filter("split = 'train'")
+    df = df.select("year_sold", (q("qty") / 100).alias("x4"), F.ln("price").alias("y"), fold_of(q("id"), 5).alias("fold"))
+    return rounded(rounded(centred_moments(df, ["year_sold", "x4"], "y", "fold"), ["mean_a", "mean_b"], 8), ["value"], 6)
+
+
 _CENTRED = """, s AS (SELECT count(*) AS n, avg(x4) AS m4, avg(x5) AS m5, avg(y) AS my, var_pop(x4)*count(*) AS s44, var_pop(x5)*count(*) AS s55,
  covar_pop(x4,x5)*count(*) AS s45, covar_pop(x4,y)*count(*) AS s4, covar_pop(x5,y)*count(*) AS s5 FROM m)"""
 
@@ -91,6 +108,24 @@ def i3_one(spark, sf):
     return lasso(0.001).fit(df, ["x4"], "y").predict(df).select("id", rnd("prediction", 4).alias("prediction"))
 
 
+_LASSO_TWO = _CENTRED + """, z AS (SELECT n, m4, m5, my, sqrt(s44/n) AS d4, sqrt(s55/n) AS d5, s45/sqrt(s44*s55) AS r, s4/n/sqrt(s44/n) AS c4, s5/n/sqrt(s55/n) AS c5 FROM s)
+, a AS (SELECT exp(-6.907755278982137 + i*0.05) AS alpha FROM range(100) t(i))
+, g AS (SELECT * FROM z, a, (VALUES (-1),(0),(1)) u(e4), (VALUES (-1),(0),(1)) v(e5))
+, b AS (SELECT *, CASE WHEN e4=0 THEN 0 WHEN e5=0 THEN c4-alpha*e4 ELSE (c4-alpha*e4-r*(c5-alpha*e5))/(1-r*r) END AS b4,
+  CASE WHEN e5=0 THEN 0 WHEN e4=0 THEN c5-alpha*e5 ELSE (c5-alpha*e5-r*(c4-alpha*e4))/(1-r*r) END AS b5 FROM g)
+, k AS (SELECT * FROM b WHERE CASE WHEN e4=0 THEN abs(c4-r*b5) <= alpha ELSE b4*e4 > 0 END AND CASE WHEN e5=0 THEN abs(c5-r*b4) <= alpha ELSE b5*e5 > 0 END)
+ SELECT round(alpha,8) AS alpha, round(my-b4/d4*m4-b5/d5*m5,6) AS intercept, round(b4/d4,6) AS x4, round(b5/d5,6) AS x5 FROM k"""
+
+
+@query("i3_lasso_path", model_sql(_LASSO_TWO))
+def i3_path(spark, sf):
+    """A path of 100 penalties from one scan; with two columns the conditions of the optimum can be solved."""
+    alphas = [math.exp(-6.907755278982137 + i * 0.05) for i in range(100)]
+    fits = lasso_path(gram_by_fold(model_obs(spark, sf), ["x4", "x5"], "y")[0], alphas)
+    rows = spark.createDataFrame([(a, b, *map(float, w)) for a, (b, w) in zip(alphas, fits)], "alpha double, intercept double, x4 double, x5 double")
+    return rounded(rounded(rows, ["alpha"], 8), ["intercept", "x4", "x5"], 6)
+
+
 @query("i4_fit_bayesian_ridge")
 def i4(spark, sf):
     df = store(model_obs(spark, sf))

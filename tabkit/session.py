@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 import zipfile
 from pathlib import Path
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+#: Row and byte counts that were observed while a table was settled.
+_SEEN: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
 
 
 def ship(spark: SparkSession) -> None:
@@ -64,21 +68,21 @@ def _row_bytes(schema: T.StructType) -> str:
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage, so that later jobs neither recompute nor diverge.
 
-    The row and byte counts are observed on the way.
+    The row and byte counts are observed on the way. The plan's own size estimate stays that of ``df``; a loop that
+    joins what it settled before multiplies estimates without end, so loops take ``store``.
     """
     checkpoint_dir(df.sparkSession)
     seen = Observation()
     done = df.observe(seen, F.expr(f"sum({_row_bytes(df.schema)}) AS bytes"), F.expr("count(1) AS rows"))
     done = done.checkpoint(eager=True)
-    object.__setattr__(done, "_tabkit_seen", seen.get)
+    _SEEN[done] = seen.get
     return done
 
 
 def sized_like(df: DataFrame, settled: DataFrame) -> DataFrame:
     """Let a projection or filter of a settled table be known by that table's size."""
-    seen = settled.__dict__.get("_tabkit_seen")
-    if seen:
-        object.__setattr__(df, "_tabkit_seen", seen)
+    if settled in _SEEN:
+        _SEEN[df] = _SEEN[settled]
     return df
 
 
@@ -92,9 +96,19 @@ def store(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of stored tables that nothing will read again."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        folders = {m[0] for f in table.inputFiles() if (m := re.match(r".*/stored-[0-9a-f]{32}(?=/)", f))}
+        for folder in folders:
+            path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether a table is below the broadcast limit: as observed while settling, else measured now."""
-    seen = df.__dict__.get("_tabkit_seen")
+    seen = _SEEN.get(df)
     size = seen["bytes"] if seen else df.agg(F.expr(f"sum({_row_bytes(df.schema)})")).first()[0]
     return (size or 0) <= max_bytes
 

@@ -259,7 +259,7 @@ def test_donors_need_a_prediction(spark):
 
     donors = spark.createDataFrame([(1, None, 9.0), (2, 1.0, 1.0), (3, 1.1, 2.0), (4, 5.0, 3.0)], "id bigint, pred double, value double")
     asked = spark.createDataFrame([(7, 1.0), (8, None)], "id bigint, pred double")
-    assert [tuple(r) for r in match_donors(donors, asked, "id", 1, lambda c: F.lit(0)).collect()] == [(7, 1.0)]
+    assert [(r["id"], r["_drawn"]) for r in match_donors(donors, asked, "id", 1, lambda c: F.lit(0)).collect()] == [(7, 1.0)]
     holes = spark.createDataFrame([(1, None, 1.0), (2, 2.0, None), (3, 3.0, 4.0)], "id bigint, y double, x double")
     with pytest.raises(ValueError, match="x"):
         impute_chained(holes, "id", ["y"], ["x"], iterations=1)

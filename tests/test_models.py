@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from tabkit.functions.expr import fold_of, q
 from tabkit.operators.depend import correlations, kendall, spearman
 from tabkit.operators.ensemble import Stack, Voter, out_of_fold
-from tabkit.operators.impute import impute_categorical, impute_categoricals, impute_chained
-from tabkit.operators.moments import gram_by_fold, held_out_rmse
+from tabkit.operators import impute
+from tabkit.operators.impute import impute_categorical, impute_categoricals, impute_chained, match_donors
+from tabkit.operators.moments import centred_moments, gram_by_fold, held_out_rmse, moments_by_weight, pooled, rest_by_fold
 from tabkit.operators.regress import (
-    KernelRobust, Linear, SparkML, boosted_trees, fit_bayesian_ridge, fit_pls, fit_ridge, knn_regress, lasso, random_tree, tree,
+    KernelRobust, Linear, SparkML, boosted_trees, fit_bayesian_ridge, fit_lasso, fit_pls, fit_ridge, knn_regress, lasso, lasso_path, random_tree, tree,
 )
 from tabkit.operators.roles import Roles
 from tabkit.operators.search import best_params, evaluate_trials, narrow_space, resume_trials, search_ensemble, trial_table
@@ -38,11 +39,53 @@ def test_moments_two_ways(data):
     df, pdf = data
     wide = gram_by_fold(df, WIDE, "y", fold=q("fold"))
     narrow = gram_by_fold(df, WIDE[:4], "y", fold=q("fold"))
-    keep = [0, 1, 2, 3, 4, 16]
     for f in narrow:
-        assert np.allclose(wide[f][np.ix_(keep, keep)], narrow[f])
-    full = np.column_stack([np.ones(600), pdf[WIDE].to_numpy(), pdf["y"]])
-    assert np.allclose(sum(wide.values()), full.T @ full)
+        part = wide[f].columns([0, 1, 2, 3, 15])
+        assert part.n == narrow[f].n and np.allclose(part.mean, narrow[f].mean) and np.allclose(part.c, narrow[f].c)
+    full = pdf[[*WIDE, "y"]].to_numpy()
+    every = pooled(list(wide.values()))
+    assert every.n == 600 and np.allclose(every.mean, full.mean(0)) and np.allclose(every.c, 600 * np.cov(full.T, bias=True))
+    rest = rest_by_fold(wide)
+    for f, m in wide.items():
+        assert np.allclose((rest[f] + m).c, every.c) and rest[f].n + m.n == 600
+
+
+def test_moments_far_from_zero_keep_their_digits(spark):
+    rng = np.random.default_rng(9)
+    years, y = 1971 + rng.integers(0, 40, 5000), rng.normal(size=5000)
+    for shift in (0, 10**9):
+        df = spark.createDataFrame(pd.DataFrame({"x": (years + shift).astype(float), "y": y + shift, "k": np.arange(5000) % 7}))
+        m = gram_by_fold(df, ["x"], "y")[0]
+        expected = np.cov(np.stack([years, y]), bias=True) * 5000
+        assert np.allclose(m.c, expected, rtol=1e-10 if not shift else 1e-6)
+        native = {(r["a"], r["b"]): r["value"] for r in centred_moments(df.withColumn("fold", F.lit(0)), ["x"], "y", "fold").collect()}
+        assert native["x", "x"] == pytest.approx(expected[0, 0], rel=1e-10 if not shift else 1e-6)
+
+
+def test_moments_of_many_weightings_in_one_scan(data):
+    df, pdf = data
+    weights = [F.lit(1), q("id") % 3, F.when(q("id") > 300, 2).otherwise(0)]
+    got = moments_by_weight(df, ["f0", "y"], weights)
+    for i, w in enumerate([np.ones(600), (pdf["id"] % 3).to_numpy(), np.where(pdf["id"] > 300, 2, 0)]):
+        m = got[0, i]
+        assert m.n == w.sum() and np.allclose(m.mean, np.average(pdf[["f0", "y"]], axis=0, weights=w))
+        assert np.allclose(m.c, np.cov(pdf[["f0", "y"]].T, aweights=w, bias=True) * w.sum())
+
+
+def test_lasso_meets_the_conditions_of_the_optimum(data):
+    df, pdf = data
+    m = gram_by_fold(df, WIDE, "y")[0]
+    x = (pdf[WIDE] - pdf[WIDE].mean()).to_numpy()
+    sd = x.std(0)
+    for alpha, (b, w) in zip((0.5, 0.01, 0.1), lasso_path(m, [0.5, 0.01, 0.1])):
+        left = pdf["y"].to_numpy() - b - pdf[WIDE].to_numpy() @ w
+        slope = (x / sd).T @ left / 600
+        on = w != 0
+        assert np.allclose(slope[on], alpha * np.sign(w[on])) and (np.abs(slope[~on]) <= alpha + 1e-9).all()
+        assert np.allclose(w, fit_lasso(m, alpha)[1], atol=1e-9)
+    assert (fit_lasso(m, 0.5)[1] != 0).sum() < 15
+    constant = gram_by_fold(df.withColumn("k", F.lit(3.0)), ["k", "f0"], "y")[0]
+    assert fit_lasso(constant, 0.01)[1][0] == 0
 
 
 def test_ridge_agrees_with_spark_ml(data):
@@ -230,6 +273,46 @@ def test_classifier_fills_only_gaps(gappy):
     assert impute_categoricals(gappy, r, "y").filter("c is null").count() == 0
 
 
+def donors_by_hand(donors, asked, k):
+    """Per asked row the keys and values of its nearest donors, by ordering all of them."""
+    ordered = sorted((p, d, v) for d, p, v in donors)
+    out = {}
+    for i, p in asked:
+        at = sum(x[0] < p for x in ordered)
+        near = ordered[max(0, at - k) : at + k]
+        out[i] = [v for _, _, v in sorted((abs(p - x[0]), x[1], x[2]) for x in near)[:k]]
+    return out
+
+
+@pytest.mark.parametrize("k", [1, 3, 20])
+def test_donors_by_brute_force(spark, monkeypatch, k):
+    rng = np.random.default_rng(k)
+    monkeypatch.setattr(impute, "GAP_BLOCK", 7)
+    # a third of all predictions are alike, some lie far out, some bins are empty
+    pred = np.round(np.where(rng.random(900) < 0.33, 0.5, rng.standard_t(2, 900)), 3)
+    donors = [(int(i), float(p), float(i)) for i, p in enumerate(pred[:700])]
+    asked = [(1000 + i, float(p)) for i, p in enumerate([*pred[700:], -1e6, 1e6, 0.5])]
+    expected = donors_by_hand(donors, asked, k)
+    d = spark.createDataFrame(donors, "id bigint, pred double, value double").repartition(6)
+    a = spark.createDataFrame(asked, "id bigint, pred double").withColumn("extra", q("id") * 2)
+    for pick in range(3):
+        got = match_donors(d, a, "id", k, lambda c: F.lit(pick)).collect()
+        assert {r["id"]: r["_drawn"] for r in got} == {i: v[pick % len(v)] for i, v in expected.items()}
+        assert all(r["extra"] == 2 * r["id"] for r in got)
+    few = match_donors(d.filter("id < 2"), a, "id", k, lambda c: F.lit(1))
+    assert few.count() == len(asked) and match_donors(d.filter("id < 0"), a, "id", k, lambda c: F.lit(1)).count() == 0
+
+
+def test_chained_steps_keep_their_size_estimate(gappy, spark):
+    """Every step reads a table of its own: neither the plan nor its estimated size grows with the steps."""
+    plan = lambda n: impute_chained(gappy, "id", ["u", "v"], ["x", "o"], iterations=n, donors=3)._jdf.queryExecution()
+    short, long = plan(1), plan(10)
+    size = lambda p: int(str(p.optimizedPlan().stats().sizeInBytes()))
+    assert size(long) < 2**63 and size(long) < 4 * size(short)
+    assert len(long.toString()) < 1.2 * len(short.toString())
+    assert "Exchange rangepartitioning" not in long.toString()
+
+
 def test_chained_values_come_from_the_observed(gappy, spark):
     run = lambda: impute_chained(gappy, "id", ["u", "v"], ["x", "o"], iterations=2, donors=5, seed=3).toPandas().set_index("id").sort_index()
     seen = gappy.toPandas().set_index("id").sort_index()
