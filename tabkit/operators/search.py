@@ -78,8 +78,8 @@ def evaluate_ml_trials(
 ) -> DataFrame:
     """Held-out error of Spark ML models by cross validation on a given fold column.
 
-    Every trial is one distributed fit per fold over the whole table, ``parallelism`` of them at a time; nothing is
-    fitted on all folds. ``folds`` is the number of values of the fold column.
+    Every setting is one distributed fit per fold over the whole table, ``parallelism`` of them at a time, shared by the trials that
+    ask for it; nothing is fitted on all folds. ``folds`` is the number of values of the fold column.
     """
     spark = df.sparkSession
     rows = settle(
@@ -88,17 +88,19 @@ def evaluate_ml_trials(
             "features", q(label).cast("double").alias("label"), q(fold).cast("int").alias("fold"))
     )
     asked = trials.orderBy("trial_id").collect()
+    settings = list({tuple(sorted(t["params"].items())): t["params"] for t in asked}.values())
     judge = RegressionEvaluator(metricName="mse")
 
     def error(at: tuple[int, int]) -> float:
-        model = make(asked[at[0]]["params"]).fit(rows.filter(q("fold") != at[1]))
+        model = make(settings[at[0]]).fit(rows.filter(q("fold") != at[1]))
         return judge.evaluate(model.transform(rows.filter(q("fold") == at[1])))
 
     with ThreadPool(parallelism) as pool:
-        errors = pool.map(inheritable_thread_target(spark)(error), [(i, f) for i in range(len(asked)) for f in range(folds)], 1)
+        errors = pool.map(inheritable_thread_target(spark)(error), [(i, f) for i in range(len(settings)) for f in range(folds)], 1)
     # the mean over folds of fold mean squared errors, then the root
-    of_trial = np.sqrt(np.array(errors).reshape(len(asked), folds).mean(1))
-    return spark.createDataFrame([(t["trial_id"], t["params"], float(e)) for t, e in zip(asked, of_trial)], TRIAL_SCHEMA)
+    found = np.sqrt(np.array(errors).reshape(len(settings), folds).mean(1))
+    of = {tuple(sorted(p.items())): float(e) for p, e in zip(settings, found)}
+    return spark.createDataFrame([(t["trial_id"], t["params"], of[tuple(sorted(t["params"].items()))]) for t in asked], TRIAL_SCHEMA)
 
 
 def best_trial(trials: DataFrame, integers: Sequence[str] = ()) -> DataFrame:

@@ -13,6 +13,7 @@ from tabkit.operators.evaluate import (
     assign_folds, back_transform, compare_models, comparison_long, cv_rmse, error_band, exclude_models, log_rmse,
     predictions, train_rmse,
 )
+from tabkit.operators.joint import search_joint
 from tabkit.operators.moments import centred_moments, gram_by_fold, moments
 from tabkit.operators.ranking import top_importances
 from tabkit.operators.regress import (
@@ -336,7 +337,7 @@ def j1(spark, sf):
     return points.select("trial_id", *[rnd(q("params")[n]).alias(n) for n in SPACE])
 
 
-TRIALS = 40
+TRIALS, ENSEMBLE_TRIALS = 100, 50
 _TRIAL_SQL = f""", tr AS (SELECT i AS trial_id, exp(-6.907755278982137 + ((i*30011)%65521)/65521.0*11.512925464970229) AS alpha FROM range(1,{TRIALS + 1}) t(i))
 , f AS (SELECT fold, count(*)::DOUBLE AS n, sum(x4) AS sx, sum(y) AS sy, sum(x4*x4) AS sxx, sum(x4*y) AS sxy, sum(y*y) AS syy FROM m GROUP BY fold)
 , a AS (SELECT sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(sxy) AS sxy FROM f)
@@ -361,7 +362,7 @@ def j2_trees(spark, sf):
     from pyspark.ml.regression import DecisionTreeRegressor
 
     df = store(model_obs(spark, sf))
-    trials = trial_table(spark, {"max_depth": ("quniform", 1, 4, 1)}, 3)
+    trials = trial_table(spark, {"max_depth": ("quniform", 1, 4, 1)}, ENSEMBLE_TRIALS)
     return evaluate_ml_trials(df, FEATURES, "y", "fold", trials, lambda p: DecisionTreeRegressor(maxDepth=int(p["max_depth"]), seed=1), 5)
 
 
@@ -476,3 +477,33 @@ def j11_stack(spark, sf):
     grams = gram_by_fold(model_obs(spark, sf), FEATURES, "y", fold=q("fold"))
     space = {"alpha_ridge": SPACE["alpha"], "n_components_pls": ("quniform", 1, 5, 1), "alpha_ridge_meta": SPACE["alpha"]}
     return search_ensemble(grams, trial_table(spark, space, TRIALS), ["ridge", "pls"], "stack")
+
+
+_JOINT_SQL = f""", lv AS (SELECT fold, x2 AS v, count(*)::DOUBLE AS n, sum(y) AS s, sum(y*y) AS ss FROM m GROUP BY 1,2)
+, o AS (SELECT k, v, sum(n) AS n, sum(s) AS s FROM lv, (SELECT DISTINCT fold AS k FROM lv) WHERE fold <> k GROUP BY 1,2)
+, cu AS (SELECT k, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY k) AS tn, sum(s) OVER (PARTITION BY k) AS ts FROM o WINDOW w AS (PARTITION BY k ORDER BY v))
+, st AS (SELECT k, v AS cut, sl/nl AS low, (ts-sl)/(tn-nl) AS high FROM cu WHERE nl < tn
+  QUALIFY row_number() OVER (PARTITION BY k ORDER BY sl*sl/nl + (ts-sl)*(ts-sl)/(tn-nl) DESC, v) = 1)
+, mo AS (SELECT k, sum(n*v)/sum(n) AS mx, sum(s)/sum(n) AS my, sum(n*v*v)-sum(n*v)*sum(n*v)/sum(n) AS sxx, sum(v*s)-sum(n*v)*sum(s)/sum(n) AS sxy FROM o GROUP BY k)
+, t AS (SELECT i AS trial_id, exp(-6.907755278982137 + ((i*30011)%65521)/65521.0*11.512925464970229) AS alpha, ((i*40503)%65521)/65521.0 AS v1, ((i*12347)%65521)/65521.0 AS v2
+  FROM range(1,{ENSEMBLE_TRIALS + 1}) g(i))
+, p AS (SELECT trial_id, alpha, fold, n, s, ss, (v1*(my+sxy/(sxx+alpha)*(v-mx)) + v2*CASE WHEN v <= cut THEN low ELSE high END)/(v1+v2) AS p
+  FROM t, lv JOIN mo ON mo.k=fold JOIN st ON st.k=fold)
+, e AS (SELECT trial_id, alpha, fold, sum(ss-2*p*s+n*p*p)/sum(n) AS mse FROM p GROUP BY 1,2,3)
+ SELECT trial_id, round(alpha,6) AS alpha, round(sqrt(avg(mse)),7) AS cv_rmse FROM e GROUP BY trial_id, alpha"""
+_TREE_MEMBER = {"tree": lambda p: tree(int(p["max_depth"]))}
+
+
+@query("j11_joint_voter_with_tree", model_sql(_JOINT_SQL))
+def j11_joint_voter(spark, sf):
+    """Fifty trials of a ridge and a one-split tree with their weights; the tree is fitted once per fold."""
+    space = {"alpha_ridge": SPACE["alpha"], "voter1": ("uniform", 0.0, 1.0), "voter2": ("uniform", 0.0, 1.0), "max_depth_tree": ("quniform", 1, 1, 1)}
+    scored = search_joint(model_obs(spark, sf), ["x2"], "y", "fold", trial_table(spark, space, ENSEMBLE_TRIALS), ["ridge", "tree"], _TREE_MEMBER)
+    return scored.select("trial_id", rnd(q("params")["alpha_ridge"]).alias("alpha"), rnd("cv_rmse", 7).alias("cv_rmse"))
+
+
+@query("j11_joint_stack_with_trees")
+def j11_joint_stack(spark, sf):
+    """Fifty trials of a stack of ridge, PLS and trees of several depths; folds left out in pairs for the meta model."""
+    space = {"alpha_ridge": SPACE["alpha"], "n_components_pls": ("quniform", 1, 4, 1), "max_depth_tree": ("quniform", 2, 4, 1), "alpha_ridge_meta": SPACE["alpha"]}
+    return search_joint(model_obs(spark, sf), FEATURES, "y", "fold", trial_table(spark, space, ENSEMBLE_TRIALS), ["ridge", "pls", "tree"], _TREE_MEMBER, "stack")

@@ -13,6 +13,7 @@ from tabkit.operators.depend import correlations, kendall, spearman
 from tabkit.operators.ensemble import Stack, Voter, out_of_fold
 from tabkit.operators import impute
 from tabkit.operators.impute import impute_categorical, impute_categoricals, impute_chained, match_donors
+from tabkit.operators.joint import search_joint
 from tabkit.operators.moments import centred_moments, gram_by_fold, held_out_rmse, moments_by_weight, pooled, rest_by_fold
 from tabkit.operators.regress import (
     KernelRobust, Linear, SparkML, boosted_trees, fit_bayesian_ridge, fit_lasso, fit_pls, fit_ridge, knn_regress, lasso, lasso_path, random_tree, tree,
@@ -241,6 +242,40 @@ def test_correlations_with_gaps(spark, n_cols):
             assert r["r"] == pytest.approx(want, abs=1e-7)
 
 
+def test_joint_search_with_trees_equals_refitting(data, spark):
+    """One trial of a stack and of a voter with a tree, against fitting everything anew."""
+    df, _ = data
+    xs = WIDE[:4]
+    makers = {"tree": lambda p: tree(int(p["max_depth"]))}
+    fixed = {"alpha_ridge": 2.0, "max_depth_tree": 3.0, "alpha_ridge_meta": 1.5, "voter1": 0.75, "voter2": 0.25}
+    trials = trial_table(spark, {n: ("uniform", v, v) for n, v in fixed.items()}, 1)
+    members = {"ridge": Linear("ridge", {"alpha": 2.0}), "tree": tree(3)}
+    stack = search_joint(df, xs, "y", "fold", trials, list(members), makers, "stack").first()["cv_rmse"]
+    voter = search_joint(df, xs, "y", "fold", trials, list(members), makers, "voter").first()["cv_rmse"]
+    stacked, voted = [], []
+    for f in range(5):
+        rest, part = df.filter(q("fold") != f), df.filter(q("fold") == f)
+        meta = Linear("ridge", {"alpha": 1.5}).fit(out_of_fold(rest, members, xs, "y", "fold"), list(members), "y")
+        for n, m in members.items():
+            part = m.fit(rest, xs, "y").predict(part, n)
+        blend = 0.75 * q("ridge") + 0.25 * q("tree")
+        got = meta.predict(part).agg(F.avg((q("y") - q("prediction")) ** 2), F.avg((q("y") - blend) ** 2)).first()
+        stacked.append(got[0])
+        voted.append(got[1])
+    assert stack == pytest.approx(np.sqrt(np.mean(stacked)), rel=1e-5) and voter == pytest.approx(np.sqrt(np.mean(voted)), rel=1e-5)
+    with pytest.raises(ValueError, match="forest"):
+        search_joint(df, xs, "y", "fold", trials, ["forest"], makers)
+
+
+def test_equal_settings_are_fitted_once(data, spark):
+    df, _ = data
+    asked = []
+    makers = {"tree": lambda p: asked.append(p) or tree(int(p["max_depth"]))}
+    space = {"max_depth_tree": ("quniform", 1, 2, 1), "alpha_ridge": ("uniform", 0.0, 9.0), "voter1": ("uniform", 0.0, 1.0)}
+    got = search_joint(df, WIDE[:2], "y", "fold", trial_table(spark, space, 12), ["ridge", "tree"], makers).toPandas()
+    assert len(got) == 12 and got["cv_rmse"].nunique() == 12 and {p["max_depth"] for p in asked} == {1.0, 2.0}
+
+
 # --- imputation ----------------------------------------------------------------------------------
 
 
