@@ -21,10 +21,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabkit.llm.wordsplit import WordFile, normalised, segments
+from tabkit.llm.wordsplit import WordFile, byte_letters, normalised, segments
 from tabkit.session import store
 
 CACHE_PIECES = 700_000
+#: Below it, word patterns read letters, digits and signs alike in every version of the character tables.
+PLAIN = "\u0250"
 SALTS = 64
 
 
@@ -42,7 +44,12 @@ class WordIds:
         self.library = Tokenizer.from_str(json.dumps(bare))
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
         self.separators = regex.compile("[\x1c-\x1f]")
+        self.tokenize = self.library.model.tokenize
+        self.letters = dict(enumerate(byte_letters()))
+        self.raw = [i.to_bytes(4, "little") for i in range(self.library.get_vocab_size())]
+        # two generations: what is asked for again outlives what came once
         self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def words(self, text: str) -> list[str]:
         """Stretches that white space parts; nothing that the file's pattern matches reaches over it."""
@@ -50,6 +57,25 @@ class WordIds:
             return self.pattern.findall(text)
         return text.split()
 
+    def piece(self, piece: str) -> bytes:
+        """Ids of one match of the file's pattern, by its merges alone."""
+        if not (piece.isascii() and piece.isprintable()):
+            piece = piece.encode().decode("latin-1").translate(self.letters)
+        return b"".join([self.raw[t.id] for t in self.tokenize(piece)])
+
+    def recall(self, words: set[str]) -> None:
+        """Bring words into the cache: from the older generation, else by the merges, else by the whole library."""
+        strange = []
+        for w in words:
+            known = self.older.get(w)
+            if known is None:
+                if max(w) >= PLAIN:
+                    strange.append(w)
+                    continue
+                known = self.piece(w) if w.isalpha() else b"".join([self.cache.get(p) or self.piece(p) for p in self.pattern.findall(w)])
+            self.cache[w] = known
+        self.learn(strange)
+
     def learn(self, words: list[str]) -> None:
         """One call for many words: blanks between them part them again, and offsets tell whose each token is."""
         for k in range(0, len(words), 20_000):
@@ -71,10 +97,10 @@ class WordIds:
                 words = self.words(normalised(segment))
                 new = set(words).difference(self.cache)
                 if new:
-                    if len(self.cache) + len(new) > CACHE_PIECES:
-                        self.cache.clear()
+                    if len(self.cache) + len(new) > CACHE_PIECES // 2:
+                        self.older, self.cache = self.cache, {}
                         new = set(words)
-                    self.learn(list(new))
+                    self.recall(new)
                 out.append(b"".join(map(self.cache.__getitem__, words)))
         return b"".join(out)
 
