@@ -204,11 +204,18 @@ def index_entries(
 
 
 def shared_entries(entries: DataFrame) -> DataFrame:
-    """``sig, node, n, low, low_n``: entries of more than one member with the least member of each salt."""
+    """``sig, node, n, low, low_n``: entries of more than one member with the least member of each salt.
+
+    Of entries that hold the same members one stays: texts that share much meet in many entries, and one of them brings every
+    pair. Entries dealt over salts stay all. A member that came twice did so in every entry of its, so sums over members tell sets apart.
+    """
     dealt = entries.repartition("sig", "salt")
-    ends = dealt.groupBy("sig", "salt").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("high"))
-    ends = ends.filter("least.node <> high OR salt >= 0").select(F.col("sig").alias("_sig"), F.col("salt").alias("_salt"), "least")
-    shared = dealt.join(ends.hint("shuffle_hash"), (F.col("sig") == F.col("_sig")) & (F.col("salt") == F.col("_salt")))
+    marks = [F.sum(F.shiftrightunsigned(F.xxhash64("node", F.lit(i)), 24)).alias(f"mark{i}") for i in (1, 2)]
+    ends = dealt.groupBy("sig", "salt").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("high"), F.count(F.lit(1)).alias("members"), *marks)
+    ends = ends.filter("least.node <> high OR salt >= 0")
+    one = ends.groupBy(F.when(F.col("salt") >= 0, F.col("sig")).alias("own"), "salt", "least", "high", "members", "mark1", "mark2").agg(F.min("sig").alias("_sig"))
+    one = one.select("_sig", F.col("salt").alias("_salt"), "least")
+    shared = dealt.join(one.hint("shuffle_hash"), (F.col("sig") == F.col("_sig")) & (F.col("salt") == F.col("_salt")))
     # a copy of a text in another task brings the same member again
     shared = shared.dropDuplicates(["sig", "salt", "node"])
     return shared.select("sig", "node", "n", F.col("least.node").alias("low"), F.col("least.n").alias("low_n"))

@@ -11,9 +11,10 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pytest
 
-from tabkit.llm import dom, extract, layouts, lexical, periodic
+from tabkit.llm import dom, extract, layouts, lexical, ngramjoin, packing, periodic
 from tabkit.llm.queries import QUERIES
 from tests.llm.support import documents, odd_documents, words
 
@@ -23,6 +24,37 @@ def odd(spark):
     return odd_documents(spark).cache()
 
 
+# n-gram join: entries of equal members
+
+def test_entries_of_equal_members_are_one(spark):
+    members = {1: [5, 6, 7], 2: [5, 6, 7], 3: [5, 6], 4: [5, 6, 7], 5: [9]}
+    rows = [(s, -1, m, 10) for s, ms in members.items() for m in ms]
+    rows += [(s, -1, 6, 10) for s, ms in members.items() if 6 in ms]  # a copy of 6 in another task
+    rows += [(s, salt, m, 10) for s in (8, 9) for salt, m in ((0, 5), (1, 6), (1, 7))]  # dealt over salts
+    got = ngramjoin.shared_entries(spark.createDataFrame(rows, "sig bigint, salt int, node bigint, n int")).collect()
+    held = {}
+    for r in got:
+        held.setdefault(r.sig, []).append((r.node, r.low))
+    assert {s: sorted(x) for s, x in held.items()} == {
+        1: [(5, 5), (6, 5), (7, 5)], 3: [(5, 5), (6, 5)], 8: [(5, 5), (6, 6), (7, 6)], 9: [(5, 5), (6, 6), (7, 6)]}
+
+
+# packing: ids by merges and by the library
+
+def test_packing_ids_of_random_texts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    rng = random.Random(1)
+    letters = "abcdehilnorst' !?.,0129éßΣİ中ªº²¼ÀÿŁ\U0001F600#*\n\x1c\x85\xa0\u0301\u01c4"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(300))) for _ in range(1000)] + ["don't 'tis ''s 're x's", "ab " * 300_000]
+    monkeypatch.setattr(packing, "CACHE_PIECES", 2000)  # both generations are in use
+    ids = packing.WordIds(path)
+    for t in texts:
+        assert np.frombuffer(ids.encode(t), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids
+
+
 # periodic runs
 
 def runs_by_hand(w):
