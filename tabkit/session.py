@@ -6,7 +6,10 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
+from threading import Lock
 from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,6 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_WRITING: WeakKeyDictionary[SparkSession, list] = WeakKeyDictionary()
+_LOCK = Lock()
 #: Row and byte counts that were observed while a table was settled.
 _SEEN: WeakKeyDictionary[DataFrame, dict] = WeakKeyDictionary()
 
@@ -86,13 +92,35 @@ def sized_like(df: DataFrame, settled: DataFrame) -> DataFrame:
     return df
 
 
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Inside, a query's shuffle files go as soon as it ends; the session's own setting is back once no thread is inside."""
+    with _LOCK:
+        held = _WRITING.setdefault(spark, [0, None])
+        if not held[0]:
+            held[1] = spark.conf.get(_CLEANUP, None)
+            spark.conf.set(_CLEANUP, "true")
+        held[0] += 1
+    try:
+        yield
+    finally:
+        with _LOCK:
+            held[0] -= 1
+            if not held[0]:
+                if held[1] is None:
+                    spark.conf.unset(_CLEANUP)
+                else:
+                    spark.conf.set(_CLEANUP, held[1])
+
+
 def store(df: DataFrame) -> DataFrame:
     """Write a large table once, as columns, into the shared folder and read it back.
 
-    Like ``settle`` for tables read several times by few of their columns.
+    Like ``settle`` for tables read several times by few of their columns. The shuffle files of the write are let go of.
     """
     path = f"{checkpoint_dir(df.sparkSession)}/stored-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
