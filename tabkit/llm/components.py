@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabkit.session import store
+from tabkit.session import discard, store
 
 
 def _stars(links: DataFrame, large: bool) -> DataFrame:
@@ -36,7 +36,8 @@ def components(links: DataFrame) -> DataFrame:
     marks = lambda t: tuple(t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
     mark = marks(now)
     while True:
-        now = store(_stars(_stars(now, large=True), large=False))
+        before, now = now, store(_stars(_stars(now, large=True), large=False))
+        discard(before)
         seen = marks(now)
         if mark == seen:
             return now.select(F.col("a").alias("node"), F.col("b").alias("label"))

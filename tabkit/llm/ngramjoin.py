@@ -12,21 +12,20 @@ its members, until every two are either in one class or compared. Candidates are
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tabkit.llm.components import components
 from tabkit.llm.shingles import MUL, mixed, shingle_sets
 from tabkit.llm.rows import packed, unpacked
-from tabkit.session import fits_broadcast, store
+from tabkit.session import discard, fits_broadcast, store
 
 SKETCH_BITS = 19
 BLOCK_BITS = 12
@@ -52,12 +51,6 @@ def bit_map(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _tidy(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished steps: Spark removes them once the driver's garbage is collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def profile(documents: DataFrame, size: int) -> DataFrame:
     """Per document ``id, digest, n, h1, h2`` and its bit map; per task also blocks of its counts of hashed shingles, one set counted once."""
     kind = documents.schema["id"].dataType.simpleString()
@@ -209,7 +202,8 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     Of entries that hold the same members one stays: texts that share much meet in many entries, and one of them brings every
     pair. Entries dealt over salts stay all. A member that came twice did so in every entry of its, so sums over members tell sets apart.
     """
-    dealt = entries.repartition("sig", "salt")
+    # the join asks for this filter: stated here, both its uses of the dealt entries are one shuffle
+    dealt = entries.filter("sig IS NOT NULL AND salt IS NOT NULL").repartition("sig", "salt")
     marks = [F.sum(F.shiftrightunsigned(F.xxhash64("node", F.lit(i)), 24)).alias(f"mark{i}") for i in (1, 2)]
     ends = dealt.groupBy("sig", "salt").agg(F.min(F.struct("node", "n")).alias("least"), F.max("node").alias("high"), F.count(F.lit(1)).alias("members"), *marks)
     ends = ends.filter("least.node <> high OR salt >= 0")
@@ -221,11 +215,18 @@ def shared_entries(entries: DataFrame) -> DataFrame:
     return shared.select("sig", "node", "n", F.col("least.node").alias("low"), F.col("least.n").alias("low_n"))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the similarity."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("_ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("_tb"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "_ta", "_tb")
+def verified(candidates: DataFrame, docs: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose sets reach the similarity, stored.
+
+    Only texts of nodes in the pairs are fetched: those of ``b`` for each pair, straight to where ``a`` is.
+    """
+    pairs = store(candidates)
+    row = [F.col("row.id").alias("_id"), F.col("row.digest").alias("_digest")]
+    asked = store(pairs.join(nodes, F.col("b") == F.col("node")).select("a", "b", *row))
+    heads = store(nodes.join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi").select("node", *row))
+    right = texts_of(docs, asked).select("a", "b", F.col("text").alias("_tb"))
+    left = texts_of(docs, heads).select(F.col("node").alias("_a"), F.col("text").alias("_ta")).dropDuplicates(["_a"])
+    both = right.join(left, F.col("a") == F.col("_a")).select("a", "b", "_ta", "_tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None
@@ -241,7 +242,9 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
                     keep.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), batch.column(1).take(pa.array(keep, pa.int64()))], ["a", "b"])
 
-    return both.mapInArrow(run, "a bigint, b bigint")
+    links = store(both.mapInArrow(run, "a bigint, b bigint"))
+    discard(pairs, asked, heads)
+    return links
 
 
 def _sized(pairs: DataFrame, percent: int) -> DataFrame:
@@ -307,12 +310,12 @@ def link_documents(
     second = frozenset(r[0] for r in clash.collect())
     marks = rows.withColumn("node", F.when(F.col("h1").isin(list(second)), F.col("h2")).otherwise(F.col("h1")) if second else F.col("h1"))
     worded = marks.filter("n > 0")
-    nodes = store(worded.groupBy("node", "n").agg(F.min("id").alias("least"), *[F.min(w).alias(w) for w in MAP]))
+    nodes = store(worded.groupBy("node", "n").agg(
+        F.min("id").alias("least"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("row"), *[F.min(w).alias(w) for w in MAP]))
     counts = add_up(seen.filter("block IS NOT NULL").select("block", "counts"))
     bound = int(2 * counts.mean() + 6 * math.sqrt(counts.mean()) + 8) if rare is None else rare
     entries = store(shared_entries(index_entries(docs, counts, bound, percent, size, second, hot)))
-    _tidy(documents.sparkSession)
-    labels = _classes(docs, entries, nodes, second, size, percent, rounds)
+    labels = _classes(docs, entries, nodes, size, percent, rounds)
     known = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = known.groupBy("label").agg(F.min("least").alias("component_id"))
     named = known.join(least, "label").select(F.col("node").alias("_node"), "component_id", F.col("label").alias("class_label"))
@@ -322,7 +325,7 @@ def link_documents(
 
 
 def _classes(
-    docs: DataFrame, entries: DataFrame, nodes: DataFrame, second: frozenset[int], size: int, percent: int, rounds: int
+    docs: DataFrame, entries: DataFrame, nodes: DataFrame, size: int, percent: int, rounds: int
 ) -> DataFrame:
     """``node, label`` of the linked nodes."""
     # the least members of an entry's salts are an entry among themselves
@@ -330,24 +333,23 @@ def _classes(
     least = heads.groupBy(F.col("sig").alias("_sig")).agg(F.min(F.struct("node", "n")).alias("l"), F.max("node").alias("z")).filter("l.node <> z")
     of_heads = heads.join(least, F.col("sig") == F.col("_sig")).select("l.node", "l.n", "node", "n")
     first = entries.select("low", "low_n", "node", "n").union(of_heads).toDF("a", "na", "b", "nb").filter("a <> b")
-    texts = store(texts_of(docs, nodes, entries, second, size))
-    _tidy(docs.sparkSession)
     mapped = _sized(first, percent).join(_maps(nodes, "b"), "b")
     right = _maps(nodes, "a").withColumnRenamed("a", "_a")
     candidates = mapped.join(right, (F.col("a") == F.col("_a")) & _may_link(percent)).select("a", "b")
-    links = store(verified(candidates, texts, size, percent))
-    _tidy(docs.sparkSession)
+    links = verified(candidates, docs, nodes, size, percent)
     labels = components(links)
+    discard(links)
     low, high = 0.0, 1.0 * rounds
-    open_ = entries
+    open_ = kept = entries
     while True:
         # entries whose members are not all in one class
         classed = open_.select("sig", "node", "n").join(labels, "node", "left").select("sig", "node", "n", F.coalesce("label", "node").alias("label"))
         mixed_up = classed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("m")).filter("l <> h")
         mixed_up = classed.join(mixed_up.select(F.col("sig").alias("_sig"), "m"), F.col("sig") == F.col("_sig"))
         mixed_up = mixed_up.join(nodes.select(F.col("node").alias("_node"), *MAP), F.col("node") == F.col("_node"))
-        open_ = store(mixed_up.select("sig", "node", "n", "label", "m", *MAP))
-        _tidy(docs.sparkSession)
+        before, open_ = kept, store(mixed_up.select("sig", "node", "n", "label", "m", *MAP))
+        kept = open_
+        discard(before)
         share = (F.col("node").cast("double") + float(2**63)) / float(2**64) * F.col("m")
         most = open_.agg(F.max("m")).first()[0]
         if most is None:
@@ -361,27 +363,19 @@ def _classes(
         # sizes and maps are part of the join, so that pairs out of question are never rows
         room = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(percent)
         pairs = left.join(right, (F.col("sig") == F.col("_sig")) & room).select("a", "b").distinct()
-        more = store(verified(pairs, texts, size, percent))
-        _tidy(docs.sparkSession)
+        more = verified(pairs, docs, nodes, size, percent)
         if not more.isEmpty():
             # the classes so far are stars already, so only what the new links join has to move
             labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
+        discard(more)
         if high >= most:
+            discard(kept)
             return labels
         open_ = open_.filter(F.col("m") > high)
         low, high = high, high * max(2, rounds)
 
 
-def texts_of(docs: DataFrame, nodes: DataFrame, entries: DataFrame, second: frozenset[int], size: int) -> DataFrame:
-    """``node, text`` of the nodes in any entry, from the row of least id."""
-    asked = nodes.join(entries.select("node").distinct(), "node", "left_semi").select(F.col("least").alias("_id"), F.col("node").alias("_node"))
-    found = docs.join(asked, F.col("id").eqNullSafe(F.col("_id"))).select("_node", "text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # an id that several rows have may bring another row's text
-        for batch in batches:
-            marks = [fingerprint(s) for s in shingle_sets((x.as_py() for x in batch.column(1)), size)]
-            keep = [i for i, (n, (a, b)) in enumerate(zip(batch.column(0).to_pylist(), marks)) if n == (b if a in second else a)]
-            yield pa.RecordBatch.from_arrays([c.take(pa.array(keep, pa.int64())) for c in batch.columns], ["node", "text"])
-
-    return found.mapInArrow(run, "node bigint, text string").dropDuplicates(["node"])
+def texts_of(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """``asked`` with the ``text`` of the rows of id ``_id`` and text digest ``_digest``; a repeated row brings it again."""
+    asked = F.broadcast(asked) if fits_broadcast(asked) else asked
+    return docs.join(asked, F.col("id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_digest")))
