@@ -12,6 +12,8 @@ from tabkit.operators.ensemble import FittedStack, FittedVoter
 from tabkit.operators.regress import FittedKernel, FittedML, KernelRobust, LinearFit
 
 KEPT = "top boolean, kind string, name string, features array<string>, intercept double, coef array<double>"
+LOG_KEY = ("dataset", "model", "trial_id")
+LOG_SCHEMA = "dataset string, model string, trial_id bigint, params map<string,double>, cv_rmse double"
 
 
 def save_models(spark: SparkSession, models: Mapping[str, object], folder: str) -> None:
@@ -71,12 +73,19 @@ def load_models(spark: SparkSession, folder: str) -> dict[str, object]:
 
 
 def append_trials(scored: DataFrame, path: str, dataset: str, model: str) -> None:
-    """Add scored trials to the log of a search."""
-    scored.select(
-        F.lit(dataset).alias("dataset"), F.lit(model).alias("model"), "trial_id", "params", "cv_rmse"
-    ).write.mode("append").parquet(path)
+    """Add scored trials to the log of a search; a trial that is in the log already is replaced.
+
+    The log is partitioned by ``(dataset, model, trial_id)`` and only the partitions written are overwritten, at the commit of the
+    write: a repeated append changes nothing, and one that is interrupted leaves the log as it was.
+    """
+    rows = scored.select(F.lit(dataset).alias("dataset"), F.lit(model).alias("model"), F.col("trial_id").cast("bigint"), "params", "cv_rmse")
+    rows.repartition("trial_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LOG_KEY).parquet(path)
 
 
 def read_trials(spark: SparkSession, path: str, dataset: str, model: str) -> DataFrame:
-    """Logged trials of one search."""
-    return spark.read.parquet(path).filter((F.col("dataset") == dataset) & (F.col("model") == model))
+    """Logged trials of one search; only its folders are read. A log that was never written has none."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return spark.createDataFrame([], LOG_SCHEMA)
+    log = spark.read.schema(LOG_SCHEMA).parquet(path)
+    return log.filter((F.col("dataset") == dataset) & (F.col("model") == model)).select("dataset", "model", "trial_id", "params", "cv_rmse")

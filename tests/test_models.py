@@ -160,6 +160,31 @@ def test_search_resume_and_narrow(data, spark, tmp_path):
     assert log.agg(F.min("cv_rmse")).first()[0] == pytest.approx(held_out_rmse(grams, lambda g: fit_ridge(g, best)))
 
 
+def test_a_repeated_append_counts_once(spark, tmp_path):
+    log = str(tmp_path / "log")
+    scored = trial_table(spark, {"alpha": ("uniform", 0.0, 1.0)}, 6).withColumn("cv_rmse", F.col("trial_id") * 1.0)
+    assert read_trials(spark, log, "d", "ridge").count() == 0
+    append_trials(scored.filter("trial_id <= 4"), log, "d", "ridge")
+    append_trials(scored.filter("trial_id >= 3").withColumn("cv_rmse", F.lit(9.0)), log, "d", "ridge")
+    append_trials(scored, log, "7", "ridge")
+    append_trials(scored.filter("false"), log, "d", "ridge")
+    got = {r["trial_id"]: r["cv_rmse"] for r in read_trials(spark, log, "d", "ridge").collect()}
+    assert got == {1: 1.0, 2: 2.0, 3: 9.0, 4: 9.0, 5: 9.0, 6: 9.0} and read_trials(spark, log, "d", "ridge").count() == 6
+    assert read_trials(spark, log, "7", "ridge").count() == 6 and read_trials(spark, log, "7", "pls").count() == 0
+
+
+def test_an_interrupted_append_leaves_the_log(spark, tmp_path):
+    log = str(tmp_path / "log")
+    scored = trial_table(spark, {"alpha": ("uniform", 0.0, 1.0)}, 6).withColumn("cv_rmse", F.lit(1.0))
+    append_trials(scored.filter("trial_id <= 2"), log, "d", "ridge")
+    broken = scored.withColumn("cv_rmse", F.when(F.col("trial_id") == 5, F.raise_error(F.lit("lost"))).otherwise(2.0))
+    with pytest.raises(Exception, match="lost"):
+        append_trials(broken, log, "d", "ridge")
+    logged = read_trials(spark, log, "d", "ridge")
+    assert {r["trial_id"]: r["cv_rmse"] for r in logged.collect()} == {1: 1.0, 2: 1.0}
+    assert sorted(r["trial_id"] for r in resume_trials(logged, scored).collect()) == [3, 4, 5, 6]
+
+
 def test_joint_stack_search_equals_refitting(data, spark):
     df, _ = data
     grams = gram_by_fold(df, WIDE, "y", fold=q("fold"))
