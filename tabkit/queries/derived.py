@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import q
@@ -18,8 +20,9 @@ from tabkit.operators.reshape import append, attach_columns, melt, pivot_results
 from tabkit.operators.rows import drop_columns
 from tabkit.plans.variants import build_variants
 from tabkit.queries.obs import QUANTS_FOR_WEIGHTS, obs, with_obs
-from tabkit.queries.registry import query, rnd, rounded, table
+from tabkit.queries.registry import query, rnd, rounded, table, work_folder
 from tabkit.session import settle, store
+from tabkit.sources.bucketed import correct_bucketed, join_bucketed, write_bucketed
 
 # The level merges used by the queries; the last rule of each matches nothing.
 MERGES = {
@@ -145,6 +148,31 @@ def g1(spark, sf):
     return attach_columns(df.drop("qty"), flag_nonzero(df, "has_qty", "qty"), ["has_qty"], ["split", "id"]).select("id", "split", "n_lines", "has_qty")
 
 
+def _bucketed(df, key, buckets=8):
+    """``df`` as a bucketed table under a name of its own in the shared folder."""
+    name = f"t_{uuid.uuid4().hex}"
+    write_bucketed(df, name, key, buckets, work_folder(df.sparkSession))
+    return name
+
+
+@query("g1_bucketed_join", """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, l.n_lines, l.qty FROM orders
+ LEFT JOIN (SELECT l_orderkey, count(*) AS n_lines, round(sum(l_quantity),2) AS qty FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey""")
+def g1_bucketed(spark, sf):
+    orders = table(spark, sf, "orders").drop("o_orderdate")
+    lines = table(spark, sf, "lineitem").groupBy(q("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("n_lines"), rnd(F.sum("l_quantity"), 2).alias("qty"))
+    a, b = _bucketed(orders, ["o_orderkey"]), _bucketed(lines, ["o_orderkey"])
+    return join_bucketed(spark, {a: None, b: ["n_lines", "qty"]}, ["o_orderkey"])
+
+
+@query("b6_bucketed_corrections", """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag='R') THEN NULL
+ ELSE o_totalprice END AS o_totalprice FROM orders""")
+def b6_bucketed(spark, sf):
+    name = _bucketed(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), ["o_orderkey"])
+    returned = table(spark, sf, "lineitem").filter("l_returnflag = 'R'").select(q("l_orderkey").alias("o_orderkey")).distinct()
+    return correct_bucketed(spark, name, returned.withColumn("new", F.lit(None).cast("double")), ["o_orderkey"], "o_totalprice", "new")
+
+
 @query("g2_side_by_side", with_obs("""
 , a AS (SELECT n_lines AS k, count(*) AS n, round(avg(price),4) AS mean FROM obs WHERE split='train' AND n_ret>1 GROUP BY 1)
 , b AS (SELECT n_lines AS k, count(*) AS n, round(avg(qty),4) AS mean FROM obs WHERE split='test' AND n_ret<2 GROUP BY 1)

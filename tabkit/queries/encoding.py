@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import q
@@ -16,6 +18,7 @@ from tabkit.operators.moments import gram_by_fold
 from tabkit.operators.regress import fit_ridge
 from tabkit.operators.impute import match_donors
 from tabkit.operators.roles import Roles
+from tabkit.operators.sparse import sparse_model_matrix, sparse_one_hot
 from tabkit.queries.obs import KEY, PRIORITY, obs, with_obs
 from tabkit.queries.registry import query, rnd, rounded, table
 from tabkit.session import store
@@ -185,6 +188,16 @@ def e8(spark, sf):
     return one_hot(obs(spark, sf, ("id", "status", "priority")), ["status", "priority"])
 
 
+@query("e8_sparse_one_hot", """WITH l AS (SELECT 'o_custkey' AS "column", o_custkey AS k, CAST(o_custkey AS VARCHAR) AS value, count(*) AS total FROM orders WHERE o_custkey IS NOT NULL GROUP BY 2
+ UNION ALL SELECT 'o_orderpriority', NULL, o_orderpriority, count(*) FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 3)
+SELECT row_number() OVER (ORDER BY "column", k, value) - 1 AS slot, "column", value, CAST(total AS DOUBLE) AS total FROM l""")
+def e8_sparse(spark, sf):
+    """Flags of every customer and priority, summed over all orders: one vector as wide as the levels."""
+    made, names = sparse_one_hot(table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"), ["o_custkey", "o_orderpriority"])
+    sums = made.agg(Summarizer.sum(q("features")).alias("s")).select(F.posexplode(vector_to_array("s")).alias("slot", "total"))
+    return sums.select(q("slot").cast("bigint").alias("slot"), "total").join(names, "slot").select("slot", "column", "value", "total")
+
+
 @query("e9_min_max_scale", with_obs("""
 , r AS (SELECT min(acctbal) a0, max(acctbal) a1, min(qty) q0, max(qty) q1 FROM obs)
 SELECT id, round((acctbal-a0)/(a1-a0),8) AS acctbal, round((qty-q0)/(q1-q0),8) AS qty, CAST(0 AS DOUBLE) AS const FROM obs, r"""))
@@ -222,6 +235,18 @@ def e12(spark, sf):
     return rounded(made, ["acctbal", "n_lines"], 8)
 
 
+@query("e12_sparse_model_matrix", with_obs(f"""
+, r AS (SELECT max(abs(acctbal)) a, max(abs(n_lines))::DOUBLE n FROM obs)
+SELECT split, id, {', '.join(f"CAST(CASE WHEN status='{v}' THEN 1 ELSE 0 END AS DOUBLE) AS status_{v}" for v in ('F', 'O', 'P'))},
+ round(acctbal/a,8) AS acctbal, round(n_lines/n,8) AS n_lines, price FROM obs, r"""))
+def e12_sparse(spark, sf):
+    df = obs(spark, sf, ("split", "id", "status", "n_lines", "acctbal", "price"))
+    made, _ = sparse_model_matrix(df, Roles(cat=("status",), ord=("n_lines",), quant=("acctbal", "price"), response="price", key=KEY), "price")
+    x = vector_to_array("features")
+    names = ["n_lines", "acctbal", "status_F", "status_O", "status_P"]
+    return made.select("split", "id", *[F.round(F.when(~F.isnan(x[i]), x[i]), 8).alias(n) for i, n in enumerate(names)], "price")
+
+
 @query("e4_apply_fill", with_obs("SELECT id, coalesce(priority,'none') AS priority, coalesce(qty,0) AS qty FROM obs"))
 def e4_fill(spark, sf):
     return apply_fill(obs(spark, sf, ("id", "priority", "qty")), {"priority": "none", "qty": 0.0})

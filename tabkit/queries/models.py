@@ -25,8 +25,9 @@ from tabkit.operators.search import (
 )
 from tabkit.plans.modelling import fit_all
 from tabkit.queries.obs import FEATURES, MODEL_SQL, model_obs, obs, with_obs
-from tabkit.queries.registry import query, rnd, rounded, table
+from tabkit.queries.registry import query, rnd, rounded, table, work_folder
 from tabkit.session import settle, store
+from tabkit.sources.store import append_trials, read_trials
 
 
 def model_sql(body: str) -> str:
@@ -382,6 +383,17 @@ def j4(spark, sf):
     return resume_trials(log, trials)
 
 
+@query("j4_repeated_append", "SELECT CAST(c_nationkey AS BIGINT) AS trial_id, round(avg(c_acctbal),6) AS cv_rmse FROM customer GROUP BY 1")
+def j4_log(spark, sf):
+    """The score of a nation is a mean over its customers; some were logged before, with another score, and are logged again."""
+    scored = table(spark, sf, "customer").groupBy(q("c_nationkey").cast("bigint").alias("trial_id")).agg(rnd(F.avg("c_acctbal")).alias("cv_rmse"))
+    scored = scored.withColumn("params", F.create_map(F.lit("nation"), q("trial_id").cast("double")))
+    path = work_folder(spark)
+    append_trials(scored.filter("trial_id % 3 = 0").withColumn("cv_rmse", F.lit(0.0)), path, "customer", "mean")
+    append_trials(scored, path, "customer", "mean")
+    return read_trials(spark, path, "customer", "mean").select("trial_id", "cv_rmse")
+
+
 @query("j5_split_params", """WITH p AS (SELECT o_orderkey AS trial, CASE o_orderkey%5 WHEN 0 THEN 'alpha_ridge' WHEN 1 THEN 'gamma_svr' WHEN 2 THEN 'max_depth_xgb_meta' WHEN 3 THEN 'voter1' ELSE 'alpha_ridge_meta' END AS name, o_totalprice AS value FROM orders)
  SELECT trial, CASE WHEN name LIKE '%\\_meta' ESCAPE '\\' THEN 'meta' ELSE 'base' END AS level,
   CASE WHEN name LIKE 'voter%' THEN 'weights' WHEN name LIKE '%ridge%' THEN 'ridge' WHEN name LIKE '%svr%' THEN 'svr' ELSE 'xgb' END AS member,

@@ -15,7 +15,10 @@ from tabkit.operators.impute import impute_few
 from tabkit.operators.ordering import column_modes, column_quantiles, ordered_prefix, quantiles
 from tabkit.operators.ranking import rank_datasets_within_model, rank_models_within_dataset
 from tabkit.operators.evaluate import cv_rmse
+from tabkit.operators.reshape import attach_columns
+from tabkit.operators.sparse import fit_sparse, sparse_model_matrix, sparse_one_hot
 from tabkit.operators.search import normalise_weights
+from tabkit.sources.bucketed import bucket_count, correct_bucketed, join_bucketed, layout, write_bucketed
 from tabkit.sources.dictionary import describe_columns, parse_dictionary, undocumented_levels
 from tabkit.sources.tables import read_csv, read_splits, read_typed_csv, read_typed_file, write_typed_csv
 
@@ -314,3 +317,74 @@ def test_customer_texts_stay_short_in_a_hot_nation(spark, tmp_path):
     assert len({t.path for t in texts}) == len(texts) == 20 and max(t.value.count("\tc") for t in texts) < 100
     got = parse_dictionary(customer_texts(spark, str(tmp_path), 50)).collect()
     assert sorted((r["var"], r["description"], int(r["code"]), r["label"]) for r in got) == [("X", "customers of X", i, f"c{i}") for i in range(1, 1001)]
+
+
+def test_sparse_flags_equal_the_wide_form(edge):
+    """Nulls and levels that the fit did not see have no flag; the text ``None`` is a level."""
+    wide = encode.one_hot(edge.select("id", "cat", "ord"), ["cat", "ord"])
+    made, names = sparse_one_hot(edge.select("id", "cat", "ord"), ["cat", "ord"])
+    order = [f"{r['column']}_{r['value']}" for r in names.orderBy("slot").collect()]
+    assert order == [c for c in wide.columns if c != "id"]
+    expected = {r["id"]: [r[c] for c in order] for r in wide.collect()}
+    assert {r["id"]: list(r["features"].toArray()) for r in made.collect()} == expected
+    train = fit_sparse(edge.filter("split = 'train'"), ["cat"])
+    assert [r["features"].numNonzeros() for r in train.apply(edge.select("id", "cat")).orderBy("id").collect()] == [1, 1, 1, 1, 0, 0]
+
+
+def test_sparse_matrix_keeps_zeros(edge):
+    some = roles.Roles(cat=("cat",), quant=("q1", "q2", "const", "allnull"), response="y", key=("id",))
+    made, names = sparse_model_matrix(edge, some, "y")
+    at = {r["column"]: r["slot"] for r in names.filter("value is null").collect()}
+    rows_ = {r["id"]: r["features"] for r in made.collect()}
+    assert made.columns == ["id", "features", "y"] and rows_[1].size == 4 + 3
+    assert rows_[1][at["q1"]] == 0.0 and rows_[6][at["q1"]] == 1.0 and rows_[4][at["q1"]] == pytest.approx(-1 / 3.5)
+    assert rows_[2][at["const"]] == 1.0 and math.isnan(rows_[5][at["q1"]]) and math.isnan(rows_[1][at["allnull"]])
+    assert fit_sparse(edge, [], ["q1"]).apply(edge.select("id", "q1")).count() == 6
+    nothing = fit_sparse(edge.filter("false"), ["cat"], ["q2"])
+    assert nothing.width == 1 and nothing.apply(edge.select("id", "cat", "q2")).count() == 6
+
+
+def test_sparse_flags_of_many_levels(spark):
+    """50,000 levels: the plan has a handful of columns, each row two flags."""
+    df = spark.range(60000).selectExpr("id", "concat('v', id % 50000) AS a", "id % 7 AS `b.c`", "id AS column")
+    made, names = sparse_one_hot(df, ["a", "b.c"])
+    assert names.count() == 50007 and made.columns == ["id", "column", "features"]
+    got = made.filter("id = 50003").first()["features"]
+    assert got.size == 50007 and len(got.indices) == 2
+    named = {r["slot"]: (r["column"], r["value"]) for r in names.filter(F.col("slot").isin([int(i) for i in got.indices])).collect()}
+    assert sorted(named.values()) == [("a", "v3"), ("b.c", str(50003 % 7))]
+    assert made.count() == 60000
+
+
+@pytest.fixture()
+def bucketed(edge, spark, tmp_path):
+    names = ["bucketed_rows", "bucketed_more", "bucketed_other"]
+    write_bucketed(edge, names[0], ["split", "id"], 4, str(tmp_path / "a"))
+    write_bucketed(edge.filter("id <> 3").withColumn("twice", q("q1") * 2), names[1], ["split", "id"], 4, str(tmp_path / "b"))
+    write_bucketed(edge, names[2], ["id"], 4, str(tmp_path / "c"))
+    yield names
+    for n in names:
+        spark.sql(f"DROP TABLE {n}")
+
+
+def test_bucketed_join_has_no_exchange(bucketed, edge, spark):
+    rows_, more, other = bucketed
+    joined = join_bucketed(spark, {rows_: None, more: ["twice"]}, ["split", "id"])
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    expected = attach_columns(edge, edge.filter("id <> 3").withColumn("twice", q("q1") * 2), ["twice"], ["split", "id"])
+    assert sorted(map(str, joined.select(expected.columns).collect())) == sorted(map(str, expected.collect()))
+    assert layout(spark, rows_) == (4, ("split", "id"))
+    with pytest.raises(ValueError, match="laid out"):
+        join_bucketed(spark, {rows_: None, other: None}, ["split", "id"])
+    with pytest.raises(ValueError, match="bucketed by"):
+        join_bucketed(spark, {other: None, rows_: None}, ["split", "id"])
+
+
+def test_bucketed_corrections(bucketed, spark):
+    fixes = spark.createDataFrame([("train", 1, 7.0), ("test", 6, None), ("test", 1, 8.0)], "split string, id bigint, new double")
+    got = {r["id"]: r["q1"] for r in correct_bucketed(spark, bucketed[0], fixes, ["split", "id"], "q1", "new").collect()}
+    assert got == {1: 7.0, 2: 0.5, 3: 2.5, 4: -1.0, 5: None, 6: None}
+
+
+def test_bucket_counts():
+    assert [bucket_count(b, 100) for b in (0, 100, 101, 450)] == [1, 1, 2, 8]
