@@ -16,7 +16,8 @@ from pyspark.util import inheritable_thread_target
 from tabkit.functions.expr import HASH_MULTIPLIERS, hash_uniform, q
 from tabkit.operators.moments import Moments, held_out_rmse, pooled, rest_by_fold, squared_error
 from tabkit.operators.regress import LINEAR_FITS, fit_ridge
-from tabkit.session import settle, sized_join
+from tabkit.operators.robust import RobustKernel, fit_robust
+from tabkit.session import discard, settle, sized_join, store
 
 Space = Mapping[str, tuple]
 
@@ -103,6 +104,32 @@ def evaluate_ml_trials(
     return spark.createDataFrame([(t["trial_id"], t["params"], of[tuple(sorted(t["params"].items()))]) for t in asked], TRIAL_SCHEMA)
 
 
+def kernel_of(params: Mapping[str, float], width: int = 64, seed: int = 27) -> RobustKernel:
+    """The robust kernel model of a trial's ``gamma, C, epsilon``."""
+    return RobustKernel(params["gamma"], params["C"], params["epsilon"], width, seed)
+
+
+def evaluate_kernel_trials(
+    df: DataFrame, features: Sequence[str], label: str, fold: str, trials: DataFrame, folds: int, width: int = 64, seed: int = 27
+) -> DataFrame:
+    """Held-out error of the robust kernel model for every trial: all trials and folds share each scan of the rows.
+
+    Trials of one setting are fitted once. A fold without rows does not count.
+    """
+    asked = trials.orderBy("trial_id").collect()
+    specs = [kernel_of(t["params"], width, seed) for t in asked]
+    distinct = list(dict.fromkeys(specs))
+    rows = store(df.select(*[q(f).cast("double").alias(f) for f in features], q(label).cast("double").alias(label), q(fold).cast("int").alias(fold)).na.drop())
+    fits = fit_robust(rows, features, label, distinct, q(fold), range(folds))
+    discard(rows)
+    errors: dict[int, list[float]] = {}
+    for (i, _), fit in fits.items():
+        if fit.error is not None:
+            errors.setdefault(i, []).append(fit.error)
+    found = {s: float(np.sqrt(np.mean(errors[i]))) if i in errors else None for i, s in enumerate(distinct)}
+    return df.sparkSession.createDataFrame([(t["trial_id"], t["params"], found[s]) for t, s in zip(asked, specs)], TRIAL_SCHEMA)
+
+
 def best_trial(trials: DataFrame, integers: Sequence[str] = ()) -> DataFrame:
     """Parameters of least error as rows ``(trial_id, cv_rmse, name, value)``, integer ones truncated."""
     best = trials.agg(F.min_by(F.struct("trial_id", "cv_rmse", "params"), F.struct("cv_rmse", "trial_id")).alias("_b"))

@@ -11,9 +11,11 @@ from tabkit.functions.expr import q
 from tabkit.operators.evaluate import predictions
 from tabkit.operators.moments import gram_by_fold, pooled, rest_by_fold
 from tabkit.operators.ranking import best_models
-from tabkit.operators.regress import Linear
-from tabkit.operators.search import best_params, evaluate_trials, resume_trials, trial_table
-from tabkit.session import settle
+from tabkit.operators.regress import Linear, boosted_trees
+from tabkit.operators.search import (
+    best_params, evaluate_kernel_trials, evaluate_ml_trials, evaluate_trials, kernel_of, resume_trials, trial_table,
+)
+from tabkit.session import discard, settle, store
 from tabkit.sources.store import append_trials, read_trials
 from tabkit.sources.tables import write_predictions
 
@@ -87,6 +89,47 @@ def tune_linear(
     return scores, fitted
 
 
+def _score_trees(df, features, label, fold, folds, todo):
+    return evaluate_ml_trials(df, features, label, fold, todo, lambda p: boosted_trees(**p).estimator, folds)
+
+
+def _score_kernel(df, features, label, fold, folds, todo):
+    return evaluate_kernel_trials(df, features, label, fold, todo, folds)
+
+
+#: Kinds of model that are not linear: how their trials are scored, and the model of the best parameters.
+SEARCHED = {"svr": (_score_kernel, kernel_of), "xgb": (_score_trees, lambda p: boosted_trees(**p))}
+
+
+def tune_models(
+    variants: Variants, spaces: Mapping[str, Mapping], label: str, fold: str, folds: int, trials: int = 50,
+    integers: Sequence[str] = ("max_depth", "min_child_weight", "n_estimators"), log: str | None = None, resume: bool = False,
+) -> tuple[DataFrame, dict[tuple[str, str], object]]:
+    """``tune_linear`` for the kernel model (``svr``) and boosted trees (``xgb``): scored trials and the best model refitted on all rows.
+
+    Kernel trials and folds share their scans; tree trials are fitted side by side. With a ``log`` folder the scores are kept there, and
+    with ``resume`` only trials not in it are scored. Rows without a label take no part.
+    """
+    scores, fitted = None, {}
+    for name, (df, features) in variants.items():
+        spark = df.sparkSession
+        rows = store(df.filter(q(label).isNotNull()).select(*[q(c) for c in dict.fromkeys([*features, label, fold])]))
+        for kind, space in spaces.items():
+            score, make = SEARCHED[kind]
+            todo = trial_table(spark, space, trials)
+            if resume and log is not None:
+                todo = resume_trials(read_trials(spark, log, name, kind), todo)
+            found = score(rows, features, label, fold, folds, todo)
+            if log is not None:
+                append_trials(found, log, name, kind)
+                found = read_trials(spark, log, name, kind).select("trial_id", "params", "cv_rmse")
+            fitted[name, kind] = make(best_params(found, integers)).fit(rows, features, label)
+            part = found.select(F.lit(name).alias("dataset"), F.lit(kind).alias("model"), "trial_id", "params", "cv_rmse")
+            scores = part if scores is None else scores.unionByName(part)
+        discard(rows)
+    return scores, fitted
+
+
 def known_scores(scores: DataFrame) -> DataFrame:
     """Best held-out error of every searched model, for ``compare_models(known=...)``."""
     return scores.groupBy("dataset", "model").agg(F.min("cv_rmse").alias("cv_rmse"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from itertools import combinations_with_replacement
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import fold_of, q
@@ -19,10 +20,12 @@ from tabkit.operators.ranking import top_importances
 from tabkit.operators.regress import (
     KernelRobust, Linear, LinearFit, boosted_trees, fit_pls, knn_regress, lasso, lasso_path, random_tree, tree,
 )
+from tabkit.operators.robust import RobustKernel
 from tabkit.operators.search import (
-    best_trial, evaluate_ml_trials, evaluate_trials, normalise_weights, resume_trials, search_ensemble, split_params,
+    best_trial, evaluate_kernel_trials, evaluate_ml_trials, evaluate_trials, normalise_weights, resume_trials, search_ensemble, split_params,
     trial_points, trial_table,
 )
+from tabkit.plans import housing
 from tabkit.plans.modelling import fit_all
 from tabkit.queries.obs import FEATURES, MODEL_SQL, model_obs, obs, with_obs
 from tabkit.queries.registry import query, rnd, rounded, table, work_folder
@@ -159,6 +162,31 @@ def i6(spark, sf):
     return KernelRobust(gamma=0.5, width=32).fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
 
 
+def _wave() -> tuple[float, float]:
+    """Frequency (at a gamma of 1/2) and shift of the one feature of a model of width 1."""
+    rng = np.random.default_rng(27)
+    return float(rng.normal(0.0, 1.0, (1, 1))[0, 0]), float(rng.uniform(0.0, 2 * np.pi, 1)[0])
+
+
+_F, _S = _wave()
+_FLAT = 1e6  # scales that no residual reaches: the loss is the squared one
+
+
+@query("i6_robust_kernel_without_outliers", model_sql(f""", z AS (SELECT id, y, sqrt(2)*cos(x5*{_F!r} + {_S!r}) AS z FROM m)
+, c AS (SELECT avg(z) AS mz, avg(y) AS my FROM z), w AS (SELECT sum((z-mz)*(y-my))/(sum((z-mz)*(z-mz)) + 0.5) AS w FROM z, c)
+ SELECT id, round(my + w*(z-mz), 6) AS prediction FROM z, c, w"""))
+def i6_closed(spark, sf):
+    df = store(model_obs(spark, sf))
+    fitted = RobustKernel(gamma=0.5, c=2.0, epsilon=_FLAT, width=1).fit(df, ["x5"], "y")
+    return rounded(fitted.predict(df).select("id", "prediction"), ["prediction"])
+
+
+@query("i6_robust_kernel")
+def i6_robust(spark, sf):
+    df = store(model_obs(spark, sf))
+    return RobustKernel(gamma=0.5, c=10.0).fit(df, FEATURES, "y").predict(df).select("id", "y", "prediction")
+
+
 @query("i7_knn_regress", """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings),
  d AS (SELECT a.vec_id AS id, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.v, b.v),9), b.vec_id) AS r
   FROM e a JOIN e b ON a.vec_id%4=0 AND b.vec_id%4<>0)
@@ -367,6 +395,24 @@ def j2_trees(spark, sf):
     return evaluate_ml_trials(df, FEATURES, "y", "fold", trials, lambda p: DecisionTreeRegressor(maxDepth=int(p["max_depth"]), seed=1), 5)
 
 
+@query("j2_kernel_trials_without_outliers", model_sql(f""", t AS (SELECT c_nationkey AS t, CAST(1+c_nationkey AS DOUBLE) AS c, count(*)/(1000.0+count(*)) AS g FROM customer GROUP BY 1)
+, z AS (SELECT t, c, g, fold, y, sqrt(2)*cos(x5*{_F!r}*sqrt(2*g) + {_S!r}) AS z FROM m, t)
+, f AS (SELECT DISTINCT fold AS f FROM m)
+, s AS (SELECT t, c, f, avg(z) AS mz, avg(y) AS my, covar_pop(z, y)*count(*) AS zy, var_pop(z)*count(*) AS zz FROM z, f WHERE fold <> f GROUP BY t, c, f)
+, e AS (SELECT s.t, s.f, avg(pow(y - my - zy/(zz+1/s.c)*(z-mz), 2)) AS e FROM s JOIN z ON z.t = s.t AND z.fold = s.f GROUP BY s.t, s.f)
+ SELECT CAST(t AS BIGINT) AS trial_id, round(sqrt(avg(e)), 6) AS cv_rmse FROM e GROUP BY t"""))
+def j2_kernel_closed(spark, sf):
+    trials = table(spark, sf, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n")).select(
+        q("c_nationkey").cast("bigint").alias("trial_id"),
+        F.create_map(F.lit("gamma"), q("n") / (q("n") + 1000.0), F.lit("C"), q("c_nationkey") + 1.0, F.lit("epsilon"), F.lit(_FLAT)).alias("params"))
+    return rounded(evaluate_kernel_trials(model_obs(spark, sf), ["x5"], "y", "fold", trials, 5, width=1).select("trial_id", "cv_rmse"), ["cv_rmse"])
+
+
+@query("j2_evaluate_kernel_trials")
+def j2_kernel(spark, sf):
+    return evaluate_kernel_trials(model_obs(spark, sf), FEATURES, "y", "fold", trial_table(spark, housing.SPACES["svr"], ENSEMBLE_TRIALS), 5)
+
+
 @query("j3_best_trial", """WITH b AS (SELECT * FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 1)
  SELECT o_orderkey AS trial_id, o_totalprice AS cv_rmse, 'depth' AS name, trunc(o_custkey/7.0) AS value FROM b UNION ALL SELECT o_orderkey, o_totalprice, 'rate', round(o_custkey/9.0,6) FROM b""")
 def j3(spark, sf):

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tabkit.operators.ensemble import FittedStack, FittedVoter
 from tabkit.operators.regress import FittedKernel, FittedML, KernelRobust, LinearFit
+from tabkit.operators.robust import FittedRobust, RobustKernel
 
 KEPT = "top boolean, kind string, name string, features array<string>, intercept double, coef array<double>"
 LOG_KEY = ("dataset", "model", "trial_id")
@@ -33,6 +34,9 @@ def save_models(spark: SparkSession, models: Mapping[str, object], folder: str)
             m.model.write().overwrite().save(f"{folder}/ml/{name}")
             spec = m.spec
             rows.append((top, "kernel", name, list(m.features), None, [float(x) for x in (spec.gamma, spec.c, spec.epsilon, spec.width, spec.seed)]))
+        elif isinstance(m, FittedRobust):
+            spec = m.spec
+            rows.append((top, "robust", name, list(m.features), float(m.intercept), [float(x) for x in (spec.gamma, spec.c, spec.epsilon, spec.width, spec.seed, *m.coef)]))
         elif isinstance(m, FittedStack):
             rows.append((top, "stack", name, list(m.members), None, None))
             keep(f"{name}/meta", m.meta, False)
@@ -58,6 +62,9 @@ def load_models(spark: SparkSession, folder: str) -> dict[str, object]:
         r = rows[name]
         if r["kind"] == "linear":
             return LinearFit(tuple(r["features"]), r["intercept"], tuple(r["coef"]))
+        if r["kind"] == "robust":
+            gamma, c, epsilon, width, seed, *coef = r["coef"]
+            return FittedRobust(RobustKernel(gamma, c, epsilon, int(width), int(seed)), tuple(r["features"]), r["intercept"], tuple(coef))
         if r["kind"] in ("ml", "kernel"):
             part = DefaultParamsReader.loadParamsInstance(f"{folder}/ml/{name}", spark.sparkContext)
             if r["kind"] == "ml":

@@ -19,8 +19,10 @@ from tabkit.operators.regress import (
     KernelRobust, Linear, SparkML, boosted_trees, fit_bayesian_ridge, fit_lasso, fit_pls, fit_ridge, knn_regress, lasso, lasso_path, random_tree, tree,
 )
 from tabkit.operators.roles import Roles
-from tabkit.operators.search import best_params, evaluate_trials, narrow_space, resume_trials, search_ensemble, trial_table
-from tabkit.plans.modelling import known_scores, score_best, tune_linear
+from tabkit.operators.robust import RobustKernel, consistency, fit_robust
+from tabkit.operators.search import best_params, evaluate_kernel_trials, evaluate_trials, kernel_of, narrow_space, resume_trials, search_ensemble, trial_table
+from tabkit.plans import housing
+from tabkit.plans.modelling import known_scores, score_best, tune_linear, tune_models
 from tabkit.sources.store import append_trials, load_models, read_trials, save_models
 
 WIDE = [f"f{i}" for i in range(15)]
@@ -145,6 +147,72 @@ def test_models_survive_storage(data, spark, tmp_path):
         assert m.predict(df).agg(F.sum("prediction")).first()[0] == pytest.approx(a)
 
 
+def robust_by_hand(spec, x, y, rounds=400):
+    """Huber's second proposal by reweighting, on all rows at once."""
+    z = spec.waves(x)
+    w, scale = np.ones(len(y)), None
+    for _ in range(rounds):
+        mz, my = w @ z / w.sum(), w @ y / w.sum()
+        zc = (z - mz) * w[:, None]
+        coef = np.linalg.solve(zc.T @ (z - mz) + np.eye(spec.width) / spec.c, zc.T @ (y - my))
+        b = my - mz @ coef
+        r = np.abs(y - z @ coef - b)
+        if scale is None:
+            scale = np.sqrt((r**2).mean())
+        else:
+            scale = np.sqrt((np.minimum(before, spec.epsilon * scale) ** 2).mean() / consistency(spec.epsilon))
+        before = r
+        w = np.minimum(1.0, spec.epsilon * scale / np.maximum(r, 1e-300))
+    return b, coef
+
+
+def test_robust_kernel_by_hand(data, spark):
+    df, pdf = data
+    x, y, fold = pdf[WIDE[:3]].to_numpy(), pdf["y"].to_numpy().copy(), np.array([r[0] for r in df.orderBy("id").select("fold").collect()])
+    y[::20] += 30
+    spoiled = df.withColumn("y", F.when(q("id") % 20 == 1, q("y") + 30).otherwise(q("y"))).unionByName(df.limit(3).withColumn("y", F.lit(None).cast("double")))
+    specs = [RobustKernel(0.05, 10.0, 1.35, 20), RobustKernel(0.2, 100.0, 2.5, 12)]
+    fits = fit_robust(spoiled, WIDE[:3], "y", specs, q("fold"), range(5), rounds=200)
+    assert len(fits) == 10
+    for (i, f), fit in fits.items():
+        b, coef = robust_by_hand(specs[i], x[fold != f], y[fold != f])
+        held = specs[i].waves(x[fold == f])
+        assert np.allclose(held @ fit.coef + fit.intercept, held @ coef + b, atol=1e-3)
+        assert fit.error == pytest.approx(np.mean((y[fold == f] - held @ coef - b) ** 2), rel=1e-3)
+    # few wild labels hardly move it
+    got = specs[0].fit(spoiled, WIDE[:3], "y").predict(df).select("y", "prediction").toPandas()
+    assert np.median(np.abs(got["y"] - got["prediction"])) < 0.8
+
+
+def test_kernel_trials_and_storage(data, spark, tmp_path):
+    df, _ = data
+    trials = trial_table(spark, housing.SPACES["svr"], 4)
+    some = trials.unionByName(trials.filter("trial_id = 1").withColumn("trial_id", F.lit(9).cast("bigint")))
+    got = {r["trial_id"]: r["cv_rmse"] for r in evaluate_kernel_trials(df, WIDE, "y", "fold", some, 5, width=16).collect()}
+    assert sorted(got) == [1, 2, 3, 4, 9] and got[1] == got[9]
+    one = kernel_of(trials.first()["params"], 16)
+    outside = [((r["y"] - r["prediction"]) ** 2, r["fold"]) for f in range(5)
+               for r in one.fit(df.filter(q("fold") != f), WIDE, "y").predict(df.filter(q("fold") == f)).collect()]
+    assert got[1] == pytest.approx(np.sqrt(np.mean([np.mean([e for e, f in outside if f == k]) for k in range(5)])), rel=1e-6)
+    fitted = one.fit(df, WIDE, "y")
+    save_models(spark, {"svr": fitted}, str(tmp_path / "m"))
+    gap = df.limit(1).withColumn(WIDE[0], F.lit(None).cast("double"))
+    assert load_models(spark, str(tmp_path / "m"))["svr"] == fitted and fitted.predict(gap).first()["prediction"] is None
+    with pytest.raises(ValueError, match="epsilon"):
+        RobustKernel(epsilon=1.0)
+
+
+def test_tuning_of_kernels_and_trees(data, spark, tmp_path):
+    df, _ = data
+    log = str(tmp_path / "log")
+    few = {"svr": housing.SPACES["svr"], "xgb": {"max_depth": ("quniform", 1, 2, 1), "n_estimators": ("quniform", 2, 4, 2)}}
+    tune_models({"v": (df, WIDE)}, {"svr": few["svr"]}, "y", "fold", 5, trials=2, log=log)
+    scores, fitted = tune_models({"v": (df, WIDE)}, few, "y", "fold", 5, trials=3, log=log, resume=True)
+    assert sorted((r["model"], r["trial_id"]) for r in scores.collect()) == [(m, i) for m in ("svr", "xgb") for i in (1, 2, 3)]
+    assert set(fitted) == {("v", "svr"), ("v", "xgb")}
+    assert all(m.predict(df).filter("prediction is null").count() == 0 for m in fitted.values())
+
+
 def test_search_resume_and_narrow(data, spark, tmp_path):
     df, _ = data
     grams = gram_by_fold(df, WIDE, "y", fold=q("fold"))
