@@ -129,7 +129,7 @@ def _scan(rows: DataFrame, d: int, specs: dict[int, RobustKernel], state: dict[t
             total = merge_two(total, np.frombuffer(b))
         return total.tobytes()
 
-    got = merged_partials(rows.mapInPandas(run, "_f int, g binary"), merge, small=max(s.width for s in specs.values()) < FEW_LEVELS)
+    got = merged_partials(rows.mapInPandas(run, "_f int, g binary"), merge, small=max(s.width for s in specs.values()) <= FEW_LEVELS)
     out = {}
     for at, raw in got.items():
         v = np.frombuffer(raw)

@@ -120,7 +120,10 @@ def evaluate_kernel_trials(
     specs = [kernel_of(t["params"], width, seed) for t in asked]
     distinct = list(dict.fromkeys(specs))
     rows = store(df.select(*[q(f).cast("double").alias(f) for f in features], q(label).cast("double").alias(label), q(fold).cast("int").alias(fold)).na.drop())
-    fits = fit_robust(rows, features, label, distinct, q(fold), range(folds))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    # a round costs far more than moving a table of so few files
+    spread = rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    fits = fit_robust(spread, features, label, distinct, q(fold), range(folds))
     discard(rows)
     errors: dict[int, list[float]] = {}
     for (i, _), fit in fits.items():
