@@ -14,22 +14,42 @@ SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 SEQUENCE, END_ID = 4096, 1
 
 
+def _aside(docs: DataFrame, taken: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """``docs`` with own columns of a stage's working names under other names, and all names as they then are.
+
+    ``select(*names).toDF(*docs.columns)`` gives the columns back, so that no stage replaces a column of its input.
+    """
+    names, held = [], {c.lower() for c in docs.columns} | set(taken)
+    for c in docs.columns:
+        new = c
+        while new.lower() in held and c.lower() in taken:
+            new = f"own_{new}"
+        held.add(new.lower())
+        names.append(new)
+    return docs.toDF(*names), names
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that have no letters or no language of at least ``LEAST_SCORE``."""
-    model = langid.fit_languages(docs)
-    judged = langid.predict_languages(docs, model, pred="_pred", score="_score")
-    return judged.filter((F.col("_pred") != langid.UNDECIDED) & (F.col("_score") >= LEAST_SCORE)).select(*docs.columns)
+    rows, names = _aside(docs, ("_pred", "_score"))
+    judged = langid.predict_languages(rows, langid.fit_languages(rows), pred="_pred", score="_score")
+    kept = judged.filter((F.col("_pred") != langid.UNDECIDED) & (F.col("_score") >= LEAST_SCORE))
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def check_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that fail the base rules or lie outside the fences of their language and source."""
-    return quality.judge_quality(docs).filter("kept").select(*docs.columns)
+    rows, names = _aside(docs, ("n_words", "base_failed", "kept", *quality.SCORED))
+    return quality.judge_quality(rows).filter("kept").select(*names).toDF(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without later occurrences of three lines; ``n_chars`` follows the text that is left."""
-    cut = lines.dedup_lines(docs)
-    return cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")).select(*docs.columns)
+    """Every document, without later occurrences of three lines; ``n_chars``, where there is one, follows the text that is left."""
+    rows, names = _aside(docs, ("n_lines", "n_removed"))
+    cut = lines.dedup_lines(rows)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
+    return cut.select(*names).toDF(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
