@@ -397,3 +397,16 @@ def test_pipeline_by_stage(spark, sf):
             assert got.items() <= state.items()
             assert len(got) > 0.7 * len(state)
         state, docs = got, spark.createDataFrame(out.collect(), out.schema)
+
+
+def test_stages_keep_own_columns(spark, odd):
+    """Quality and lines on odd rows, whose columns are named like results: each row that stays is as it was, the text of cut ones aside."""
+    long = documents(spark, ["a b c d e f g h i j k l m n o p q r s t u v w"] * 2)
+    table = long
+    for name in ("n_words", "kept", "n_lines", "n_removed", "own_n_lines", "_pred"):
+        table = table.withColumn(name, table.doc_id * 7)
+    good = corpus_pipeline.check_quality(spark, table, "")
+    assert good.columns == table.columns and sorted(good.collect()) == sorted(table.collect())
+    cut = corpus_pipeline.drop_repeated_lines(spark, odd.drop("n_chars"), "")
+    assert cut.columns == odd.drop("n_chars").columns and cut.count() == odd.count()
+    assert cut.filter("doc_id is not null and n_lines <> doc_id").count() == 0
