@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import numpy as np
@@ -184,6 +185,8 @@ def features(nodes: list[Node], tokens: dict[str, int]) -> np.ndarray:
     land_at = parent_at + len(TAGS) + 1
     near_at = land_at + len(LANDMARKS)
     self_at = near_at + len(tokens)
+    # tags of each node's children, counted once: a node may have any number of them
+    tags_below = {id(n): Counter(c.tag for c in n.children) for n in nodes if n.children}
     seen = 0
     for i, n in enumerate(nodes):
         row, up = out[i], n.parent
@@ -191,7 +194,7 @@ def features(nodes: list[Node], tokens: dict[str, int]) -> np.ndarray:
             above = out[number[id(up)]]
             row[land_at:self_at] = above[land_at:self_at]
             size = len(up.children)
-            alike = sum(c.tag == n.tag for c in up.children) if size <= 64 else size
+            alike = tags_below[id(up)][n.tag]
             row[: len(NUMBERS)] = (
                 n.depth, n.chars, n.own, n.chars / (n.tags + 1), n.links / max(n.chars, 1), n.stops, n.stops / (n.chars / 50 + 1), n.paragraphs, n.items,
                 n.tags, i / len(nodes), size, alike, n.chars / max(up.chars, 1), seen / total, total - seen, (total - seen) / total,

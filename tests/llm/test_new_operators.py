@@ -331,3 +331,11 @@ def test_extraction_odd(spark, forest):
     assert (got[got.page_id == 1].text == "").all() and (got[got.page_id == 3].n_chars == 16 * 60000 - 1).all()
     assert extract.extract_text(pages.limit(0), forest).count() == 0
     assert extract.fit_extractor(pages.limit(0)) is None and (extract.extract_text(pages, None).toPandas().text == "").all()
+
+
+@pytest.mark.parametrize("many", [3, 63, 64, 65, 300])
+def test_siblings_alike_are_counted_at_any_width(many):
+    nodes = dom.parse("<div>" + "<p>word</p>" * many + "<ul><li>item</li></ul></div>")
+    alike = dom.features(nodes, {})[:, dom.NUMBERS.index("alike")]
+    got = {(n.tag, int(x)) for n, x in zip(nodes, alike) if n.parent and n.parent.tag == "div"}
+    assert got == {("p", many), ("ul", 1)}
