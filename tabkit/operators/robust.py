@@ -1,8 +1,9 @@
-"""Robust kernel regression by reweighted least squares, for a whole search at once.
+"""Robust kernel regression by Newton's method, for a whole search at once.
 
-A model is linear in random Fourier features of a Gaussian kernel, under Huber's loss with its own scale. Each round is one scan of the
-rows: every unfinished fit (a setting and the fold left out) weights the rows by its residuals and gets the weighted moments of its features,
-from which the next weights of the features are solved on the driver. Only moments leave the tasks, whatever the number of rows.
+A model is linear in random Fourier features of a Gaussian kernel, under Huber's loss with its own scale. The first scan gives every setting the
+moments of its features per fold. Each round is one more scan of the rows: every unfinished fit (a setting and the fold left out) gets the pull of
+its residuals and the products of the features of the rows beyond its edge, which taken from those of all rows leave Newton's matrix; the
+next weights and scale are solved on the driver. Features of a row are made once a setting. Only sums leave the tasks, whatever the number of rows.
 """
 
 from __future__ import annotations
@@ -17,12 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkit.functions.expr import q, quoted
-from tabkit.operators.moments import FEW_LEVELS, Moments, merged_partials
+from tabkit.operators.moments import FEW_LEVELS, Moments, merged_partials, pooled, rest_by_fold
 from tabkit.operators.regress import fit_ridge
 
 ROUNDS = 30
 CLOSE = 1e-6  # relative change of the fitted values' weights at which a fit is finished
 BLOCK_NUMBERS = 4_000_000  # numbers that the moments of the fits of one scan may hold
+CHUNK = 2048
 NO_FOLD = -1
 
 
@@ -93,48 +95,130 @@ def consistency(epsilon: float) -> float:
     return (2 * normal.cdf(epsilon) - 1) - 2 * epsilon * normal.pdf(epsilon) + 2 * epsilon**2 * (1 - normal.cdf(epsilon))
 
 
-def _scan(rows: DataFrame, d: int, specs: dict[int, RobustKernel], state: dict[tuple[int, int], Fit | None]) -> dict[tuple[int, int], tuple[Moments, float, float, float]]:
-    """Per unfinished fit its weighted moments, the sum of squared cut residuals, and count and squared error of its held-out rows."""
+def _starts(rows: DataFrame, d: int, specs: dict[int, RobustKernel], folds: Sequence[int]) -> dict[tuple[int, int], Moments]:
+    """Per setting and fold left out the moments of its features and the label on all other rows: each row is counted once."""
+    keys, places = sorted(specs), sorted(folds)
+    parts = len(places) + 1  # the last one holds the rows of folds that are never left out
+
+    def run(batches):
+        held: dict[int, Moments] = {}
+        for pdf in batches:
+            x, y, fold = pdf[[f"c{i}" for i in range(d)]].to_numpy(dtype=float), pdf["_y"].to_numpy(dtype=float), pdf["_f"].to_numpy()
+            at = np.minimum(np.searchsorted(places, fold), len(places) - 1)
+            part = np.where(np.array(places)[at] == fold, at, len(places))
+            for k in np.unique(part).tolist():
+                own = part == k
+                for n, i in enumerate(keys):
+                    m = Moments.of(np.column_stack([specs[i].waves(x[own]), y[own]]))
+                    held[n * parts + k] = held[n * parts + k] + m if n * parts + k in held else m
+        if held:
+            yield pd.DataFrame({"_f": list(held), "g": [m.pack() for m in held.values()]})
+
+    merge = lambda blocks: pooled([Moments.unpack(b) for b in blocks]).pack()
+    found = merged_partials(rows.mapInPandas(run, "_f int, g binary"), merge, small=_small(specs))
+    out = {}
+    for n, i in enumerate(keys):
+        own = {k: Moments.unpack(found[n * parts + k]) for k in range(parts) if n * parts + k in found}
+        none = Moments.none(specs[i].width + 1)
+        rest = rest_by_fold({k: own.get(k, none) for k in range(parts)})
+        out |= {(i, f): rest[k] for k, f in enumerate(places)}
+    return out
+
+
+def _small(specs: dict[int, RobustKernel]) -> bool:
+    return max(s.width for s in specs.values()) <= FEW_LEVELS
+
+
+@dataclass(frozen=True)
+class Sums:
+    """What a scan says of a fit: over its rows within the edge the sum of squared residuals and the products of residuals and
+    features (the constant first); over those beyond it their number, the features by sign and their products; over held-out rows count and squares."""
+
+    squares: float
+    beyond: float
+    count: float
+    error: float
+    inner: np.ndarray
+    signs: np.ndarray
+    products: np.ndarray
+
+    @staticmethod
+    def unpack(raw: np.ndarray, d: int) -> Sums:
+        return Sums(*raw[:4].tolist(), raw[4 : d + 4], raw[d + 4 : 2 * d + 4], raw[2 * d + 4 :].reshape(d, d))
+
+
+def _scan(rows: DataFrame, d: int, specs: dict[int, RobustKernel], state: dict[tuple[int, int], Fit]) -> dict[tuple[int, int], Sums]:
+    """The sums of every unfinished fit. Products of features are summed for rows beyond the edge only: those of all rows are known."""
     keys = sorted(state)
+    groups: dict[int, list[int]] = {}
+    for at, (i, _) in enumerate(keys):
+        groups.setdefault(i, []).append(at)
 
     def run(batches):
         held: dict[int, np.ndarray] = {}
+        coefs = {i: np.array([np.append(state[keys[at]].intercept, state[keys[at]].coef) for at in ats]).T for i, ats in groups.items()}
         for pdf in batches:
-            x, y, fold = pdf[[f"c{i}" for i in range(d)]].to_numpy(dtype=float), pdf["_y"].to_numpy(dtype=float), pdf["_f"].to_numpy()
-            last, z = None, None
-            for at, (i, out) in enumerate(keys):
-                if i != last:
-                    last, z = i, specs[i].waves(x)
-                fit, mine = state[i, out], fold != out
-                sums = np.zeros(3)
-                weight = np.ones(int(mine.sum()))
-                if fit is not None:
-                    r = y - z @ fit.coef - fit.intercept
-                    edge = specs[i].epsilon * fit.scale
-                    size = np.abs(r[mine])
-                    weight = np.where(size <= edge, 1.0, edge / np.maximum(size, 1e-300))
-                    sums[:] = np.sum(np.minimum(size, edge) ** 2), (~mine).sum(), np.sum(r[~mine] ** 2)
-                block = np.append(sums, np.frombuffer(Moments.of(np.column_stack([z, y])[mine], weight).pack()))
-                held[at] = merge_two(held[at], block) if at in held else block
+            held = held or {at: np.zeros(4 + (specs[i].width + 1) * (specs[i].width + 3)) for at, (i, _) in enumerate(keys)}
+            every, labels, folds = pdf[[f"c{i}" for i in range(d)]].to_numpy(dtype=float), pdf["_y"].to_numpy(dtype=float), pdf["_f"].to_numpy()
+            for start in range(0, len(pdf), CHUNK):  # so few rows stay in a core's cache
+                x, y, fold = (v[start : start + CHUNK] for v in (every, labels, folds))
+                for i, ats in groups.items():
+                    z = np.column_stack([np.ones(len(x)), specs[i].waves(x)])
+                    wide = z.shape[1]
+                    left = np.ascontiguousarray((y[:, None] - z @ coefs[i]).T)
+                    inner, signs = np.empty_like(left), np.empty_like(left)
+                    for k, at in enumerate(ats):
+                        r, out, total = left[k], fold == keys[at][1], held[at]
+                        over = np.abs(r) > specs[i].epsilon * state[keys[at]].scale
+                        far = np.flatnonzero(over & ~out)
+                        inner[k] = np.where(over | out, 0.0, r)
+                        signs[k] = 0.0
+                        signs[k, far] = np.sign(r[far])
+                        total[0] += inner[k] @ inner[k]
+                        total[1] += len(far)
+                        total[2] += out.sum()
+                        total[3] += r[out] @ r[out]
+                        if len(far):
+                            there = z[far]
+                            total[2 * wide + 4 :] += (there.T @ there).ravel()
+                    for first, part in ((4, inner @ z), (wide + 4, signs @ z)):
+                        for at, values in zip(ats, part):
+                            held[at][first : first + wide] += values
         if held:
             yield pd.DataFrame({"_f": list(held), "g": [b.tobytes() for b in held.values()]})
 
-    def merge_two(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        both = Moments.unpack(a[3:].tobytes()) + Moments.unpack(b[3:].tobytes())
-        return np.append(a[:3] + b[:3], np.frombuffer(both.pack()))
+    merge = lambda blocks: np.sum([np.frombuffer(b) for b in blocks], axis=0).tobytes()
+    got = merged_partials(rows.mapInPandas(run, "_f int, g binary"), merge, small=_small(specs))
+    return {keys[at]: Sums.unpack(np.frombuffer(raw), specs[keys[at][0]].width + 1) for at, raw in got.items()}
 
-    def merge(blocks: Sequence[bytes]) -> bytes:
-        total = np.frombuffer(blocks[0])
-        for b in blocks[1:]:
-            total = merge_two(total, np.frombuffer(b))
-        return total.tobytes()
 
-    got = merged_partials(rows.mapInPandas(run, "_f int, g binary"), merge, small=max(s.width for s in specs.values()) <= FEW_LEVELS)
-    out = {}
-    for at, raw in got.items():
-        v = np.frombuffer(raw)
-        out[keys[at]] = (Moments.unpack(v[3:].tobytes()), *v[:3])
-    return out
+def _steps(spec: RobustKernel, fit: Fit, m: Moments, s: Sums) -> tuple[tuple[np.ndarray, float], tuple[np.ndarray, float] | None]:
+    """Changes of intercept, weights and scale: those of one bounded step, which never go astray, and Newton's (None where there is none).
+
+    Both vanish at the same point only: no residual pulls a weight, and the mean cut square is that of a normal of the scale. The bounded step
+    takes the products of all rows, which are above those of any weighting; Newton's takes those within the edge and moves the scale too.
+    """
+    theta = np.append(fit.intercept, fit.coef)
+    mean = np.append(1.0, m.mean[:-1])
+    products = m.n * np.outer(mean, mean)
+    products[1:, 1:] += m.c[:-1, :-1]
+    penalty = np.diag(np.append(0.0, np.full(len(fit.coef), 1.0 / spec.c)))
+    edge = spec.epsilon * fit.scale
+    pull = s.inner + edge * s.signs - penalty @ theta
+    unit = m.n * consistency(spec.epsilon)
+    cut = s.squares + edge**2 * s.beyond
+    bounded = np.linalg.solve(products + penalty, pull), float(np.sqrt(cut / unit)) - fit.scale
+    n = len(theta)
+    whole = np.empty((n + 1, n + 1))
+    whole[:n, :n] = products - s.products + penalty
+    whole[:n, n], whole[n, :n] = -spec.epsilon * s.signs, 2 * s.inner
+    whole[n, n] = 2 * fit.scale * (unit - spec.epsilon**2 * s.beyond)
+    try:
+        newton = np.linalg.solve(whole, np.append(pull, cut - unit * fit.scale**2))
+    except np.linalg.LinAlgError:
+        return bounded, None
+    good = np.isfinite(newton).all() and fit.scale + newton[n] > 0
+    return bounded, (newton[:n], float(newton[n])) if good else None
 
 
 def fit_robust(
@@ -157,34 +241,42 @@ def fit_robust(
         group = [todo.pop(0)]
         while todo and sum(map(numbers, group)) + numbers(todo[0]) <= BLOCK_NUMBERS:
             group.append(todo.pop(0))
-        state: dict[tuple[int, int], Fit | None] = {(i, f): None for i in group for f in folds}
-        own, totals = {i: specs[i] for i in group}, {}
-        for step in range(rounds + 1):
-            found = _scan(rows, len(features), own, state)
-            following: dict[tuple[int, int], Fit | None] = {}
-            for key, (m, cut, count, squares) in found.items():
-                spec, before = own[key[0]], state[key]
-                if m.n <= 0:
-                    continue
-                error = float(squares / count) if count else None
-                b, w = fit_ridge(m, 1.0 / spec.c)
-                if before is None:
-                    v = np.append(-w, 1.0)
-                    # no scale yet: the mean square of the first residuals, whose mean is 0
-                    following[key] = Fit(b, w, float(np.sqrt(max(v @ m.c @ v, 0.0) / m.n)), None, 0)
+        own = {i: specs[i] for i in group}
+        base = {key: m for key, m in _starts(rows, len(features), own, folds).items() if m.n > 0}
+        state, best = {}, dict.fromkeys(base, np.inf)
+        for key, m in base.items():
+            b, w = fit_ridge(m, 1.0 / own[key[0]].c)
+            v = np.append(-w, 1.0)
+            # no scale yet: the mean square of the first residuals, whose mean is 0
+            state[key] = Fit(b, w, float(np.sqrt(max(v @ m.c @ v, 0.0) / m.n)), None, 0)
+        for step in range(1, rounds + 1):
+            if not state:
+                break
+            following: dict[tuple[int, int], Fit] = {}
+            for key, sums in _scan(rows, len(features), own, state).items():
+                before, m = state[key], base[key]
+                error = float(sums.error / sums.count) if sums.count else None
+                if before.scale <= 1e-12 * abs(m.mean[-1]) or step == rounds:
+                    done[key] = Fit(before.intercept, before.coef, before.scale, error, step)
                     continue
-                # rows, each counted once, are known from the first round on
-                scale = float(np.sqrt(cut / (totals[key] * consistency(spec.epsilon)))) if before.scale > 0 else 0.0
-                v = np.append(w - before.coef, 0.0)
-                moved = np.sqrt(max(v @ m.c @ v, 0.0) / m.n) + abs(b + m.mean[:-1] @ w - before.intercept - m.mean[:-1] @ before.coef)
-                still = moved <= CLOSE * max(before.scale, 1e-300) and abs(scale - before.scale) <= CLOSE * max(before.scale, 1e-300)
-                if still or before.scale <= 1e-12 * abs(m.mean[-1]) or step == rounds:
+                bounded, newton = _steps(own[key[0]], before, m, sums)
+                size = _size(bounded, m)
+                # Newton's step only from a point nearer to rest than all before: bounded steps get there from anywhere
+                if newton is not None and size < 0.9 * best[key]:
+                    change, size = newton, max(size, _size(newton, m))
+                else:
+                    change = bounded
+                best[key] = min(best[key], _size(bounded, m))
+                if size <= CLOSE * before.scale:
                     done[key] = Fit(before.intercept, before.coef, before.scale, error, step)
                 else:
-                    following[key] = Fit(b, w, scale, None, step)
-            if step == 0:
-                totals = {key: m.n for key, (m, *_) in found.items()}
+                    following[key] = Fit(before.intercept + float(change[0][0]), before.coef + change[0][1:], before.scale + change[1], None, step)
             state = following
-            if not state:
-                break
     return done
+
+
+def _size(change: tuple[np.ndarray, float], m: Moments) -> float:
+    """The greater of the mean change of fitted values and that of the scale."""
+    of_weights, of_scale = change
+    spread = of_weights[1:] @ m.c[:-1, :-1] @ of_weights[1:] / m.n
+    return max(float(np.sqrt(max(spread, 0.0) + (of_weights[0] + of_weights[1:] @ m.mean[:-1]) ** 2)), abs(of_scale))

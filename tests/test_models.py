@@ -184,6 +184,22 @@ def test_robust_kernel_by_hand(data, spark):
     assert np.median(np.abs(got["y"] - got["prediction"])) < 0.8
 
 
+def test_robust_kernel_needs_few_scans(data, spark):
+    """Few wild labels, and half of them heavy-tailed: every scan is one round of all fits."""
+    df, pdf = data
+    x, plain = pdf[WIDE[:3]].to_numpy(), pdf["y"].to_numpy()
+    rng = np.random.default_rng(3)
+    wild, heavy = plain.copy(), plain + rng.standard_cauchy(len(plain)) * (np.arange(len(plain)) % 2)
+    wild[::20] += 30
+    specs = [RobustKernel(0.05, 10.0, 1.35, 20), RobustKernel(3.0, 100.0, 1.01, 20), RobustKernel(0.2, 0.01, 2.5, 12)]
+    for y in (wild, heavy):
+        rows = spark.createDataFrame(pd.DataFrame(x, columns=WIDE[:3]).assign(y=y))
+        for (i, _), fit in fit_robust(rows, WIDE[:3], "y", specs, rounds=200).items():
+            b, coef = robust_by_hand(specs[i], x, y, 3000)
+            assert np.allclose(specs[i].waves(x) @ (fit.coef - coef) + fit.intercept - b, 0.0, atol=1e-5)
+            assert fit.rounds <= 12 and fit.error is None
+
+
 def test_kernel_trials_and_storage(data, spark, tmp_path):
     df, _ = data
     trials = trial_table(spark, housing.SPACES["svr"], 4)
