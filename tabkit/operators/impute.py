@@ -138,6 +138,27 @@ def _asked_bins(counts: pd.DataFrame, k: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["bin", "owner", "side"]).astype({"bin": "int32", "owner": "int32", "side": "int32"})
 
 
+def _in_order(donors: pd.DataFrame) -> pd.DataFrame:
+    """By prediction, then key."""
+    if donors["_d"].dtype.kind in "iuf":
+        return donors.take(np.lexsort((donors["_d"].to_numpy(), donors["_dp"].to_numpy())))
+    return donors.sort_values(["_dp", "_d"])
+
+
+def _places(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many equal values stand before and after each."""
+    new = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+    sizes = np.diff(np.append(new, len(ordered)))
+    before = np.arange(len(ordered)) - np.repeat(new, sizes)
+    return before, np.repeat(sizes, sizes) - 1 - before
+
+
+def _repeated(times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each place as often as ``times`` says, and its number among those of its place."""
+    at = np.repeat(np.arange(len(times)), times)
+    return at, np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times)
+
+
 def match_donors(
     donors: DataFrame, missing: DataFrame, key: str, donors_per_row: int, pick, spread: tuple[float, float, float] | None = None
 ) -> DataFrame:
@@ -170,22 +191,29 @@ def match_donors(
     asked = _asked_bins(counts, k)
     blocks = (-(-counts.set_index("bin")["gaps"] // GAP_BLOCK)).clip(lower=1)
     asked["blocks"] = asked["owner"].map(blocks).astype("int64")
-    held = spark.sparkContext.broadcast((asked, blocks.astype("int64")))
+    sides = [asked[asked["side"] == side].sort_values("bin") for side in (0, -1, 1)]
+    served = [tuple(w[c].to_numpy() for c in ("bin", "owner", "blocks")) for w in sides]
+    held = spark.sparkContext.broadcast((served, np.unique(asked["bin"].to_numpy()), blocks.astype("int64")))
 
     def serve(batches):
-        wanted, _ = held.value
+        wanted, bins, _ = held.value
         for pdf in batches:
-            pdf = pdf[pdf["_bin"].isin(wanted["bin"])].sort_values(["_bin", "_dp", "_d"], ignore_index=True)
-            alike, own = pdf.groupby(["_bin", "_dp"], sort=False), pdf.groupby("_bin", sort=False)
-            ends = np.minimum(alike.cumcount(), alike.cumcount(ascending=False)) < k
-            for side, keep in ((0, ends), (-1, own.cumcount(ascending=False) < k), (1, own.cumcount() < k)):
-                sent = pdf[keep].merge(wanted[wanted["side"] == side], left_on="_bin", right_on="bin")
-                sent = sent.loc[sent.index.repeat(sent["blocks"])]
-                yield sent.assign(_block=sent.groupby(level=0).cumcount().astype("int32"))[["owner", "_block", "_d", "_dp", "value"]]
+            pdf = _in_order(pdf[np.isin(pdf["_bin"].to_numpy(), bins)])
+            own = pdf["_bin"].to_numpy()  # bins follow the order of predictions
+            above, below = _places(own)
+            ends = np.minimum(*_places(pdf["_dp"].to_numpy())) < k
+            donor = pdf[["_d", "_dp", "value"]]
+            for (bin_, owner, many), keep in zip(wanted, (ends, below < k, above < k)):
+                rows = np.flatnonzero(keep)
+                first, end = np.searchsorted(bin_, own[rows]), np.searchsorted(bin_, own[rows], side="right")
+                at, nth = _repeated(end - first)
+                rows, ask_at = rows[at], first[at] + nth
+                at, block = _repeated(many[ask_at])
+                yield donor.take(rows[at]).assign(owner=owner[ask_at][at], _block=block.astype("int32"))[["owner", "_block", "_d", "_dp", "value"]]
 
     def ask(batches):
         for pdf in batches:
-            many = held.value[1].reindex(pdf["_bin"]).to_numpy()
+            many = held.value[2].reindex(pdf["_bin"]).to_numpy()
             yield pdf.assign(_block=(np.arange(len(pdf)) % many).astype("int32"))
 
     types = {f.name: f.dataType.simpleString() for f in donors.schema}
@@ -197,8 +225,9 @@ def match_donors(
     def match(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame(columns=out.names)
-        b = b.sort_values(["_dp", "_d"], ignore_index=True)
-        p, order, values = b["_dp"].to_numpy(), b["_d"].rank(method="first").to_numpy(), b["value"].to_numpy()
+        b = _in_order(b)
+        keys = b["_d"].to_numpy() if b["_d"].dtype.kind in "iuf" else b["_d"].rank(method="first").to_numpy()
+        p, order, values = b["_dp"].to_numpy(), keys, b["value"].to_numpy()
         points, which = np.unique(a["pred"].to_numpy(), return_inverse=True)
         nearest, size = np.zeros((len(points), k), np.int64), np.zeros(len(points), np.int64)
         for at in range(0, len(points), 4096):  # rows predicted alike ask for the same donors

@@ -473,3 +473,18 @@ def test_chained_values_come_from_the_observed(gappy, spark):
         assert run().equals(got)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("kind", [int, float, str])
+def test_donors_in_order_and_their_places(kind):
+    """Ties of predictions go by key, of whatever type; places are counted within equal values."""
+    rng = np.random.default_rng(5)
+    pdf = pd.DataFrame({"_d": [kind(k) for k in rng.permutation(300) + 100], "_dp": rng.integers(0, 20, 300) / 4.0})
+    got = impute._in_order(pdf)
+    assert [tuple(r) for r in got[["_dp", "_d"]].to_numpy()] == sorted(zip(pdf["_dp"], pdf["_d"]))
+    before, after = impute._places(got["_dp"].to_numpy())
+    groups = got.groupby("_dp")
+    assert (before == groups.cumcount()).all() and (after == groups.cumcount(ascending=False)).all()
+    at, nth = impute._repeated(np.array([2, 0, 3]))
+    assert at.tolist() == [0, 0, 2, 2, 2] and nth.tolist() == [0, 1, 0, 1, 2]
+    assert [len(x) for x in (*impute._places(np.zeros(0)), *impute._repeated(np.zeros(0, int)))] == [0, 0, 0, 0]
