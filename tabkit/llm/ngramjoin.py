@@ -33,6 +33,7 @@ PART_SHARE = 0.5
 HOT_ROWS = 4096
 ROUNDS = 32  # members of an entry that a later round compares with the others, times this each round
 RECENT = 4096
+FIRSTS = 32  # entries of a node that its rows carry, to tell where a pair meets
 BITS = 512
 MAP = [f"w{i}" for i in range(BITS // 64)]
 
@@ -265,6 +266,28 @@ def _may_link(percent: int) -> Column:
     return ((total - apart) * (100 + percent) >= 2 * percent * total) & (100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))
 
 
+def _carried(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Per node of the entries ``sig, node`` its bit map and the ``FIRSTS`` least of its entries."""
+    firsts = members.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("sig")), 1, FIRSTS).alias("firsts"))
+    return firsts.join(nodes.select(F.col("node").alias("_node"), *MAP), F.col("node") == F.col("_node")).select("node", "firsts", *MAP)
+
+
+def meetings(new: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """``a, b`` of different classes, ``a`` the lesser, that share an entry in which ``a`` is ``new``, and that may link.
+
+    Pairs that share many entries meet in one of them: the least that is among the ``firsts`` of both, which both then are in. Only
+    pairs that have none in common there, and so share a small part of their entries, meet in every entry they share. ``firsts``
+    are the same in all rounds and an entry keeps its members until they are of one class, so no pair is missed.
+    """
+    side = lambda t, x: t.select(
+        F.col("sig").alias(f"{x}sig"), F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("label").alias(f"l{x}"),
+        F.col("firsts").alias(f"f{x}"), *[F.col(w).alias(f"{x}{w}") for w in MAP])
+    # all that tells pairs out of question is part of the join, so that they are never rows
+    room = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(percent)
+    here = F.coalesce(F.get(F.array_intersect("fa", "fb"), F.lit(0)), F.col("asig")) == F.col("asig")
+    return side(new, "a").join(side(members, "b"), (F.col("asig") == F.col("bsig")) & room & here).select("a", "b")
+
+
 def one_of_each(documents: DataFrame, links: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``documents`` that stay when each component of ``links`` keeps one: that of least id, then least digest.
 
@@ -341,38 +364,35 @@ def _classes(
     discard(links)
     low, high = 0.0, 1.0 * rounds
     open_ = kept = entries
+    carried = None
     while True:
         # entries whose members are not all in one class
         classed = open_.select("sig", "node", "n").join(labels, "node", "left").select("sig", "node", "n", F.coalesce("label", "node").alias("label"))
         mixed_up = classed.groupBy("sig").agg(F.min("label").alias("l"), F.max("label").alias("h"), F.count(F.lit(1)).alias("m")).filter("l <> h")
         mixed_up = classed.join(mixed_up.select(F.col("sig").alias("_sig"), "m"), F.col("sig") == F.col("_sig"))
-        mixed_up = mixed_up.join(nodes.select(F.col("node").alias("_node"), *MAP), F.col("node") == F.col("_node"))
-        before, open_ = kept, store(mixed_up.select("sig", "node", "n", "label", "m", *MAP))
+        before, open_ = kept, store(mixed_up.select("sig", "node", "n", "label", "m"))
         kept = open_
         discard(before)
         share = (F.col("node").cast("double") + float(2**63)) / float(2**64) * F.col("m")
         most = open_.agg(F.max("m")).first()[0]
         if most is None:
-            return labels
-        # node numbers are hashes: this takes about ``high`` members of each entry, all of them in short entries and at the end
-        new = open_.filter((share >= low) & (share < high) | (F.col("m") <= high) | F.lit(high >= most))
-        left = new.select(
-            "sig", F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"), *[F.col(w).alias(f"a{w}") for w in MAP])
-        right = open_.select(
-            F.col("sig").alias("_sig"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), *[F.col(w).alias(f"b{w}") for w in MAP])
-        # sizes and maps are part of the join, so that pairs out of question are never rows
-        room = (F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link(percent)
-        pairs = left.join(right, (F.col("sig") == F.col("_sig")) & room).select("a", "b").distinct()
-        more = verified(pairs, docs, nodes, size, percent)
+            break
+        carried = store(_carried(open_, nodes)) if carried is None else carried
+        wide = store(open_.join(carried, "node"))
+        # node numbers are hashes: this takes about ``high`` members of each entry, all of them in short entries and at the end, and none twice
+        new = wide.filter((share >= low) & ((share < high) | (F.col("m") <= high) | F.lit(high >= most)))
+        more = verified(meetings(new, wide, percent).distinct(), docs, nodes, size, percent)
+        discard(wide)
         if not more.isEmpty():
             # the classes so far are stars already, so only what the new links join has to move
             labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(more))
         discard(more)
         if high >= most:
-            discard(kept)
-            return labels
+            break
         open_ = open_.filter(F.col("m") > high)
         low, high = high, high * max(2, rounds)
+    discard(kept, *([] if carried is None else [carried]))
+    return labels
 
 
 def texts_of(docs: DataFrame, asked: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ import pytest
 
 from tabkit.llm import dom, extract, layouts, lexical, ngramjoin, packing, periodic
 from tabkit.llm.queries import QUERIES
-from tests.llm.support import documents, odd_documents, words
+from tests.llm.support import documents, linked, odd_documents, words
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +39,45 @@ def test_entries_of_equal_members_are_one(spark):
         1: [(5, 5), (6, 5), (7, 5)], 3: [(5, 5), (6, 5)], 8: [(5, 5), (6, 6), (7, 6)], 9: [(5, 5), (6, 6), (7, 6)]}
 
 
+def test_pairs_meet_in_one_entry(spark):
+    """However many entries two nodes share, they are one row of the pair join, and every two that share one meet."""
+    rng = random.Random(4)
+    held = {node: set(rng.sample(range(60), rng.choice([3, 20, 32]))) for node in range(40)}
+    rows = [(s, node, 100, node // 2) for node, sigs in held.items() for s in sigs]
+    entries = spark.createDataFrame(rows, "sig bigint, node bigint, n int, label bigint")
+    nodes = spark.createDataFrame([(node, *[0] * len(ngramjoin.MAP)) for node in held], ", ".join(["node bigint", *[f"{w} bigint" for w in ngramjoin.MAP]]))
+    wide = entries.join(ngramjoin._carried(entries, nodes), "node")
+    expected = sorted((a, b) for a in held for b in held if a < b and a // 2 != b // 2 and held[a] & held[b])
+    assert {r.node: r.firsts for r in wide.collect()} == {node: sorted(s)[:ngramjoin.FIRSTS] for node, s in held.items()}
+    assert sorted(map(tuple, ngramjoin.meetings(wide, wide, 85).collect())) == expected
+    # none of the least entries in common: they meet in every entry they share, but they meet
+    k = ngramjoin.FIRSTS
+    held = {1: [*range(k), 900, 901], 2: [*range(100, 100 + k), 900, 901]}
+    rows = [(s, node, 100, node) for node, sigs in held.items() for s in sigs]
+    entries = spark.createDataFrame(rows, "sig bigint, node bigint, n int, label bigint")
+    wide = entries.join(ngramjoin._carried(entries, nodes), "node")
+    assert {tuple(r) for r in ngramjoin.meetings(wide, wide, 85).collect()} == {(1, 2)}
+
+
+def test_rows_of_the_pair_join(spark, monkeypatch):
+    """Unlike classes that share many entries: the rounds make a row a pair in all, and the components are those of all pairs."""
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(300)]
+    texts = []
+    for k in range(30):  # a part of each is its own, so that few reach the similarity
+        t = base + [f"o{k}x{i}" for i in range(rng.choice([10, 35, 40]))]
+        texts.append(" ".join(t))
+    real, made = ngramjoin.meetings, []
+    monkeypatch.setattr(ngramjoin, "meetings", lambda *a: made.append(real(*a).cache()) or made[-1])
+    counted = []
+    verified = ngramjoin.verified
+    monkeypatch.setattr(ngramjoin, "verified", lambda *a: made and counted.append([tuple(r) for r in made[-1].collect()]) or verified(*a))
+    got = {r.doc_id: r.component_id for r in ngramjoin.link_documents(documents(spark, texts), 4, 85, rare=0, hot=4096, rounds=4).collect()}
+    assert got == linked(dict(enumerate(texts, 1)), 4, 85)
+    rows = [pair for call in counted for pair in call]
+    assert rows and len(rows) == len(set(rows)) <= 30 * 29 / 2
+
+
 # packing: ids by merges and by the library
 
 def test_packing_ids_of_random_texts(monkeypatch):
