@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tabkit.functions.expr import fold_of, q
 from tabkit.operators.depend import correlations, kendall, spearman
 from tabkit.operators.ensemble import Stack, Voter, out_of_fold
-from tabkit.operators import impute
+from tabkit.operators import impute, robust, search
 from tabkit.operators.impute import impute_categorical, impute_categoricals, impute_chained, match_donors
 from tabkit.operators.joint import search_joint
 from tabkit.operators.moments import centred_moments, gram_by_fold, held_out_rmse, moments_by_weight, pooled, rest_by_fold
@@ -200,6 +200,68 @@ def test_robust_kernel_needs_few_scans(data, spark):
             assert fit.rounds <= 12 and fit.error is None
 
 
+def heavy_rows(spark, n=4000):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(n, 3))
+    y = 11 + x[:, 0] * 2 - x[:, 1] * x[:, 2] + rng.normal(size=n) + rng.standard_cauchy(n) * (np.arange(n) % 3 == 0)
+    return spark.createDataFrame(pd.DataFrame(x, columns=WIDE[:3]).assign(id=np.arange(n), y=y, fold=np.arange(n) % 5)).repartition(4).cache(), x, y
+
+
+def test_waves_are_cosines():
+    x = np.random.default_rng(2).normal(size=(500, 3)) * 5
+    for spec in (RobustKernel(gamma=g, width=40) for g in (0.0, 1e-3, 100.0)):
+        rng = np.random.default_rng(spec.seed)
+        frequency, shift = rng.normal(0.0, np.sqrt(2 * spec.gamma), (3, 40)), rng.uniform(0.0, 2 * np.pi, 40)
+        assert np.allclose(spec.waves(x), np.sqrt(2 / 40) * np.cos(x @ frequency + shift), rtol=0.0, atol=1e-13)
+
+
+def test_robust_fits_begin_at_those_of_a_part(spark, monkeypatch):
+    """Few scans of all rows follow, each row counts in them, and the fits are those without a part, whatever the part says."""
+    df, x, _ = heavy_rows(spark)
+    specs = [RobustKernel(0.05, 10.0, 1.35, 20), RobustKernel(0.5, 0.1, 1.05, 12), RobustKernel(0.2, 100.0, 2.5, 12)]
+    args = df, WIDE[:3], "y", specs, q("fold"), range(5)
+    plain, scans, counted = fit_robust(*args), [], []
+    scan, starts = robust._scan, robust._starts
+
+    def spied(rows, *rest):
+        out = scan(rows, *rest)
+        scans.append(len(rest[2]))
+        counted.extend(m.n for m in out[1].values())
+        return out
+
+    monkeypatch.setattr(robust, "_scan", spied)
+    monkeypatch.setattr(robust, "_starts", lambda rows, *rest: scans.clear() or starts(rows, *rest))
+    parts = {
+        "good": df.filter("id % 4 = 1"), "empty": df.filter("id < 0"), "one fold": df.filter("fold = 2"), "no spread": df.filter("id % 4 = 1").withColumn("y", F.lit(3.0)),
+        "far": df.filter("id % 4 = 1").withColumn("y", q("y") * 1000 - 9), "narrow": df.filter("id % 4 = 1").withColumn("y", q("y") / 1000 + 11),
+        "other": df.filter("id % 4 = 1").withColumn("y", -q("y") + 22),
+    }
+    for name, part in parts.items():
+        counted.clear()
+        fits = fit_robust(*args, part=part)
+        assert fits.keys() == plain.keys()
+        for key, fit in fits.items():
+            z = specs[key[0]].waves(x)
+            assert np.allclose(z @ (fit.coef - plain[key].coef) + fit.intercept - plain[key].intercept, 0.0, atol=2e-5), name
+            assert fit.error == pytest.approx(plain[key].error, rel=1e-5) and fit.rounds <= 20
+        if name not in ("empty", "one fold"):
+            assert counted == [3200.0] * 15
+        if name == "good":
+            assert max(f.rounds for f in fits.values()) < 1 + max(f.rounds for f in plain.values())
+
+
+def test_large_kernel_search_begins_at_a_part(spark, monkeypatch):
+    df, _, _ = heavy_rows(spark)
+    trials = trial_table(spark, housing.SPACES["svr"], 3)
+    scores = lambda: [r["cv_rmse"] for r in evaluate_kernel_trials(df, WIDE[:3], "y", "fold", trials, 5, width=12).orderBy("trial_id").collect()]
+    small, sizes, starts = scores(), [], robust._starts
+    monkeypatch.setattr(robust, "_starts", lambda rows, *rest: sizes.append(rows.count()) or starts(rows, *rest))
+    monkeypatch.setattr(search, "MANY_ROWS", 4000)
+    monkeypatch.setattr(search, "PART", 0.25)
+    assert scores() == pytest.approx(small, rel=1e-6)
+    assert len(sizes) == 1 and 800 < sizes[0] < 1200
+
+
 def test_kernel_trials_and_storage(data, spark, tmp_path):
     df, _ = data
     trials = trial_table(spark, housing.SPACES["svr"], 4)
